@@ -243,22 +243,29 @@ def joined_low(facts: Column) -> Column:
     return F.array_join(F.transform(facts, lambda f: f["low"]), " ")
 
 
-def extract_fields(df: DataFrame, text: str = "raw_text", person: str | None = None) -> DataFrame:
-    """`df` with six nullable text fields added; its other columns pass through.
-
-    The employee's block is searched first (N8). Only where a part is missing is the whole document
-    searched (N9), and each part is filled by itself (N10); the name order is decided last, with the
-    whole document as context (N11). `person` names an optional map column, see `candidates`.
-    """
+def with_candidates(df: DataFrame, text: str = "raw_text", person: str | None = None) -> DataFrame:
+    """Adds the best candidate of the employee's block, `_block` (N8), and where that leaves a part
+    open the best one of the whole document, `_full` (N9)."""
     bonus = None if person is None else F.col(person)
+    lines = F.col("employee_lines")
     work = with_blocks(with_facts(df, text)).withColumn(
-        "_block", best_candidate(candidates(F.col("employee_lines"), joined_low(F.col("employee_lines")), bonus))
+        "_block", best_candidate(candidates(lines, joined_low(lines), bonus))
     )
     incomplete = F.col("_block.name").isNull() | F.col("_block.address").isNull()
-    work = work.withColumn(
+    return work.withColumn(
         "_full",
         F.when(incomplete, best_candidate(candidates(F.col("facts"), F.col("low_text"), bonus))),
     )
+
+
+def extract_fields(df: DataFrame, text: str = "raw_text", person: str | None = None) -> DataFrame:
+    """`df` with six nullable text fields added; its other columns pass through.
+
+    The employee's block is searched first (N8). Only where a part is missing is the whole document
+    searched (N9), and each part is filled by itself (N10); the name order is decided last, with the
+    whole document as context (N11). `person` names an optional map column, see `candidates`.
+    """
+    work = with_candidates(df, text, person)
     name = F.coalesce("_block.name", "_full.name")
     address = F.coalesce("_block.address", "_full.address")
     return work.select(

@@ -65,10 +65,16 @@ def status_distribution(results: DataFrame) -> DataFrame:
 
 
 def status_ratios(results: DataFrame) -> DataFrame:
-    """Review to approved and back, 4 places, NULL when the denominator is 0."""
-    counts = results.agg(
-        F.count_if(F.col("status") == K.AUTO_APPROVED).alias("auto"),
-        F.count_if(F.col("status") == K.NEEDS_REVIEW).alias("needs"),
+    """Review to approved and back, 4 places, NULL when the denominator is 0.
+
+    Built on the same grouping as G2, so that G4 shuffles the rows once.
+    """
+
+    def rows(status: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n"))), F.lit(0))
+
+    counts = status_counts(results).agg(
+        rows(K.AUTO_APPROVED).alias("auto"), rows(K.NEEDS_REVIEW).alias("needs")
     )
     entries = F.array(
         *[

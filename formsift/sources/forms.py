@@ -152,3 +152,35 @@ def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ground truth for the forms."""
     return spark.sql(truth_sql(pick_spark, "{forms}"), forms=forms(spark, sf_dir))
+
+
+def prior_sql(forms: str) -> str:
+    """SQL for results stored by earlier runs: three in five forms, some failed, some stored twice.
+
+    `seq` is the order of storing; a form stored twice was in review the first time.
+    """
+    return f"""
+SELECT processed_at, processing_time_seconds, file_name, path,
+  CASE WHEN k % 6 < 4 THEN 'clean' WHEN k % 6 = 4 THEN 'noisy' ELSE 'unknown' END AS file_type,
+  CASE WHEN k % 10 = 1 THEN NULL ELSE concat(first_name, ' ', last_name) END AS employee_name,
+  CASE WHEN k % 10 = 1 OR k % 3 = 0 THEN NULL ELSE concat(street, ', ', city, ', ', state, ' ', zip) END
+    AS employee_address,
+  CASE WHEN k % 10 = 1 THEN NULL ELSE person_id END AS employee_ssn,
+  CAST(NULL AS STRING) AS employer_name, CAST(NULL AS STRING) AS employer_address,
+  CAST(NULL AS STRING) AS employer_ein,
+  CAST(CASE WHEN k % 10 = 1 THEN 0 ELSE 95 END AS DOUBLE) / 100 AS name_confidence,
+  CAST(CASE WHEN k % 10 = 1 OR k % 3 = 0 THEN 0 ELSE 90 END AS DOUBLE) / 100 AS address_confidence,
+  CAST(CASE WHEN k % 10 = 1 THEN 0 ELSE 95 END AS DOUBLE) / 100 AS id_confidence,
+  CAST(CASE WHEN k % 10 = 1 THEN 0 ELSE 92 END AS DOUBLE) / 100 AS overall_confidence,
+  CASE WHEN k % 10 = 1 THEN 'FAILED' WHEN copy_no = 1 OR k % 3 = 0 THEN 'NEEDS_REVIEW' ELSE 'AUTO_APPROVED' END
+    AS status,
+  CASE WHEN k % 10 = 1 THEN concat('service said "no",', chr(10), 'twice') ELSE 'stored, earlier' END
+    AS review_reason,
+  k + 1000000000000 * copy_no AS seq, k
+FROM (SELECT *, 2 AS copy_no FROM {forms} WHERE k % 5 < 3
+      UNION ALL SELECT *, 1 AS copy_no FROM {forms} WHERE k % 20 = 0) p"""
+
+
+def prior_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results stored by earlier runs, in the result columns with `seq`, `path` and `k`."""
+    return spark.sql(prior_sql("{forms}"), forms=forms(spark, sf_dir))
