@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from formsift import constants as K
 from formsift.functions import address as A, lines as L, names as N, text as T, windows as W
+from formsift.operators.stages import built_once, computed
 
 
 def with_facts(df: DataFrame, text: str = "raw_text") -> DataFrame:
@@ -19,16 +20,16 @@ def with_facts(df: DataFrame, text: str = "raw_text") -> DataFrame:
     Facts are only worked out where something can be found: a street line or the employer's anchor.
     """
     df = df.withColumn("lines", T.split_lines(F.col(text)))
-    promising = F.exists("lines", L.is_street) | F.exists(
-        "lines", lambda line: line.contains(K.EMPLOYER_ANCHOR)
-    )
-    wanted = F.when(promising, F.col("lines")).otherwise(F.filter("lines", lambda _: F.lit(False)))
-    return df.withColumns(
-        {
-            "facts": F.transform(wanted, L.line_facts),
-            "low_text": F.lower(F.array_join("lines", " ")),
-        }
+    return df.withColumns({"facts": facts_of("lines"), "low_text": F.lower(F.array_join("lines", " "))})
+
+
+@built_once
+def facts_of(lines: str) -> Column:
+    promising = F.exists(lines, L.is_street) | F.exists(
+        lines, lambda line: line.contains(K.EMPLOYER_ANCHOR)
     )
+    wanted = F.when(promising, F.col(lines)).otherwise(F.filter(lines, lambda _: F.lit(False)))
+    return F.transform(wanted, L.line_facts)
 
 
 def anchor(facts: Column, mark: str) -> Column:
@@ -83,12 +84,17 @@ def with_blocks(df: DataFrame) -> DataFrame:
     """Adds the useful lines of both blocks: `employer_lines`, `employee_lines`."""
     return df.withColumns(
         {
-            "employer_lines": useful(employer_block(F.col("facts"))),
-            "employee_lines": useful(employee_block(F.col("facts"))),
+            "employer_lines": useful_of("employer", "facts"),
+            "employee_lines": useful_of("employee", "facts"),
         }
     )
 
 
+@built_once
+def useful_of(party: str, facts: str) -> Column:
+    return useful(employer_block(F.col(facts)) if party == "employer" else employee_block(F.col(facts)))
+
+
 def employer_name(block: Column) -> Column:
     """First useful line with a letter that is no street."""
     return T.squeeze(W.first_of(block, lambda f: f["letter"] & ~f["street"])["line"])
@@ -108,6 +114,11 @@ def employer_address(block: Column) -> Column:
     )
 
 
+@built_once
+def employer_address_of(block: str) -> Column:
+    return employer_address(F.col(block))
+
+
 def streets(facts: Column) -> Column:
     """Street lines with their assembled address (A7), its quality (A8) and street key."""
     found = F.filter(
@@ -239,6 +250,13 @@ def best_candidate(found: Column) -> Column:
     )
 
 
+@built_once
+def best_in(facts: str, text: str, person: str | None = None) -> Column:
+    """N6 and N7 over the named columns."""
+    bonus = None if person is None else F.col(person)
+    return best_candidate(candidates(F.col(facts), F.col(text), bonus))
+
+
 def joined_low(facts: Column) -> Column:
     return F.array_join(F.transform(facts, lambda f: f["low"]), " ")
 
@@ -246,16 +264,10 @@ def joined_low(facts: Column) -> Column:
 def with_candidates(df: DataFrame, text: str = "raw_text", person: str | None = None) -> DataFrame:
     """Adds the best candidate of the employee's block, `_block` (N8), and where that leaves a part
     open the best one of the whole document, `_full` (N9)."""
-    bonus = None if person is None else F.col(person)
-    lines = F.col("employee_lines")
-    work = with_blocks(with_facts(df, text)).withColumn(
-        "_block", best_candidate(candidates(lines, joined_low(lines), bonus))
-    )
+    work = with_blocks(with_facts(df, text)).withColumn("block_text", joined_low(F.col("employee_lines")))
+    work = work.withColumn("_block", best_in("employee_lines", "block_text", person))
     incomplete = F.col("_block.name").isNull() | F.col("_block.address").isNull()
-    return work.withColumn(
-        "_full",
-        F.when(incomplete, best_candidate(candidates(F.col("facts"), F.col("low_text"), bonus))),
-    )
+    return work.withColumn("_full", F.when(incomplete, best_in("facts", "low_text", person)))
 
 
 def extract_fields(df: DataFrame, text: str = "raw_text", person: str | None = None) -> DataFrame:
@@ -266,14 +278,16 @@ def extract_fields(df: DataFrame, text: str = "raw_text", person: str | None = N
     whole document as context (N11). `person` names an optional map column, see `candidates`.
     """
     work = with_candidates(df, text, person)
-    name = F.coalesce("_block.name", "_full.name")
-    address = F.coalesce("_block.address", "_full.address")
-    return work.select(
-        *[F.col(c) for c in df.columns],
-        T.order_name(name, F.col("low_text")).alias("employee_name"),
-        address.alias("employee_address"),
-        T.personal_id(F.col(text)).alias("employee_ssn"),
-        employer_name(F.col("employer_lines")).alias("employer_name"),
-        employer_address(F.col("employer_lines")).alias("employer_address"),
-        T.employer_id(F.col(text)).alias("employer_ein"),
+    work = work.withColumn("_name", F.coalesce("_block.name", "_full.name"))
+    found = computed(
+        work,
+        {
+            "employee_name": T.order_name(F.col("_name"), F.col("low_text")),
+            "employee_address": F.coalesce("_block.address", "_full.address"),
+            "employee_ssn": T.personal_id(F.col(text)),
+            "employer_name": employer_name(F.col("employer_lines")),
+            "employer_address": employer_address_of("employer_lines"),
+            "employer_ein": T.employer_id(F.col(text)),
+        },
     )
+    return found.select(*df.columns, *K.FIELDS)

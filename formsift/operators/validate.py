@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from formsift import constants as K
 from formsift.functions import checks as V, text as T
+from formsift.operators.stages import computed
 
 WORK = ["_name", "_address", "_id"]
 
@@ -51,17 +52,19 @@ def validate_fields(df: DataFrame, text: str = "raw_text") -> DataFrame:
         }
     )
     three = [F.col(c) for c in ("name_confidence", "address_confidence", "id_confidence")]
-    rated = rated.withColumns({"overall_confidence": V.overall(*three), "_failing": V.failing_fields(*three)})
-    failing, total = F.col("_failing"), F.col("overall_confidence")
-    return rated.select(
-        *[F.col(c) for c in df.columns],
-        *three,
-        total,
-        V.status(failing, total).alias("status"),
-        V.review_reason(
-            failing, total, F.col("_name_seen"), F.col("_address_seen"), F.col("_id_seen")
-        ).alias("review_reason"),
+    rated = rated.withColumns({"_overall": V.overall(*three), "_failing": V.failing_fields(*three)})
+    failing, total = F.col("_failing"), F.col("_overall")
+    seen_counts = [F.col(c) for c in ("_name_seen", "_address_seen", "_id_seen")]
+    judged = computed(
+        rated.withColumnsRenamed({c: f"_{c}" for c in K.CONFIDENCES[:3]}),
+        {
+            **{c: F.col(f"_{c}") for c in K.CONFIDENCES[:3]},
+            "overall_confidence": total,
+            "status": V.status(failing, total),
+            "review_reason": V.review_reason(failing, total, *seen_counts),
+        },
     )
+    return judged.select(*df.columns, *K.VERDICT)
 
 
 def assemble_results(df: DataFrame, columns: list[str] = K.RESULT_COLUMNS, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -77,8 +77,7 @@ def street_rows(facts: DataFrame) -> DataFrame:
 
 
 def candidate_rows(spark: SparkSession, sf: str) -> DataFrame:
-    found = X.candidates(F.col("facts"), F.col("low_text"))
-    return form_facts(spark, sf).select("k", F.inline(found))
+    return form_facts(spark, sf).select("k", F.inline(X.candidates(F.col("facts"), F.col("low_text"))))
 
 
 def seconds(df: DataFrame) -> DataFrame:
@@ -116,7 +115,7 @@ def s3_read_results_csv(spark, sf):
 def s4_read_truth_csv(spark, sf):
     path = S.scratch_folder(spark, "truth-csv")
     S.write_csv(truth(spark, sf).select(S.TRUTH_COLUMNS), path)
-    return S.read_truth_csv(spark, path).fillna("")
+    return S.read_truth_csv(spark, path)
 
 
 @query
@@ -147,7 +146,7 @@ def s7_write_all(spark, sf):
         rows("results", F.col("file_name"), F.col("status"))
         .unionByName(rows("manual_review", F.col("file_name"), F.col("status")))
         .unionByName(rows("summary", F.col("metric"), F.col("value")))
-        .unionByName(rows("status_statistics", F.concat_ws("/", "file_type", "status"), F.col("total")))
+        .unionByName(rows("status_statistics", F.concat_ws("/", "file_type", "status"), F.coalesce(F.col("total"), F.col("ratio"))))
     )
 
 
@@ -155,8 +154,7 @@ def s7_write_all(spark, sf):
 def s8_load_table(spark, sf):
     path = S.scratch_folder(spark, "csv")
     S.write_csv(latest_prior(spark, sf).select(K.RESULT_COLUMNS), path)
-    text = S.read_results_csv(spark, path).replace("", None)
-    return seconds(S.load_table(text, "formsift_results", S.scratch_folder(spark, "table")))
+    return seconds(S.load_table(S.read_results_csv(spark, path), "formsift_results", S.scratch_folder(spark, "table")))
 
 
 @query

@@ -59,6 +59,7 @@ def forms_sql(pick, customer: str, supplier: str) -> str:
         'f Employee''s address and ZIP code',
         '1 Wages, tips, other compensation',
         concat(CAST(k * 7 % 90000 + 1000 AS STRING), '.5'),
+        CASE WHEN k % 3 = 0 THEN 'Plan' END,
         'X')"""
     copy_one = copies.replace("copy_no", "1")
     copy_two = copies.replace("copy_no", "2")
@@ -145,8 +146,15 @@ def forms_from(spark: SparkSession, customer: str, supplier: str) -> DataFrame:
 
 
 def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One synthetic form per customer row."""
-    return forms_from(spark, f"parquet.`{sf_dir}/customer.parquet`", f"parquet.`{sf_dir}/supplier.parquet`")
+    """One synthetic form per customer row.
+
+    A form is about a hundred times the size of the key it is made from, so the keys are spread over
+    the cores first; a small customer file would otherwise end in one task.
+    """
+    keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+    spread = max(spark.sparkContext.defaultParallelism, keys.rdd.getNumPartitions())
+    keys.repartition(spread, "c_custkey").createOrReplaceTempView("form_keys")
+    return forms_from(spark, "form_keys", f"parquet.`{sf_dir}/supplier.parquet`")
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def _csv(spark: SparkSession, path: str, columns: list[str], one_line: bool) ->
     schema = T_.StructType([T_.StructField(c, T_.StringType()) for c in columns])
     return spark.read.csv(
         path, schema=schema, header=True, multiLine=not one_line, escape='"', enforceSchema=True,
-        emptyValue="", encoding="UTF-8",
+        encoding="UTF-8",
     )
 
 
@@ -73,20 +73,20 @@ def read_results_csv(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
-    )
+    ).fillna("")
     return R.latest_by_key(rows, "file_name", ["_file", "_block", "_row"]).select(columns)
 
 
 def read_truth_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
     """Ground truth from CSV, repeated rows kept."""
-    return _csv(spark, path, TRUTH_COLUMNS, one_line)
+    return _csv(spark, path, TRUTH_COLUMNS, one_line).fillna("")
 
 
 def typed(rows: DataFrame) -> DataFrame:
-    """Text rows cast to the result schema; what cannot be cast becomes NULL."""
+    """Text rows cast to the result schema; blanks and what cannot be cast become NULL."""
     return rows.select(
         *[
-            F.col(c).try_cast(RESULT_TYPES[c]).alias(c) if c in RESULT_TYPES else F.col(c)
+            F.nullif(F.col(c), F.lit("")).try_cast(RESULT_TYPES.get(c, "string")).alias(c)
             for c in rows.columns
         ]
     )
@@ -104,8 +104,14 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def write_results(
     results: DataFrame, path: str, columns: list[str] = K.RESULT_COLUMNS, fmt: str = "parquet"
 ) -> None:
-    """Results in fixed column order, sorted by file, replacing what was there."""
-    rows = results.select(columns).orderBy("file_name")
+    """Results in fixed column order, sorted by file, replacing what was there.
+
+    A global sort first samples its input and then reads it again. The rows are stored unsorted before,
+    so that the documents behind them are worked on once.
+    """
+    staged = scratch_folder(results.sparkSession, "staged")
+    results.select(columns).write.parquet(staged)
+    rows = results.sparkSession.read.parquet(staged).orderBy("file_name")
     if fmt == "csv":
         write_csv(rows, path)
     else:

@@ -80,7 +80,7 @@ def summary(source: str, listing: str) -> str:
         return Q.number_text(f"CAST(count_if(status = '{status}') AS DOUBLE) / count(*) * 100", 2)
     remaining = f"({found} - count(*))"
     metrics = {
-        "total_pdfs_found_in_raw": f"{found}::VARCHAR",
+        "total_pdfs_found_in_raw": f"max({found})::VARCHAR",
         "total_pdfs_processed": "count(*)::VARCHAR",
         "remaining_pdfs": f"{remaining}::VARCHAR",
         "auto_approved": "count_if(status = 'AUTO_APPROVED')::VARCHAR",
@@ -144,8 +144,8 @@ SELECTS = {
     "s7_write_all": "SELECT 'results' AS output, file_name AS item, status AS value FROM latest_prior"
     " UNION ALL SELECT 'manual_review', file_name, status FROM latest_prior WHERE status IS DISTINCT FROM 'AUTO_APPROVED'"
     f" UNION ALL SELECT 'summary', metric, value FROM ({summary('latest_prior', 'forms')})"
-    f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, total::VARCHAR FROM ({distribution('latest_prior')})"
-    f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, NULL FROM ({ratios('latest_prior')})",
+    f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, total::DOUBLE::VARCHAR FROM ({distribution('latest_prior')})"
+    f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, ratio::VARCHAR FROM ({ratios('latest_prior')})",
     "s8_load_table": f"SELECT {RESULT_SECONDS} FROM latest_prior",
     "s9_append_results": "SELECT file_name, status, seq, path AS gcs_uri FROM prior",
     "s10_already_processed": "SELECT file_name, path FROM forms f WHERE EXISTS (SELECT 1 FROM latest_prior p WHERE p.file_name = f.file_name)",
