@@ -25,7 +25,7 @@ def is_valid_name(name: Column) -> Column:
     words = F.transform(F.split(name, " "), lambda word: F.btrim(word, F.lit(".'- ")))
     long_words = F.filter(words, lambda word: F.char_length(word) > 1)
     valid = (
-        F.size(words).between(2, 4)
+        name.rlike(r"^[^ ]+(?: [^ ]+){1,3}\z")
         & ~T.any_phrase(F.lower(name), K.BAD_NAME_TERMS)
         & ~has_company_term(name)
         & (F.size(long_words) >= 2)

@@ -8,9 +8,9 @@ from formsift import constants as K
 from formsift.functions import text as T, windows as W
 
 STATE_TOKEN = rf"(?:^|{K.SPACE})(?:{K.STATE_CODES})(?:{K.SPACE}|\z)"
-IGNORED = "|".join(K.IGNORED_WORDS)
-LABEL = rf"^(?:{IGNORED})\z|" + "|".join(K.LABEL_KEYWORDS)
-IGNORED_TOKEN = rf"(?:^|{K.SPACE})\.*(?:{IGNORED})\.*(?:{K.SPACE}|\z)"
+IGNORED = T.one_of(K.IGNORED_WORDS)
+LABEL = rf"^{IGNORED}\z|" + T.one_of(K.LABEL_KEYWORDS)
+IGNORED_TOKEN = rf"(?:^|{K.SPACE})\.*{IGNORED}\.*(?:{K.SPACE}|\z)"
 
 
 def is_number(line: Column) -> Column:
@@ -140,10 +140,11 @@ def line_facts(line: Column) -> Column:
     """Everything the window searches need to know about a line, worked out once per line.
 
     `line` is squeezed, as every use of it is squeezed in the end; `low` and the phrase searches keep
-    the spacing of the text.
+    the spacing of the text. Most lines are plain ASCII with single blanks and need no squeezing.
     """
+    squeezed = F.when(line.rlike("[^ -~]|  "), T.single_blanks(line)).otherwise(line)
     return W.let(
-        F.struct(line.alias("raw"), F.lower(line).alias("low"), T.single_blanks(line).alias("line")),
+        F.struct(line.alias("raw"), F.lower(line).alias("low"), squeezed.alias("line")),
         lambda c: F.struct(
             c["line"].alias("line"),
             c["low"].alias("low"),

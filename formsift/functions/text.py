@@ -159,11 +159,19 @@ def count_word(haystack: Column, literal: Column) -> Column:
     return F.coalesce(F.regexp_count(haystack, quoted), F.lit(0))
 
 
+def one_of(words: list[str]) -> str:
+    """Pattern for one of the words, grouped by first letter so that few branches start per character."""
+    tails: dict[str, list[str]] = {}
+    for word in words:
+        tails.setdefault(word[0], []).append(word[1:])
+    return "(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items()) + ")"
+
+
 def any_word(lowered: Column, words: list[str]) -> Column:
     """True when a run of letters of lower-cased text is one of the words."""
-    return lowered.rlike(r"(?:^|[^a-z])(?:" + "|".join(words) + r")(?![a-z])")
+    return lowered.rlike(rf"(?:^|[^a-z]){one_of(words)}(?![a-z])")
 
 
 def any_phrase(lowered: Column, phrases: list[str]) -> Column:
     """True when lower-cased text holds one of the phrases, also inside a word."""
-    return lowered.rlike("|".join(phrases))
+    return lowered.rlike(one_of(phrases))

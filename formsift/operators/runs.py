@@ -35,9 +35,14 @@ def allow_listed(listed: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str = "file_name") -> DataFrame:
-    """New rows replace old rows of the same key."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+def upsert(old: DataFrame, new: DataFrame, key: str = "file_name", keys: DataFrame | None = None) -> DataFrame:
+    """New rows replace old rows of the same key.
+
+    `new` is read twice, for its keys and for its rows. Where its rows take work, `keys` names a cheaper
+    table with the same keys, such as the documents they are made from.
+    """
+    replaced = (new if keys is None else keys).select(key)
+    return old.join(replaced, key, "left_anti").unionByName(new)
 
 
 def already_processed(batch: DataFrame, table: DataFrame, key: str = "file_name") -> DataFrame:

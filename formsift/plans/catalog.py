@@ -10,6 +10,7 @@ from formsift import constants as K
 from formsift.functions import address as A, checks as V, compare as C, lines as L, names as N
 from formsift.functions import text as T, windows as W
 from formsift.operators import evaluate as E, extract as X, report as R, runs, validate as VA
+from formsift.operators.stages import computed
 from formsift.plans.documents import next_run, process_documents
 from formsift.sources import tables as S
 from formsift.sources.forms import forms, forms_from, prior_results, truth
@@ -42,7 +43,7 @@ def form_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def all_lines(spark: SparkSession, sf: str) -> DataFrame:
     of_forms = form_lines(spark, sf).select(F.lit("form").alias("source"), F.col("k").alias("id"), "line_no", "line")
-    of_documents = table(spark, sf, "documents").select(
+    of_documents = S.spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
         F.lit("document").alias("source"),
         F.col("doc_id").alias("id"),
         F.posexplode(T.split_lines(F.col("text"))).alias("line_no", "line"),
@@ -207,9 +208,9 @@ def c4_allow_listed(spark, sf):
 
 @query
 def c5_upsert(spark, sf):
-    new = results(spark, sf).filter(F.col("status") != K.AUTO_APPROVED).select("file_name", "status", "review_reason")
-    old = latest_prior(spark, sf).select("file_name", "status", "review_reason")
-    return runs.upsert(old, new)
+    waiting = c2_pending(spark, sf)
+    new = process_documents(forms(spark, sf).join(waiting.select("file_name"), "file_name", "left_semi"))
+    return seconds(runs.upsert(latest_prior(spark, sf).select(K.RESULT_COLUMNS), new, keys=waiting))
 
 
 @query
@@ -258,7 +259,8 @@ def c10_next_run(spark, sf):
 
 def on_text(fn: Callable[[Column], Column]) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        texts = table(spark, sf, "documents").select(
+        documents = S.spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+        texts = documents.select(
             F.lit("document").alias("source"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("part"), "text"
         ).unionByName(
             table(spark, sf, "conversations").select(
@@ -505,8 +507,8 @@ def n6_candidates(spark, sf):
 
 
 def best_rows(df: DataFrame, facts: Column, low_text: Column) -> DataFrame:
-    found = df.select("k", X.best_candidate(X.candidates(facts, low_text)).alias("b")).filter("b IS NOT NULL")
-    return found.select("k", "b.score", "b.name", "b.address")
+    found = computed(df, {"best": X.best_candidate(X.candidates(facts, low_text))}).filter("best IS NOT NULL")
+    return found.select("k", "best.score", "best.name", "best.address")
 
 
 @query
@@ -561,9 +563,8 @@ def v1_company_term(spark, sf):
 
 @query
 def v2_valid_name(spark, sf):
-    return all_lines(spark, sf).withColumn("name", T.squeeze_or_null_word(F.col("line"))).filter(
-        V.is_valid_name(F.col("name"))
-    )
+    named = computed(all_lines(spark, sf), {"name": T.squeeze_or_null_word(F.col("line"))})
+    return named.filter(V.is_valid_name(F.col("name")))
 
 
 @query
@@ -671,7 +672,7 @@ def e2_field_rows(spark, sf):
 
 @query
 def e3_state_for_compare(spark, sf):
-    return all_lines(spark, sf).withColumn("state", C.state_for_compare(F.col("line"))).filter("state <> ''")
+    return computed(all_lines(spark, sf), {"state": C.state_for_compare(F.col("line"))}).filter("state <> ''")
 
 
 @query

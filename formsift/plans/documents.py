@@ -22,4 +22,4 @@ def next_run(texts: DataFrame, listed: DataFrame, results: DataFrame, size: int
     """One batch run: results after the next slice of pending documents is processed."""
     batch = runs.next_batch(runs.pending(listed, runs.done_files(results, retry_failed)), size)
     todo = texts.join(batch.select("file_name"), "file_name", "left_semi")
-    return runs.upsert(results, process_documents(todo))
+    return runs.upsert(results, process_documents(todo), keys=todo)

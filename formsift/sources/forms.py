@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from formsift.constants import STATES
+from formsift.sources.tables import spread
 
 FIRST = ["James", "Maria", "Robert", "Linda", "Daniel", "Susan", "Carlos"]
 LAST = ["Hensley", "Cox", "Bailey", "Lawson", "Robertson", "Martinez", "Nguyen", "Fletcher", "Dalton",
@@ -152,8 +153,7 @@ def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     the cores first; a small customer file would otherwise end in one task.
     """
     keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
-    spread = max(spark.sparkContext.defaultParallelism, keys.rdd.getNumPartitions())
-    keys.repartition(spread, "c_custkey").createOrReplaceTempView("form_keys")
+    spread(keys, "c_custkey").createOrReplaceTempView("form_keys")
     return forms_from(spark, "form_keys", f"parquet.`{sf_dir}/supplier.parquet`")
 
 

@@ -155,6 +155,12 @@ def write_reports(results: DataFrame, folder: str) -> None:
     R.pipeline_summary(results).write.mode("overwrite").parquet(f"{folder}/pipeline_summary")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer splits than cores is spread over the cores; a large scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own below the shared folder the session names in spark.checkpoint.dir.
 

@@ -156,9 +156,8 @@ SELECTS = {
     "c3_next_batch": f"{PENDING} ORDER BY path LIMIT 50",
     "c4_allow_listed": "SELECT string_split(path, '/')[-1] AS file_name, path FROM forms"
     " WHERE string_split(path, '/')[-1] IN (SELECT file_name FROM truth WHERE file_type = 'noisy')",
-    "c5_upsert": "SELECT file_name, status, review_reason FROM results WHERE status <> 'AUTO_APPROVED'"
-    " UNION ALL SELECT file_name, status, review_reason FROM latest_prior WHERE file_name NOT IN"
-    " (SELECT file_name FROM results WHERE status <> 'AUTO_APPROVED')",
+    "c5_upsert": f"SELECT {RESULT_SECONDS} FROM results WHERE file_name IN (SELECT file_name FROM ({PENDING}))"
+    f" UNION ALL SELECT {RESULT_SECONDS} FROM latest_prior WHERE file_name NOT IN (SELECT file_name FROM ({PENDING}))",
     "c6_failure_capture": f"SELECT file_name, employee_name, {VERDICT} FROM results",
     "c7_basename": "SELECT path, string_split(path, '/')[-1] AS file_name FROM (SELECT path FROM forms UNION ALL SELECT url FROM pages)",
     "c8_document_type": f"SELECT file_name, {Q.kind_any_case('file_name')} AS file_type FROM forms",
