@@ -201,15 +201,29 @@ def candidates(facts: Column, low_text: Column, person: Column | None = None) ->
         ),
         lambda s: s["name"].isNotNull() & s["address"].isNotNull(),
     )
-    seen = F.transform(
+
+    def counted(rows: Column) -> Column:
+        """Map from name to evidence: the text is searched once per different name."""
+        names = F.array_distinct(F.transform(rows, lambda s: s["name"]))
+        return F.map_from_entries(
+            F.transform(names, lambda name: F.struct(name.alias("name"), N.evidence(name, low_text).alias("n")))
+        )
+
+    def with_context(entry: Column, evidence: Column) -> Column:
+        index = entry["index"]
+        return F.struct(
+            index.alias("index"),
+            entry["address"].alias("address"),
+            entry["name"].alias("name"),
+            W.let(W.window(facts, index, *K.EMPLOYEE_CONTEXT), N.in_employee_context).alias("has_employee"),
+            N.in_employer_context(W.window(facts, index, *K.EMPLOYER_CONTEXT)).alias("has_employer"),
+            F.try_element_at(evidence, entry["name"]).alias("repeats"),
+        )
+
+    seen = W.let(
         named,
-        lambda s: F.struct(
-            s["index"].alias("index"),
-            s["address"].alias("address"),
-            s["name"].alias("name"),
-            W.let(W.window(facts, s["index"], *K.EMPLOYEE_CONTEXT), N.in_employee_context).alias("has_employee"),
-            N.in_employer_context(W.window(facts, s["index"], *K.EMPLOYER_CONTEXT)).alias("has_employer"),
-            N.evidence(s["name"], low_text).alias("repeats"),
+        lambda rows: W.let(
+            counted(rows), lambda evidence: F.transform(rows, lambda entry: with_context(entry, evidence))
         ),
     )
     return F.transform(

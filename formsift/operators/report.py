@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from formsift import constants as K
 from formsift.functions import text as T
 
 
+SECTIONS = ["all", *K.FILE_TYPES]
+
+
 def latest_by_key(df: DataFrame, key: str, recency: list[str]) -> DataFrame:
     """G1: the last row of every key, by the recency columns and then by all others.
 
@@ -20,87 +23,73 @@ def latest_by_key(df: DataFrame, key: str, recency: list[str]) -> DataFrame:
     return best.select(*[F.col(key) if c == key else F.col(f"_last.{c}").alias(c) for c in df.columns])
 
 
-def status_counts(results: DataFrame) -> DataFrame:
-    """Rows per file type and status: the small table G2-G4 are built on."""
-    return results.groupBy("file_type", "status").agg(F.count("*").alias("n"))
+def section_counts(results: DataFrame) -> DataFrame:
+    """One row: rows per section and status, behind G2-G4. One pass, nothing but counts is shuffled."""
+    counts = {}
+    for section in SECTIONS:
+        inside = F.lit(True) if section == "all" else F.col("file_type").eqNullSafe(section)
+        counts[section] = F.count_if(inside)
+        for status in K.STATUSES:
+            counts[f"{section}_{status}"] = F.count_if(inside & (F.col("status") == status))
+    return results.agg(*[value.alias(name) for name, value in counts.items()])
+
+
+def _distribution_rows() -> Column:
+    """G2 as an array: sections without rows are left out, statuses without rows are not."""
+    rows = [
+        F.struct(
+            F.lit("status_distribution").alias("section"),
+            F.lit(section).alias("file_type"),
+            F.lit(status).alias("status"),
+            F.col(f"{section}_{status}").alias("total"),
+            T.round_exact(F.try_divide(F.col(f"{section}_{status}"), F.col(section)) * 100, 2).alias("percentage"),
+            F.lit(None).cast("double").alias("ratio"),
+        )
+        for section in SECTIONS
+        for status in K.STATUSES
+    ]
+    return F.filter(F.array(*rows), lambda row: row["percentage"].isNotNull())
 
 
-def status_distribution(results: DataFrame) -> DataFrame:
-    """Count and percentage of the three statuses, for all files and per file type.
-
-    A status without rows keeps its zero; a file type without rows is left out. Rows with any other
-    status stay in the denominator.
-    """
-    section = F.array(
-        F.lit("all"), F.when(F.col("file_type").isin(K.FILE_TYPES), F.col("file_type"))
-    )
-    per_section = (
-        status_counts(results)
-        .select(F.explode(section).alias("file_type"), "status", "n")
-        .filter(F.col("file_type").isNotNull())
-        .groupBy("file_type")
-        .agg(
-            F.sum("n").alias("rows"),
-            *[
-                F.sum(F.when(F.col("status") == status, F.col("n")).otherwise(0)).alias(status)
-                for status in K.STATUSES
-            ],
-        )
-    )
-    entries = F.array(
+def _ratio_rows() -> Column:
+    """G3 as an array."""
+    needs, auto = f"all_{K.NEEDS_REVIEW}", f"all_{K.AUTO_APPROVED}"
+    return F.array(
         *[
             F.struct(
-                F.lit(status).alias("status"),
-                F.col(status).alias("total"),
-                T.round_exact(F.col(status) / F.col("rows") * 100, 2).alias("percentage"),
+                F.lit("ratio").alias("section"),
+                F.lit("all").alias("file_type"),
+                F.lit(name).alias("status"),
+                F.lit(None).cast("bigint").alias("total"),
+                F.lit(None).cast("double").alias("percentage"),
+                T.round_exact(F.try_divide(F.col(part), F.col(whole)), 4).alias("ratio"),
+            )
+            for name, part, whole in (
+                (f"{K.NEEDS_REVIEW}_to_{K.AUTO_APPROVED}", needs, auto),
+                (f"{K.AUTO_APPROVED}_to_{K.NEEDS_REVIEW}", auto, needs),
             )
-            for status in K.STATUSES
         ]
     )
-    return per_section.select(
-        F.lit("status_distribution").alias("section"),
-        "file_type",
-        F.inline(entries),
-    ).withColumn("ratio", F.lit(None).cast("double"))
 
 
-def status_ratios(results: DataFrame) -> DataFrame:
-    """Review to approved and back, 4 places, NULL when the denominator is 0.
+def status_distribution(results: DataFrame) -> DataFrame:
+    """Count and percentage of the three statuses, for all files and per file type.
 
-    Built on the same grouping as G2, so that G4 shuffles the rows once.
+    A status without rows keeps its zero; a file type without rows is left out. Rows with any other
+    status stay in the denominator.
     """
+    return section_counts(results).select(F.inline(_distribution_rows()))
 
-    def rows(status: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n"))), F.lit(0))
 
-    counts = status_counts(results).agg(
-        rows(K.AUTO_APPROVED).alias("auto"), rows(K.NEEDS_REVIEW).alias("needs")
-    )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("status"),
-                T.round_exact(F.try_divide(F.col(part), F.col(whole)), 4).alias("ratio"),
-            )
-            for name, part, whole in (
-                (f"{K.NEEDS_REVIEW}_to_{K.AUTO_APPROVED}", "needs", "auto"),
-                (f"{K.AUTO_APPROVED}_to_{K.NEEDS_REVIEW}", "auto", "needs"),
-            )
-        ]
-    )
-    return counts.select(F.inline(entries)).select(
-        F.lit("ratio").alias("section"),
-        F.lit("all").alias("file_type"),
-        "status",
-        F.lit(None).cast("bigint").alias("total"),
-        F.lit(None).cast("double").alias("percentage"),
-        "ratio",
-    )
+def status_ratios(results: DataFrame) -> DataFrame:
+    """Review to approved and back, 4 places, NULL when the denominator is 0."""
+    return section_counts(results).select(F.inline(_ratio_rows()))
 
 
 def status_statistics(results: DataFrame) -> DataFrame:
-    """G2 and G3 in one table."""
-    return status_distribution(results).unionByName(status_ratios(results)).select(K.STATISTICS_COLUMNS)
+    """G2 and G3 in one table, from one pass."""
+    both = F.concat(_distribution_rows(), _ratio_rows())
+    return section_counts(results).select(F.inline(both)).select(K.STATISTICS_COLUMNS)
 
 
 def number_text(value: Column, places: int) -> Column:
@@ -130,21 +119,25 @@ def run_summary(
     clock metrics appear when their values are given.
     """
     status, kind = F.col("status"), F.col("file_type")
-    totals = results.agg(
-        F.count("*").alias("done"),
+    rows = results.select(
+        F.lit(True).alias("stored"), "status", "file_type", F.col("processing_time_seconds").cast("string").alias("took")
+    )
+    if listed is not None:
+        # listed documents join in as rows of their own, so that one aggregate sees both
+        rows = rows.unionByName(listed.select(F.lit(False).alias("stored")), allowMissingColumns=True)
+    totals = rows.agg(
+        F.count_if("stored").alias("done"),
+        F.count_if(~F.col("stored")).alias("found"),
         F.count_if(status == K.AUTO_APPROVED).alias("auto"),
         F.count_if(status == K.NEEDS_REVIEW).alias("needs"),
         F.count_if(status == K.FAILED).alias("failed"),
         F.count_if(kind == "clean").alias("clean"),
         F.count_if(kind == "noisy").alias("noisy"),
         F.coalesce(
-            F.sum(T.lenient_double(F.col("processing_time_seconds").cast("string"))), F.lit(0.0)
+            F.sum(T.lenient_double(F.col("took"))), F.lit(0.0)
         ).alias("seconds"),
     )
-    if listed is not None:
-        # both sides are one row
-        totals = totals.join(F.broadcast(listed.agg(F.count("*").alias("found"))))
-    else:
+    if listed is None:
         totals = totals.withColumn("found", F.lit(found).cast("bigint"))
 
     done, seconds = F.col("done"), F.col("seconds")
@@ -215,10 +208,11 @@ def detail_report(results: DataFrame) -> DataFrame:
 def share_of_total(df: DataFrame, column: str) -> DataFrame:
     """Rows per value with their percentage of all rows, most frequent first.
 
-    The shares are taken after the grouping, so the unpartitioned window sees one row per value.
+    The sum of all is a scalar subquery; a window over everything would put all values in one task. It
+    reads `df` a second time, so `df` should be a stored table.
     """
     counted = df.groupBy(column).agg(F.count("*").alias("total"))
-    everything = F.sum("total").over(Window.partitionBy())
+    everything = counted.agg(F.sum("total").alias("all")).scalar()
     return counted.withColumn(
         "percentage", F.round(F.col("total") * 100.0 / everything, 2).cast("double")
     ).orderBy(F.desc("total"))

@@ -47,7 +47,7 @@ def read_ocr_texts(spark: SparkSession, root: str) -> DataFrame:
     """One row per text file, (file_name, raw_text); the whole text is one value."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
     return files.select(
-        T.basename(F.col("_metadata.file_path")).alias("file_name"), decode_text(F.col("value")).alias("raw_text")
+        F.col("_metadata.file_name").alias("file_name"), decode_text(F.col("value")).alias("raw_text")
     )
 
 
