@@ -140,25 +140,31 @@ def line_facts(line: Column) -> Column:
     """Everything the window searches need to know about a line, worked out once per line.
 
     `line` is squeezed, as every use of it is squeezed in the end; `low` and the phrase searches keep
-    the spacing of the text. Most lines are plain ASCII with single blanks and need no squeezing.
+    the spacing of the text. Most lines are plain ASCII with single blanks and need no squeezing. One
+    look for a digit spares a line either the number patterns or the name patterns.
     """
     squeezed = F.when(line.rlike("[^ -~]|  "), T.single_blanks(line)).otherwise(line)
     return W.let(
-        F.struct(line.alias("raw"), F.lower(line).alias("low"), squeezed.alias("line")),
+        F.struct(
+            line.alias("raw"),
+            F.lower(line).alias("low"),
+            squeezed.alias("line"),
+            line.rlike(K.DIGIT).alias("digit"),
+        ),
         lambda c: F.struct(
             c["line"].alias("line"),
             c["low"].alias("low"),
-            T.first_group(K.ZIP, c["line"]).alias("zip"),
+            F.when(c["digit"], T.first_group(K.ZIP, c["line"])).alias("zip"),
             has_letter(c["line"]).alias("letter"),
             is_state(c["line"]).alias("state"),
             c["line"].rlike(rf"(?:^| )(?:{K.STATE_CODES})(?: |\z)").alias("has_state"),
             ends_in_state(c["line"]).alias("ends_in_state"),
-            is_street(c["line"]).alias("street"),
+            (c["digit"] & is_street(c["line"])).alias("street"),
             c["low"].rlike(LABEL).alias("label"),
-            is_number(c["line"]).alias("number"),
-            is_code(c["line"]).alias("code"),
-            is_full_name(c["line"]).alias("full_name"),
-            is_single_name(c["line"]).alias("single_name"),
+            (c["digit"] & is_number(c["line"])).alias("number"),
+            (c["line"].isin(K.CHECKBOX_MARKS) | (c["digit"] & is_code(c["line"]))).alias("code"),
+            (~c["digit"] & is_full_name(c["line"])).alias("full_name"),
+            (~c["digit"] & is_single_name(c["line"])).alias("single_name"),
             T.any_phrase(c["low"], ["employee", K.LAST_NAME_LABEL]).alias("employee"),
             c["low"].contains("employer").alias("employer"),
             c["raw"].contains(K.EMPLOYER_ANCHOR).alias("employer_anchor"),
