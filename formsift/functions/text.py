@@ -26,8 +26,8 @@ def squeeze(value: Column) -> Column:
 
 def squeeze_or_null_word(value: Column) -> Column:
     """Squeeze, and the words that stand for a missing value become NULL."""
-    clean = squeeze(value)
-    return F.when(~F.lower(clean).isin(K.NULL_WORDS), clean)
+    clean = single_blanks(value)
+    return F.when(~F.lower(clean).isin(["", *K.NULL_WORDS]), clean)
 
 
 def alnum(value: Column) -> Column:

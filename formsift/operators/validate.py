@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from formsift import constants as K
 from formsift.functions import checks as V, text as T
-from formsift.operators.stages import computed
+from formsift.operators.stages import built_once, computed
 
 WORK = ["_name", "_address", "_id"]
 
 
+@built_once
+def valid_of(kind: str, column: str) -> Column:
+    checks = {"name": V.is_valid_name, "address": V.is_valid_address, "id": V.is_valid_id}
+    return checks[kind](F.col(column))
+
+
+@built_once
+def outer_words_of(name: str, normal_text: str) -> Column:
+    return V.outer_words_count(F.col(name), F.col(normal_text))
+
+
+@built_once
+def address_evidence_of(address: str, text: str) -> Column:
+    return V.address_evidence(F.col(address), F.col(text))
+
+
 def with_validity(df: DataFrame) -> DataFrame:
     """Adds the cleaned fields (T2) and whether each is valid (V2, V6, V7)."""
     df = df.withColumns(
@@ -18,9 +34,9 @@ def with_validity(df: DataFrame) -> DataFrame:
     )
     return df.withColumns(
         {
-            "_name_ok": V.is_valid_name(F.col("_name")),
-            "_address_ok": V.is_valid_address(F.col("_address")),
-            "_id_ok": V.is_valid_id(F.col("_id")),
+            "_name_ok": valid_of("name", "_name"),
+            "_address_ok": valid_of("address", "_address"),
+            "_id_ok": valid_of("id", "_id"),
         }
     )
 
@@ -33,9 +49,9 @@ def with_evidence(df: DataFrame, text: str = "raw_text") -> DataFrame:
     return df.withColumns(
         {
             "_name_seen": F.when(F.col("_whole") > 0, F.col("_whole")).when(
-                F.col("_name_ok"), V.outer_words_count(F.col("_name"), F.col("_normal"))
+                F.col("_name_ok"), outer_words_of("_name", "_normal")
             ),
-            "_address_seen": F.when(F.col("_address_ok"), V.address_evidence(F.col("_address"), raw)),
+            "_address_seen": F.when(F.col("_address_ok"), address_evidence_of("_address", text)),
             "_id_seen": F.when(F.col("_id_ok"), V.id_evidence(F.col("_id"), raw)),
         }
     )
