@@ -134,7 +134,7 @@ def run_summary(
         F.count_if(kind == "clean").alias("clean"),
         F.count_if(kind == "noisy").alias("noisy"),
         F.coalesce(
-            F.sum(T.lenient_double(F.col("took"))), F.lit(0.0)
+            F.sum(T.lenient_double(F.col("took")).try_cast("decimal(30,6)")).cast("double"), F.lit(0.0)
         ).alias("seconds"),
     )
     if listed is None:

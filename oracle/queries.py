@@ -74,7 +74,7 @@ def ratios(source: str) -> str:
 
 
 def summary(source: str, listing: str) -> str:
-    average = Q.rounded("sum(processing_time_seconds) / count(*)", 2)
+    average = Q.rounded("CAST(sum(CAST(processing_time_seconds AS DECIMAL(30, 6))) AS DOUBLE) / count(*)", 2)
     found = f"(SELECT count(*) FROM {listing})"
     def share(status):
         return Q.number_text(f"CAST(count_if(status = '{status}') AS DOUBLE) / count(*) * 100", 2)
@@ -93,7 +93,7 @@ def summary(source: str, listing: str) -> str:
             "CAST(count_if(status = 'NEEDS_REVIEW') AS DOUBLE) / count_if(status = 'AUTO_APPROVED')", 4),
         "clean_processed": "count_if(file_type = 'clean')::VARCHAR",
         "noisy_processed": "count_if(file_type = 'noisy')::VARCHAR",
-        "total_processing_time_seconds": Q.number_text("sum(processing_time_seconds)", 2),
+        "total_processing_time_seconds": Q.number_text("CAST(sum(CAST(processing_time_seconds AS DECIMAL(30, 6))) AS DOUBLE)", 2),
         "average_processing_time_seconds_per_pdf": f"{average}::VARCHAR",
         "estimated_remaining_time_seconds":
             f"CASE WHEN {remaining} > 0 THEN {Q.number_text(f'{remaining} * {average}', 2)} ELSE '0.0' END",
