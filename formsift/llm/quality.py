@@ -1,7 +1,8 @@
 """Quality by compression: two zstandard dictionaries, one of good and one of bad labelled text.
 
-A text is compressed in blocks with either dictionary; the difference of the two sizes over their sum says which kind
-of text it is closer to, and a logistic curve fitted on labelled rows the dictionaries have not seen makes it a score.
+A text is compressed in blocks with either dictionary; the difference of the two sizes over the size of the text says
+which kind of text it is closer to (near nothing for text that repeats itself, which packs well with either), and a
+logistic curve fitted on labelled rows the dictionaries have not seen makes it a score.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from formsift.llm import base
 
-BLOCK = 2048
+BLOCK = 512
 LEVEL = 3
 
 
@@ -34,7 +35,7 @@ class QualityModel:
 
 
 def compressed_difference(good: bytes, bad: bytes):
-    """A function of a text: (size with the bad dictionary - size with the good one) / (sum of both), 0 if empty."""
+    """A function of a text: (size with the bad dictionary - size with the good one) / size of the text, 0 if empty."""
     import zstandard
 
     def packer(raw: bytes):
@@ -54,14 +55,14 @@ def compressed_difference(good: bytes, bad: bytes):
             block = raw[at : at + BLOCK]
             a += len(with_good(block))
             b += len(with_bad(block))
-        return (b - a) / (a + b) if raw else 0.0
+        return (b - a) / len(raw) if raw else 0.0
 
     return differ
 
 
 def fit_quality(
     docs: DataFrame, labels: DataFrame, rows_per_class: int = 1500, longest: int = 20_000,
-    dictionary_bytes: int = 131_072, key: str = "doc_id", text: str = "text", label: str = "quality", parts: int = 5,
+    dictionary_bytes: int = 262_144, key: str = "doc_id", text: str = "text", label: str = "quality", parts: int = 5,
 ) -> QualityModel:
     """Fits on a bounded sample of labelled rows: rows_per_class of each label at most, whole texts.
 

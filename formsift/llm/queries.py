@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from formsift.llm import base
 from formsift.llm.exact_dedup import exact_duplicates
+from formsift.llm.lm_scoring import lm_scores
 from formsift.llm.packing import pack
 from formsift.llm.quality import fit_quality, quality_scores
 from formsift.llm.token_counts import token_counts
@@ -29,11 +30,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(base.table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(base.table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(base.table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op8_lm_scoring, op9_packing)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {

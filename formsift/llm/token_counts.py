@@ -25,7 +25,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, key: str =
         for batch in batches:
             for part in base.slices(batch):
                 ids, bytes_, texts = (part.column(c) for c in ("doc_id", "n_bytes", "text"))
-                tokens = pa.array([bpe.count(t) for t in texts.to_pylist()], pa.int64())
+                tokens = pa.array(bpe.counts_of(texts.to_pylist()), pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, bytes_, tokens], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = base.texts_only(docs, key, text).withColumn("n_bytes", F.octet_length("text").cast("long"))

@@ -2,8 +2,8 @@
 
 A text falls into words by the tokenizer file's own rules (special strings, normal form, split pattern, byte symbols),
 and merging never looks across words, so each distinct word is merged once per worker and looked up after that.
-Texts of common Latin letters only are normalised and split by Python's equal of these rules, which is faster; every
-other text goes through the file's own normaliser and splitter.
+Texts of common Latin letters only are split by the same rules over the bytes of many texts at once; every other text
+goes through the file's own normaliser and splitter. In the first kind a word is known by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -12,32 +12,39 @@ import functools
 import heapq
 import json
 import re
-from collections.abc import Iterable
+import numpy as np
+
+from formsift.llm.words import span_hashes
 
 #: Letters whose lower case is one character, that no normal form changes and that are letters for the split pattern.
 LATIN = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 _OTHER = re.compile(f"[^\t\n\v\f\r\x20-\x7e{LATIN}]|<\\|")
-_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^\\s0-9{LATIN}]+")
 #: Distinct words that a worker remembers: the newer half stays when the older half is dropped.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 
 class Remembered(dict):
-    """Works a value out when it is asked for first; holds a bounded number of the latest ones."""
+    """Values worked out before, a bounded number of the latest ones."""
 
-    def __init__(self, make):
+    def __init__(self):
         super().__init__()
-        self.make, self.older = make, {}
-
-    def __missing__(self, word):
-        value = self.older.get(word)
-        if value is None:
-            value = self.make(word)
+        self.older: dict = {}
+
+    def of(self, keys: list) -> list:
+        """The value of each key, None where there is none."""
+        found = list(map(self.get, keys))
+        if self.older:
+            for i, value in enumerate(found):
+                if value is None and (value := self.older.get(keys[i])) is not None:
+                    found[i] = value
+                    self.put(keys[i], value)
+        return found
+
+    def put(self, key, value) -> None:
         if len(self) >= REMEMBERED // 2:
             self.older = dict(self)
             self.clear()
-        self[word] = value
-        return value
+        self[key] = value
 
 
 def bytes_to_symbols() -> list[str]:
@@ -89,6 +96,36 @@ def merged(symbols: list[str], ranks: dict[tuple[str, str], tuple[int, str]]) ->
     return merges, [s for s in left if s is not None]
 
 
+#: Classes of bytes in texts of Latin letters only: white space, letter, digit, other.
+SPACE, LETTER, DIGIT, MARK = range(4)
+_CLASS = np.full(256, MARK, dtype=np.uint8)
+_CLASS[[32, 9, 10, 11, 12, 13]] = SPACE
+_CLASS[97:123] = _CLASS[128:] = LETTER
+_CLASS[48:58] = DIGIT
+_ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+
+
+def word_starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin in lower-cased bytes, and which bytes belong to words.
+
+    A run of letters, one digit, or a run of other marks is a word. An apostrophe that begins a run of marks takes the
+    letters of an ending that follow it, and what is left of them begins a word of its own.
+    """
+    kind = _CLASS[data]
+    first = np.ones(len(data), dtype=bool)
+    first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    first &= kind != SPACE
+    for at in np.flatnonzero((data == 39) & first).tolist():
+        after = data[at + 1 : at + 3].tobytes()
+        ending = next((e for e in _ENDINGS if after.startswith(e)), None)
+        if ending:
+            first[at + 1] = False
+            end = at + 1 + len(ending)
+            if end < len(data) and kind[end] == LETTER:
+                first[end] = True
+    return np.flatnonzero(first), kind != SPACE
+
+
 class WordBpe:
     """One tokenizer file in a worker."""
 
@@ -96,55 +133,94 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
+        self.own = own
         self.normalise = own.normalizer.normalize_str
         self.split = own.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as file:
             whole = json.load(file)
         model = whole["model"]
         self.end = model["end_of_word_suffix"]
-        self.vocab = {symbol: i.to_bytes(4, "little") for symbol, i in model["vocab"].items()}
         self.ranks = {(a, b): (i, a + b) for i, (a, b) in enumerate(map(tuple, model["merges"]))}
-        self.special = {t["content"]: t["id"].to_bytes(4, "little") for t in whole["added_tokens"]}
+        # the last symbol of every word ends in the mark of a word's end
+        self.last = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+        self.last[[i for symbol, i in model["vocab"].items() if symbol.endswith(self.end)]] = True
+        self.special = {t["content"] for t in whole["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         letters = bytes_to_symbols()
         self.symbol = {chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(0x180)}
-        self.counts = Remembered(self.count_word)
-        self.known = Remembered(self.ids_of_word)
+        self.counts = Remembered()
+        self.known = Remembered()
 
-    def words(self, text: str) -> Iterable[str]:
-        """Words in order; those by the file's own rules have a leading space and are byte symbols already."""
-        return self._other(text) if _OTHER.search(text) else _WORD.findall(text.lower())
+    def merged_count(self, symbols: str) -> int:
+        """Tokens of a word given as byte symbols: its initial symbols minus the merges; no ids are made."""
+        initial = [*symbols[:-1], symbols[-1] + self.end]
+        return len(initial) - merged(initial, self.ranks)[0]
 
-    def _other(self, text: str) -> Iterable[str]:
+    def other_count(self, text: str) -> int:
+        """Tokens of any text, by the file's own rules for words."""
+        total = 0
         for part in self.cut.split(text):
             if part in self.special:
-                yield part
+                total += 1
             elif part:
-                for word, _ in self.split(self.normalise(part)):
-                    yield " " + word
-
-    def _symbols(self, word: str) -> list[str]:
-        word = word[1:] if word[0] == " " else "".join(map(self.symbol.__getitem__, word))
-        return [*word[:-1], word[-1] + self.end]
-
-    def count_word(self, word: str) -> int:
-        """Tokens of a word: its initial symbols minus the merges; no ids are made."""
-        if word in self.special:
-            return 1
-        symbols = self._symbols(word)
-        return len(symbols) - merged(symbols, self.ranks)[0]
-
-    def ids_of_word(self, word: str) -> bytes:
-        """Ids of a word as little-endian 32-bit numbers."""
-        if word in self.special:
-            return self.special[word]
-        return b"".join(map(self.vocab.__getitem__, merged(self._symbols(word), self.ranks)[1]))
-
-    def count(self, text: str) -> int:
-        return sum(map(self.counts.__getitem__, self.words(text)))
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.known.__getitem__, self.words(text)))
+                total += sum(self.merged_count(word) for word, _ in self.split(self.normalise(part)))
+        return total
+
+    def new_counts(self, words: list[str]) -> list[int]:
+        return [self.merged_count("".join(map(self.symbol.__getitem__, w))) for w in words]
+
+    def new_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words as little-endian 32-bit numbers, from the library."""
+        ids = np.array(self.own.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def counts_of(self, texts: list[str]) -> list[int]:
+        """Number of tokens of each text."""
+        plain = [not _OTHER.search(t) for t in texts]
+        which, per_word, at = looked_up([t for t, p in zip(texts, plain, strict=True) if p], self.counts, self.new_counts)
+        sums = np.concatenate([[0], np.cumsum(np.array(per_word, dtype=np.int64)[which])])
+        own = iter((sums[at[1:]] - sums[at[:-1]]).tolist())
+        return [next(own) if p else self.other_count(t) for t, p in zip(texts, plain, strict=True)]
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
+        plain = [not _OTHER.search(t) for t in texts]
+        which, per_word, at = looked_up([t for t, p in zip(texts, plain, strict=True) if p], self.known, self.new_ids)
+        size = np.array([len(w) // 4 for w in per_word], dtype=np.int64)
+        begin = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(per_word), dtype="<u4")
+        sizes = size[which]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = pool[np.repeat(begin[which] - ends[:-1], sizes) + np.arange(ends[-1])]
+        own = iter([ids[ends[a] : ends[b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)])
+        return [next(own) if p else self.other_ids(t) for t, p in zip(texts, plain, strict=True)]
+
+    def other_ids(self, text: str) -> bytes:
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def looked_up(texts: list[str], known: Remembered, make) -> tuple[np.ndarray, list, np.ndarray]:
+    """For every word of the texts its place in a list of values, that list, and where each text's words begin."""
+    raw = [t.lower().encode() for t in texts]
+    if not any(raw):
+        return np.empty(0, dtype=np.int64), [], np.zeros(len(texts) + 1, dtype=np.int64)
+    data = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
+    begin = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    starts, inside = word_starts(data)
+    hashes, lengths = span_hashes(data, starts, inside)
+    words, example, which = np.unique(hashes, return_index=True, return_inverse=True)
+    keys = words.tolist()
+    values = known.of(keys)
+    new = [i for i, v in enumerate(values) if v is None]
+    if new:
+        spans = zip(starts[example[new]].tolist(), lengths[example[new]].tolist(), strict=True)
+        found = make([data[a : a + n].tobytes().decode() for a, n in spans])
+        for i, value in zip(new, found, strict=True):
+            values[i] = value
+            known.put(keys[i], value)
+    return which, values, np.searchsorted(starts, begin)
 
 
 @functools.cache

@@ -42,6 +42,24 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS[:n]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and length of the spans that begin at starts and go on to the next start, bytes not inside left out.
+
+    Bytes that are not inside must come after a span's others. The place within the span decides the weight of a byte,
+    so equal spans hash alike anywhere.
+    """
+    if not len(starts):
+        return np.empty(0, dtype=U64), np.empty(0, dtype=np.int64)
+    data, inside, shifted = data[starts[0] :], inside[starts[0] :], starts - starts[0]
+    lengths = np.add.reduceat(inside, shifted, dtype=np.int64)
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(shifted, np.diff(np.append(shifted, len(data))))
+    with np.errstate(over="ignore"):
+        parts = _VALUES[data]
+        parts *= _powers(int(lengths.max()) + 1)[np.where(inside, place, 0)]
+        parts[~inside] = 0
+        return mix(np.add.reduceat(parts, shifted) + lengths.astype(U64) * U64(0xA0761D6478BD642F)), lengths
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word in order, and for each text the place of its first word (one more entry at the end)."""
     if pa.types.is_string(texts.type):
@@ -57,25 +75,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edges = offsets[:-1][offsets[:-1] < len(data)]
     first[edges] = inside[edges]  # a word never runs from one text into the next
     starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.empty(0, dtype=U64), np.zeros(len(texts) + 1, dtype=np.int64)
-    lengths = np.add.reduceat(inside, starts, dtype=np.int64)
-    # place within the word decides the weight of a byte, so equal words hash alike anywhere
-    place = np.arange(len(data), dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, len(data))))[: len(data)] \
-        if starts[0] == 0 else _places(starts, len(data))
-    weights = _powers(int(lengths.max()) + 1)
-    with np.errstate(over="ignore"):
-        parts = _VALUES[data]
-        parts *= weights[np.where(inside, place, 0)]
-        parts[~inside] = 0
-        hashes = mix(np.add.reduceat(parts, starts) + lengths.astype(U64) * U64(0xA0761D6478BD642F))
-    return hashes, np.searchsorted(starts, offsets)
-
-
-def _places(starts: np.ndarray, n: int) -> np.ndarray:
-    lead = np.zeros(starts[0], dtype=np.int64)
-    rest = np.arange(starts[0], n, dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, n)))
-    return np.concatenate([lead, rest])
+    return span_hashes(data, starts, inside)[0], np.searchsorted(starts, offsets)
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
