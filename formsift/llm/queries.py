@@ -11,9 +11,11 @@ from formsift.llm.exact_dedup import exact_duplicates
 from formsift.llm.lm_scoring import lm_scores
 from formsift.llm.packing import pack
 from formsift.llm.quality import fit_quality, quality_scores
+from formsift.llm.sentencepiece_scan import sentencepiece_decode, sentencepiece_encode
 from formsift.llm.token_counts import token_counts
 
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +40,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(base.table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op8_lm_scoring, op9_packing)}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_BPE)
+    rows = sentencepiece_decode(sentencepiece_encode(base.table(spark, sf_dir, "documents"), model), model)
+    return rows.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+        # the model writes a space for its own sign, so that sign alone does not come back
+        (F.col("decoded") == F.translate("text", "\u2581", " ")).alias("round_trip"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op8_lm_scoring, op9_packing, op10_sentencepiece)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {

@@ -16,16 +16,17 @@ from __future__ import annotations
 
 import functools
 import heapq
+import json
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formsift.llm import base
-from formsift.llm.wordbpe import Remembered, merged
+from formsift.llm.wordbpe import merged
 
 SPACE = "▁"
 #: Characters of a chunk, and from how many on a text is split into chunks.
@@ -37,6 +38,20 @@ LONG_RUN = 64
 State = tuple[str, int]  # a piece and the place of its end
 
 
+class Made(dict):
+    """Works a value out when it is asked for first; forgets all at a bounded number."""
+
+    def __init__(self, make, bound: int = 500_000):
+        super().__init__()
+        self.make, self.bound = make, bound
+
+    def __missing__(self, key):
+        if len(self) >= self.bound:
+            self.clear()
+        self[key] = value = self.make(key)
+        return value
+
+
 class Ranks(dict):
     """Rank and joined text of a pair of symbols, by the joined piece; None if it is no piece."""
 
@@ -62,24 +77,38 @@ class Pieces:
         self.ids: dict[str, int] = {}
         self.bytes = [0] * 256
         ranks: dict[str, float] = {}
-        self.texts: list[str] = []
+        self.decoded: list[bytes] = []
         for i in range(own.get_piece_size()):
             piece = own.id_to_piece(i)
-            self.texts.append(piece)
             if own.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
-            elif not (own.is_control(i) or own.is_unknown(i)):
+                self.decoded.append(bytes([int(piece[3:5], 16)]))
+            elif own.is_control(i) or own.is_unknown(i):
+                self.decoded.append(b"")
+            else:
+                self.decoded.append(piece.replace(SPACE, " ").encode())
                 self.ids[piece] = i
                 if len(piece) > 1:
                     ranks[piece] = -own.get_score(i)
-        self.byte_of = {i: b for b, i in enumerate(self.bytes)}
-        self.control = {i for i in range(own.get_piece_size()) if own.is_control(i) or own.is_unknown(i)}
         self.longest = max(map(len, self.ids))
         self.together = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.endings = {p[i:] for p in self.ids for i in range(len(p) - 1)}
+        self.words = re.compile(self.word_pattern())
         self.ranks = Ranks(ranks)
-        self.fits = Remembered(lambda pair: merged([*pair[0], *pair[1]], self.ranks)[1] == [*pair])
-        self.whole = Remembered(lambda piece: merged([*piece], self.ranks)[1] == [piece])
-        self.known = Remembered(self.ids_of_run)
+        self.fits = Made(self.fit)
+        self.whole = Made(lambda piece: merged([*piece], self.ranks)[1] == [piece])
+        self.known = Made(self.ids_of_run)
+
+    def fit(self, pair: tuple[str, str]) -> bool:
+        """Whether merging two neighbouring pieces' text gives these pieces; the first may be empty."""
+        symbols = [*pair[0], *pair[1]]
+        return merged(symbols, self.ranks)[1] == [p for p in pair if p]
+
+    def word_pattern(self) -> str:
+        """Spaces with what follows them up to the next space; letters end before a sign that no piece has after one."""
+        after = {b for a, b in self.together if a.isalnum()}
+        signs = "".join(map(re.escape, sorted({*"\n.,;:!?*#$%&|()\"'/-"} - after)))
+        return f"{SPACE}*[^\\W_]+(?=[{signs}{SPACE}]|\\Z)|{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n"
 
     # steps of the lattice
 
@@ -132,10 +161,30 @@ class Pieces:
         return into
 
     def ids_of_run(self, run: str) -> bytes:
-        """Ids of a run between forced boundaries: one path from an empty state at its begin to its end."""
-        start = ("", 0)
-        into = self.forward(run, [start], len(run))
-        return self.trace(into, start, next(s for s in into if s[1] == len(run)), 0) if run else b""
+        """Ids of a run between forced boundaries.
+
+        From the one state at its begin, a single piece ends at each place; the longest is tried first.
+        """
+        ids, fits, endings = self.ids, self.fits, self.endings
+        last = [""]
+        for end in range(1, len(run) + 1):
+            piece, ending = [run[end - 1]], run[end - 2 : end]
+            begin = end - 2
+            while begin >= 0 and ending in endings:
+                if ending in ids:
+                    piece.append(ending)
+                begin -= 1
+                ending = run[begin:end]
+            for own in reversed(piece):
+                before = last[end - len(own)]
+                if fits[before, own]:
+                    last.append(own)
+                    break
+        out, at = [], len(run)
+        while at:
+            out.append(self.piece_ids(last[at]))
+            at -= len(last[at])
+        return b"".join(reversed(out))
 
     def trace(self, into, entry: State, last: State, begin: int) -> bytes:
         """Ids of the pieces after the entry state up to the last one, those that begin at or after `begin` only."""
@@ -169,7 +218,7 @@ class Pieces:
 
     def runs(self, text: str) -> Iterator[str]:
         """Runs of a text in the model's writing. Words with the space before them, then cut where no piece goes on."""
-        for word in _WORDS.findall(text):
+        for word in self.words.findall(text):
             if len(word) <= LONG_RUN:
                 yield word
                 continue
@@ -189,13 +238,7 @@ class Pieces:
 
     def decode(self, raw: bytes) -> str:
         """The text that ids stand for: byte pieces join to characters, the first space is the model's own."""
-        out: list[bytes] = []
-        for (i,) in _each(raw):
-            if i in self.byte_of:
-                out.append(bytes([self.byte_of[i]]))
-            elif i not in self.control:
-                out.append(self.texts[i].encode())
-        text = b"".join(out).decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.decoded.__getitem__, memoryview(raw).cast("I"))).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
     # chunks of a giant text
@@ -251,13 +294,6 @@ class Pieces:
         return head + b"".join(map(self.encode_run, self.runs(body[one:other]))) + tail
 
 
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
-
-
-def _each(raw: bytes):
-    return memoryview(raw).cast("I").tolist() and ((i,) for i in memoryview(raw).cast("I").tolist()) or ()
-
-
 def written(text: str) -> str:
     """A text as the model writes it: spaces become a visible sign, one of which goes before the text."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -285,3 +321,101 @@ def combine(relations: list[list[tuple[State, State]]]) -> list[tuple[State, Sta
         chosen.append((a, b))
         leave = a
     return chosen[::-1]
+
+
+def sentencepiece_encode(
+    docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", giant: int = GIANT, chunk: int = CHUNK
+) -> DataFrame:
+    """doc_id, text, ids for every row: its whole text's ids as little-endian 32-bit numbers, without begin or end.
+
+    model is the path of a merge-by-rank model with byte pieces, found at that path on every worker. Texts of `giant`
+    characters or more are dealt out in chunks. A null text counts as empty and has no ids; a null key stays null;
+    repeated rows give repeated rows; an empty table gives an empty one; other columns are not read.
+    """
+    rows = base.texts_only(docs, key, text).withColumn("row", F.monotonically_increasing_id())
+    long = F.length("text") >= giant
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pieces_of(model)
+        for batch in batches:
+            for part in base.slices(batch):
+                ids = [pieces.encode(t) for t in part.column("text").to_pylist()]
+                columns = [part.column("doc_id"), part.column("text"), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "ids"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        around = pieces_of(model).longest + 1
+        for batch in batches:
+            for row, doc, raw in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
+                whole = written(raw)
+                for at in range(0, len(raw), chunk):
+                    begin, end = at + bool(at), at + chunk + 1  # the model's own space goes before the text
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([row]), pa.array([doc], pa.int64()), pa.array([at // chunk]),
+                            pa.array([whole[max(0, begin - around) : begin]]), pa.array([raw[at : at + chunk]]),
+                            pa.array([whole[end : end + around]]),
+                        ],
+                        ["row", "doc_id", "chunk", "before", "text", "after"],
+                    )
+
+    parts = "row long, doc_id long, chunk long, before string, text string, after string"
+    chunks = base.staged(rows.where(long).mapInArrow(cut, parts), "chunks").repartition("row", "chunk")
+
+    def body(number: int, raw: str) -> str:
+        return written(raw) if number == 0 else raw.replace(" ", SPACE)
+
+    def related(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pieces_of(model)
+        for batch in batches:
+            own = [
+                json.dumps(pieces.transfer(r["before"], body(r["chunk"], r["text"]), r["after"])) for r in batch.to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(own, pa.string())], ["row", "chunk", "relation"])
+
+    def chosen(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        relations = [[(tuple(a), tuple(b)) for a, b in json.loads(r)] for r in rows["relation"].to_pylist()]
+        states = [json.dumps(s) for s in combine(relations)]
+        return pa.table({"row": rows["row"], "chunk": rows["chunk"], "states": pa.array(states, pa.string())})
+
+    def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pieces_of(model)
+        for batch in batches:
+            ids = []
+            for r in batch.to_pylist():
+                entry, leave = (tuple(s) for s in json.loads(r["states"]))
+                ids.append(pieces.traced(r["before"], body(r["chunk"], r["text"]), r["after"], entry, leave))
+            columns = [*(batch.column(c) for c in ("row", "doc_id", "chunk", "text")), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "chunk", "text", "ids"])
+
+    def joined(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        return pa.table({
+            "doc_id": rows["doc_id"].slice(0, 1),
+            "text": pa.array(["".join(rows["text"].to_pylist())], pa.string()),
+            "ids": pa.array([b"".join(rows["ids"].to_pylist())], pa.binary()),
+        })
+
+    relations = chunks.mapInArrow(related, "row long, chunk long, relation string")
+    states = relations.groupBy("row").applyInArrow(chosen, "row long, chunk long, states string")
+    done = chunks.join(states, ["row", "chunk"]).select(*chunks.columns, "states")
+    ids = done.mapInArrow(traced, "row long, doc_id long, chunk long, text string, ids binary")
+    whole = "doc_id long, text string, ids binary"
+    giants = ids.groupBy("row").applyInArrow(joined, whole)  # one text, as it came in one row
+    return rows.where(~long).mapInArrow(encoded, whole).unionByName(giants)
+
+
+def sentencepiece_decode(rows: DataFrame, model: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
+    """Adds the text that the ids stand for; null ids give null, no ids the empty text."""
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pieces_of(model)
+        for batch in batches:
+            at = batch.schema.get_field_index(ids)
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                own = [None if raw is None else pieces.decode(raw) for raw in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own, pa.string())], [*part.schema.names, to])
+
+    return rows.mapInArrow(decoded, T.StructType([*rows.schema.fields, T.StructField(to, T.StringType())]))
