@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from formsift.llm import base
 from formsift.llm.exact_dedup import exact_duplicates
 from formsift.llm.lm_scoring import lm_scores
+from formsift.llm.ngram_join import ngram_components
 from formsift.llm.packing import pack
 from formsift.llm.quality import fit_quality, quality_scores
 from formsift.llm.sentencepiece_scan import sentencepiece_decode, sentencepiece_encode
@@ -32,6 +33,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(base.table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(base.table(spark, sf_dir, "documents"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(base.table(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op8_lm_scoring, op9_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op5_ngram_join, op8_lm_scoring, op9_packing, op10_sentencepiece)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {

@@ -98,8 +98,8 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
             if short.any():
                 word = np.where(short & (k >= counts[owner]), U64(k + 1), word)
             value = mix(value * U64(0x2545F4914F6CDD1D) + word + U64(k))
-    order = np.lexsort((value, owner))
-    value, owner = value[order], owner[order]
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        value[a:b].sort()
     keep = np.ones(len(value), dtype=bool)
     keep[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
     value, owner = value[keep], owner[keep]
