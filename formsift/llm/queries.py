@@ -14,6 +14,7 @@ from formsift.llm.packing import pack
 from formsift.llm.quality import fit_quality, quality_scores
 from formsift.llm.sentencepiece_scan import sentencepiece_decode, sentencepiece_encode
 from formsift.llm.token_counts import token_counts
+from formsift.llm.topk import exact_topk
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -37,6 +38,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(base.table(spark, sf_dir, "documents"))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(base.table(spark, sf_dir, "embeddings"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(base.table(spark, sf_dir, "documents"))
 
@@ -55,10 +60,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op5_ngram_join, op8_lm_scoring, op9_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op5_ngram_join, op6_exact_topk, op8_lm_scoring, op9_packing, op10_sentencepiece)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {
+    "op6_exact_topk": """
+        WITH e AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 10
+    """,
     "op1_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {LOWER} AS txt FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
