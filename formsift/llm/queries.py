@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from formsift.llm import base
 from formsift.llm.exact_dedup import exact_duplicates
+from formsift.llm.html_main import extract_pages
 from formsift.llm.lm_scoring import lm_scores
 from formsift.llm.ngram_join import ngram_components
 from formsift.llm.packing import pack
@@ -42,6 +43,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(base.table(spark, sf_dir, "embeddings"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(base.table(spark, sf_dir, "pages"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(base.table(spark, sf_dir, "documents"))
 
@@ -60,7 +65,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op5_ngram_join, op6_exact_topk, op8_lm_scoring, op9_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op5_ngram_join, op6_exact_topk, op7_html, op8_lm_scoring, op9_packing, op10_sentencepiece)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {
