@@ -22,6 +22,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKS,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # no disk is taken in advance: there are many small stores
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: The set of digest prefixes that were hit again is broadcast; it has at most 16 ** PREFIX entries at any size.
 PREFIX = 5
