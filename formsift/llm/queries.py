@@ -12,6 +12,7 @@ from formsift.llm.html_main import extract_pages
 from formsift.llm.lm_scoring import lm_scores
 from formsift.llm.ngram_join import ngram_components
 from formsift.llm.packing import pack
+from formsift.llm.pii import KINDS, fit_pii, joined, pii_spans
 from formsift.llm.quality import fit_quality, quality_scores
 from formsift.llm.sentencepiece_scan import sentencepiece_decode, sentencepiece_encode
 from formsift.llm.token_counts import token_counts
@@ -31,6 +32,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, base.table(spark, sf_dir, "labels")))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = base.table(spark, sf_dir, "documents")
+    rows = pii_spans(docs, fit_pii(docs))
+    counts = (F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) AS bigint)").alias(f"n_{k}") for k in KINDS)
+    return rows.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("all").alias("spans"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(base.table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -65,7 +73,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_token_counts, op5_ngram_join, op6_exact_topk, op7_html, op8_lm_scoring, op9_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_pii, op4_token_counts, op5_ngram_join, op6_exact_topk, op7_html, op8_lm_scoring, op9_packing, op10_sentencepiece)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {
