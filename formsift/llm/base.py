@@ -61,13 +61,13 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about SLICE_BYTES of text each, so that memory follows the longest text only."""
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `most` bytes of text each, so that memory follows the longest text only."""
     texts = batch.column(batch.schema.get_field_index(column))
     sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes.tolist()):
-        if total and total + n > SLICE_BYTES:
+        if total and total + n > most:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n

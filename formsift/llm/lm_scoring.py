@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,21 +229,30 @@ class Lookup:
         return self.count(words)[which], self.level(pairs)[of]
 
 
+#: Bytes of text that are looked up at once, beside the lookup itself.
+LOOKUP_SLICE = 1 << 20
 FOUND = np.dtype([("count", "<u4"), ("level", "u1")])
 
 
-def filled(texts: DataFrame, lookup) -> DataFrame:
+def looked_up(part: pa.RecordBatch, lookup: Lookup) -> tuple[np.ndarray, np.ndarray]:
+    """What is known about every token after a pass, and where each text begins."""
+    hashes, at = tokens(part.column("text"))
+    found = np.empty(len(hashes), dtype=FOUND)
+    found["count"], found["level"] = lookup.known(hashes, at)
+    before = np.frombuffer(b"".join(part.column("found").to_pylist()), dtype=FOUND)
+    if len(before):
+        for name in FOUND.names:
+            found[name] = np.maximum(found[name], before[name])
+    return found, at
+
+
+def filled(texts: DataFrame, lookup: Broadcast[Lookup]) -> DataFrame:
     """Adds what a pass knows about the tokens of every text to the column found."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in base.slices(batch):
-                hashes, at = tokens(part.column("text"))
-                count, level_ = lookup.value.known(hashes, at)
-                found = np.empty(len(hashes), dtype=FOUND)
-                before = np.frombuffer(b"".join(part.column("found").to_pylist()), dtype=FOUND)
-                found["count"] = np.maximum(count, before["count"]) if len(before) else count
-                found["level"] = np.maximum(level_, before["level"]) if len(before) else level_
+            for part in base.slices(batch, most=LOOKUP_SLICE):
+                found, at = looked_up(part, lookup.value)
                 rows = [found[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
                 columns = [part.column("doc_id"), part.column("text"), pa.array(rows, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "found"])
@@ -250,7 +260,7 @@ def filled(texts: DataFrame, lookup) -> DataFrame:
     return texts.mapInArrow(fill, "doc_id long, text string, found binary")
 
 
-def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int = 10, added: float = 0.1, prior: float = 50.0, pass_bytes: int = PASS_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int = 10, added: float = 0.1, prior: float = 200.0, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row, over its whole text.
 
     Tokens are a text's words, A-Z lower-cased, then one end. Training takes the rows whose key's crc32 is not
@@ -268,28 +278,25 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: i
     blocks = max(1, -(-n * BITS_PER_TOKEN // BLOCK_BITS))
     passes = max(1, -(-(blocks * BLOCK_BITS // 8 + 12 * v) // pass_bytes))
     known = texts.withColumn("found", F.lit(b""))
-    for i in range(passes):
-        if i:
-            known = base.staged(known, "found")
-        known = filled(known, spark.sparkContext.broadcast(lookup_of_pass(train, words, blocks, i, passes)))
+    for i in range(passes - 1):
+        known = base.staged(filled(known, spark.sparkContext.broadcast(lookup_of_pass(train, words, blocks, i, passes))), "found")
+    lookup = spark.sparkContext.broadcast(lookup_of_pass(train, words, blocks, passes - 1, passes))
     floor = np.log10(n + added * (v + 1)) if n else 0.0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in base.slices(batch):
-                raw = part.column("found").to_pylist()
-                size = np.array([len(r) // FOUND.itemsize for r in raw], dtype=np.int64)
-                found = np.frombuffer(b"".join(raw), dtype=FOUND)
-                begin = np.cumsum(size) - size
+            for part in base.slices(batch, most=LOOKUP_SLICE):
+                found, at = looked_up(part, lookup.value)
+                begin = at[:-1]
                 c = found["count"].astype(np.float64)
                 history = np.roll(c, 1)
-                history[begin] = c[begin + size - 1]  # the last token of every text is the end
+                history[begin] = c[at[1:] - 1]  # the last token of every text is the end
                 alone = np.log10(c + added) - floor
                 pair = np.minimum(count_at(found["level"].astype(np.float64)), np.minimum(c, history))
                 joint = np.log10(pair + prior * 10**alone) - np.log10(history + prior)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(size),
+                        part.column("doc_id"), pa.array(np.diff(at)),
                         pa.array(np.add.reduceat((c > 0).astype(np.int64), begin)),
                         pa.array(np.add.reduceat(alone, begin)), pa.array(np.add.reduceat(joint, begin)),
                     ],
@@ -310,9 +317,10 @@ def lookup_of_pass(train: DataFrame, words: DataFrame, blocks: int, i: int, pass
     rows = sorted(own.select("group", "words", "counts").collect())
     hashes = np.frombuffer(b"".join(r.words for r in rows), dtype=U64)
     counts = np.frombuffer(b"".join(r.counts for r in rows), dtype=np.uint32)
+    del rows
     first, last = blocks * i // passes, blocks * (i + 1) // passes
     bits = np.zeros((last - first, BLOCK_BITS // 8), dtype=np.uint8)
     if last > first:
-        for r in filter_blocks(train, blocks, first, last).collect():
+        for r in base.staged(filter_blocks(train, blocks, first, last), "blocks").toLocalIterator():
             bits[r.block - first] = np.frombuffer(r.bits, dtype=np.uint8)
     return Lookup(hashes, counts, blocks, first, bits)
