@@ -80,3 +80,28 @@ def texts_only(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(
         F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
+
+
+#: Values of a key's hash that without() broadcasts at most, at any size of the tables.
+BUCKETS = 1 << 20
+
+
+def without(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of df whose keys (null is a value) are not in gone.
+
+    The hash buckets of what goes are broadcast, BUCKETS rows at most; only rows in such a bucket are shuffled.
+    """
+    def bucket(columns: list[Column]) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).alias("__bucket")
+
+    own = [F.col(f"`{k}`") for k in keys]
+    gone = gone.select(*(c.alias(f"__gone{i}") for i, c in enumerate(own)))
+    hits = gone.select(bucket([F.col(c) for c in gone.columns])).distinct()
+    dealt = df.withColumn("__bucket", bucket(own))
+    far = dealt.join(F.broadcast(hits), "__bucket", "left_anti").drop("__bucket")
+    near = dealt.join(F.broadcast(hits), "__bucket", "left_semi").drop("__bucket")
+    same = [c.eqNullSafe(F.col(f"__gone{i}")) for i, c in enumerate(own)]
+    condition = same[0]
+    for more in same[1:]:
+        condition &= more
+    return far.unionByName(near.join(gone, condition, "left_anti"))

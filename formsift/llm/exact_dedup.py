@@ -146,11 +146,11 @@ RESULT = "doc_id long, keep_id long, group_size long, kept boolean, digest strin
 
 def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    stays = exact_duplicates(docs, key, text).where("kept").select("file", "place")
     try:
         whole = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place"))
     except AnalysisException:
-        docs = base.staged(docs, "documents")
-        return drop_exact_duplicates(docs, key, text)
-    same = (F.col("__file") == F.col("file")) & (F.col("__place") == F.col("place"))
-    return whole.join(stays, same, "left_semi").drop("__file", "__place")
+        return drop_exact_duplicates(base.staged(docs, "documents"), key, text)
+    gone = base.staged(exact_duplicates(docs, key, text).where("not kept").select(
+        F.col("file").alias("__file"), F.col("place").alias("__place")
+    ), "gone")
+    return base.without(whole, gone, ["__file", "__place"]).drop("__file", "__place")

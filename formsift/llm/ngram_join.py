@@ -336,3 +336,11 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str
         F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of documents that are the first of their component, with all columns; rows without a key stay."""
+    found = ngram_components(docs, size, percent, key, text).where("doc_id is not null")
+    first = F.max((F.col("component_id") == F.col("doc_id")).cast("int")).alias("first")
+    gone = base.staged(found.groupBy("doc_id").agg(first).where("first = 0").select("doc_id"), "gone")
+    return base.without(docs, gone.select(F.col("doc_id").alias(key)), [key])

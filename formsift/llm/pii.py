@@ -190,8 +190,15 @@ def boosted(rows: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: in
 
 
 def candidates(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, text and for every kind the base matches (base_*) and the proposed ones (more_*)."""
-    rows = base.texts_only(docs, key, text)
+    """doc_id, text, row and for every kind the base matches (base_*) and the proposed ones (more_*).
+
+    row holds all other columns, whatever their names; where nothing reads it, it is not read.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    rows = docs.select(
+        F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+        F.struct(*others).alias("row"),
+    )
     rows = rows.withColumn("t", F.translate("text", OPEN + CLOSE, OTHER + OTHER))
     trigger = {"email": "@|[\\[(] ?(?:at|AT)", "ip": "[0-9]\\.[0-9]", "card": "[0-9]", "phone": "[0-9]"}
     rows = computed(
@@ -200,8 +207,8 @@ def candidates(docs: DataFrame, key: str, text: str) -> DataFrame:
         **{f"more_{k}": pieces("t", MORE[k], trigger[k]) for k in KINDS},
     )
     names = [f"{n}_{k}" for n in ("base", "more") for k in KINDS]
-    found = computed(rows.select("doc_id", "text", *(F.col(n).alias(f"cut_{n}") for n in names)), **{n: F.expr(spans(f"cut_{n}")) for n in names})
-    return found.select("doc_id", "text", *names)
+    found = computed(rows.select("doc_id", "text", "row", *(F.col(n).alias(f"cut_{n}") for n in names)), **{n: F.expr(spans(f"cut_{n}")) for n in names})
+    return found.select("doc_id", "text", "row", *names)
 
 
 def fit_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", precision: float = 0.99) -> PiiModel:
@@ -246,7 +253,7 @@ def threshold(score: np.ndarray, target: np.ndarray, weight: np.ndarray, precisi
 
 
 def pii_spans(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, base, all for every row; spans are structs (kind, s, e) by code points, end exclusive.
+    """doc_id, text, row (all other columns), base, all for every row; spans are structs (kind, s, e) by code points, end exclusive.
 
     base has the matches of the fixed rules that pass their checks, by kind, then begin. all has these and what the
     model adds: proposed spans that reach their kind's threshold and meet no base span of any kind and no better
@@ -265,10 +272,10 @@ def pii_spans(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str =
     }
     rows = computed(found, **kept, **scored)
     rows = computed(
-        rows.select("doc_id", "text", *kept, *scored),
+        rows.select("doc_id", "text", "row", *kept, *scored),
         base=F.concat(*(F.col(f"ok_{k}") for k in KINDS)),
         proposed=F.concat(*(F.col(f"new_{k}") for k in KINDS)),
-    ).select("doc_id", "text", "base", "proposed")
+    ).select("doc_id", "text", "row", "base", "proposed")
     # by begin, so that what a span meets is near it; ties go to the better, then the longer, then the kind listed first
     rows = computed(
         rows,
@@ -280,7 +287,7 @@ def pii_spans(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str =
         added=F.expr(f"transform(filter(free, x -> NOT exists(free, y -> x.s < y.e AND y.s < x.e AND {better})), x -> struct(x.kind AS kind, x.s AS s, x.e AS e))"),
     )
     by_kind = F.concat(*(F.expr(f"array_sort(filter(concat(base, added), x -> x.kind = '{k}'))") for k in KINDS))
-    return computed(rows.select("doc_id", "text", "base", "added"), all=by_kind).select("doc_id", "text", "base", "all")
+    return computed(rows.select("doc_id", "text", "row", "base", "added"), all=by_kind).select("doc_id", "text", "row", "base", "all")
 
 
 def joined(spans: str) -> Column:
@@ -299,3 +306,20 @@ def redacted(text: str, spans: str) -> Column:
             z -> concat(z.done, substring({text}, cast(z.at + 1 AS int)))
         ) END
     """)
+
+
+def redact(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str = "text", size: str | None = None) -> DataFrame:
+    """All rows and columns, the texts redacted; a column that holds the text's length (size) follows. Null stays null."""
+    found = pii_spans(docs.withColumn("__known", F.col(f"`{text}`").isNotNull()), model, key, text)
+    done = computed(found, redacted=redacted("text", "all"))
+
+    def column(name: str) -> Column:
+        if name == text:
+            return F.when(F.col("known"), F.col("redacted"))
+        if name == size:
+            kind = dict(docs.dtypes)[name]
+            return F.when(F.size("all") > 0, F.length("redacted").cast(kind)).otherwise(F.col("row")[name])
+        return F.col("row")[name]
+
+    # whether the text was null: kept with the other columns, where its name cannot clash
+    return done.withColumn("known", F.col("row")["__known"]).select(*(column(c).alias(c) for c in docs.columns if c != "__known"))
