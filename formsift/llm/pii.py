@@ -144,7 +144,7 @@ class PiiModel:
 
     def sql(self, f: str) -> str:
         def leaf(value: float) -> str:
-            return f"{value:.6f}D"
+            return f"{value!r}D"
 
         terms = [leaf(self.shift)]
         for a, x, b, y, c, z, (p, q, r, s) in self.trees:
@@ -244,12 +244,18 @@ def arrays(table: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def threshold(score: np.ndarray, target: np.ndarray, weight: np.ndarray, precision: float) -> float:
-    """The least score from which on at least this share is right, 0.5 at least; beyond 1 where there is none."""
+    """Halfway between the least score from which on at least this share is right and the next lower one.
+
+    It is 0.5 at least, and beyond 1 where there is no such score.
+    """
     order = np.argsort(-score, kind="stable")
     right, all_ = np.cumsum((weight * target)[order]), np.cumsum(weight[order])
     last = np.append(score[order][1:] != score[order][:-1], True) if len(score) else np.empty(0, bool)
     good = np.flatnonzero(last & (right >= precision * all_))
-    return max(0.5, float(score[order][good[-1]])) if len(good) else 2.0
+    if not len(good):
+        return 2.0
+    lower = score[order][good[-1] + 1] if good[-1] + 1 < len(score) else 0.0
+    return max(0.5, float(score[order][good[-1]] + lower) / 2)
 
 
 def pii_spans(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str = "text") -> DataFrame:
