@@ -112,6 +112,11 @@ VERDICT = CONFIDENCES + ["status", "review_reason"]
 RESULT_COLUMNS = ["processed_at", "processing_time_seconds", "file_name", "file_type"] + FIELDS + VERDICT
 TEST_RESULT_COLUMNS = ["file_name", "file_type"] + FIELDS + VERDICT
 REPORT_COLUMNS = ["file_name", "gcs_uri"] + FIELDS + VERDICT + ["processed_at"]
+#: The warehouse table: every column with its type.
+TABLE_TYPES = {
+    "file_name": "string", "gcs_uri": "string", **dict.fromkeys(FIELDS, "string"), **dict.fromkeys(CONFIDENCES, "double"),
+    "status": "string", "review_reason": "string", "processed_at": "timestamp", "raw_text": "string",
+}
 STATISTICS_COLUMNS = ["section", "file_type", "status", "total", "percentage", "ratio"]
 
 ACCURACY_FORMULA = "Pass / (Pass + Fail), excluding Not Verifiable fields"

@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from formsift import constants as K
 from formsift.functions import compare as C, text as T
-from formsift.operators.report import metric_rows
+from formsift.operators.report import latest_by_key, metric_rows
 
 
-def join_truth(truth: DataFrame, results: DataFrame) -> DataFrame:
+def join_truth(truth: DataFrame, results: DataFrame, recency: list[str] | None = None) -> DataFrame:
     """Every truth row with its result, blanks where there is none.
 
-    `results` must hold one row per file (see `report.latest_by_key`). Truth rows are kept as they are,
-    repeated ones too.
+    Of several results for one file the last by `recency` counts (by default by `processed_at` where there is
+    one, then by the compared columns). Truth rows are kept as they are, repeated ones too.
     """
-    extracted = results.select(
+    if recency is None:
+        recency = [c for c in ("processed_at", *K.CHECKED_FIELDS, "status", "review_reason") if c in results.columns]
+    extracted = latest_by_key(results, "file_name", recency).select(
         F.col("file_name"),
         *[F.col(field).alias(f"got_{field}") for field in K.CHECKED_FIELDS],
         "status",

@@ -15,21 +15,14 @@ from formsift.operators.stages import built_once, computed
 
 
 def with_facts(df: DataFrame, text: str = "raw_text") -> DataFrame:
-    """Adds `lines`, `facts` (line facts) and `low_text` (all lines, lower case).
-
-    Facts are only worked out where something can be found: a street line or the employer's anchor.
-    """
+    """Adds `lines`, `facts` (line facts) and `low_text` (all lines, lower case)."""
     df = df.withColumn("lines", T.split_lines(F.col(text)))
     return df.withColumns({"facts": facts_of("lines"), "low_text": F.lower(F.array_join("lines", " "))})
 
 
 @built_once
 def facts_of(lines: str) -> Column:
-    promising = F.exists(lines, L.is_street) | F.exists(
-        lines, lambda line: line.contains(K.EMPLOYER_ANCHOR)
-    )
-    wanted = F.when(promising, F.col(lines)).otherwise(F.filter(lines, lambda _: F.lit(False)))
-    return F.transform(wanted, L.line_facts)
+    return F.transform(lines, L.line_facts)
 
 
 def anchor(facts: Column, mark: str) -> Column:
@@ -284,8 +277,12 @@ def with_candidates(df: DataFrame, text: str = "raw_text", person: str | None =
     return work.withColumn("_full", F.when(incomplete, best_in("facts", "low_text", person)))
 
 
-def extract_fields(df: DataFrame, text: str = "raw_text", person: str | None = None) -> DataFrame:
-    """`df` with six nullable text fields added; its other columns pass through.
+def extract_fields(
+    df: DataFrame, text: str = "raw_text", person: str | None = None, fields: list[str] = K.FIELDS
+) -> DataFrame:
+    """`df` with six nullable text fields added, or those wanted; its other columns pass through.
+
+    What no wanted field needs is not searched for.
 
     The employee's block is searched first (N8). Only where a part is missing is the whole document
     searched (N9), and each part is filled by itself (N10); the name order is decided last, with the
@@ -293,15 +290,12 @@ def extract_fields(df: DataFrame, text: str = "raw_text", person: str | None = N
     """
     work = with_candidates(df, text, person)
     work = work.withColumn("_name", F.coalesce("_block.name", "_full.name"))
-    found = computed(
-        work,
-        {
-            "employee_name": T.order_name(F.col("_name"), F.col("low_text")),
-            "employee_address": F.coalesce("_block.address", "_full.address"),
-            "employee_ssn": T.personal_id(F.col(text)),
-            "employer_name": employer_name(F.col("employer_lines")),
-            "employer_address": employer_address_of("employer_lines"),
-            "employer_ein": T.employer_id(F.col(text)),
-        },
-    )
-    return found.select(*df.columns, *K.FIELDS)
+    found = {
+        "employee_name": T.order_name(F.col("_name"), F.col("low_text")),
+        "employee_address": F.coalesce("_block.address", "_full.address"),
+        "employee_ssn": T.personal_id(F.col(text)),
+        "employer_name": employer_name(F.col("employer_lines")),
+        "employer_address": employer_address_of("employer_lines"),
+        "employer_ein": T.employer_id(F.col(text)),
+    }
+    return computed(work, {field: found[field] for field in fields}).select(*df.columns, *fields)

@@ -12,15 +12,17 @@ SECTIONS = ["all", *K.FILE_TYPES]
 
 
 def latest_by_key(df: DataFrame, key: str, recency: list[str]) -> DataFrame:
-    """G1: the last row of every key, by the recency columns and then by all others.
+    """G1: the last row of every key by the recency columns, which must tell its rows apart.
 
     An aggregate, not a window: rows are reduced before the shuffle, so a key that holds a large part
-    of the table does not end in one task. Blank keys are dropped and keys are stripped.
+    of the table does not end in one task. Every column is an aggregate of its own, ordered by recency only:
+    columns that nothing reads are neither shuffled nor compared, and maps may be among them. Blank keys are
+    dropped and keys are stripped.
     """
-    rest = [c for c in df.columns if c not in {key, *recency}]
     keyed = df.withColumn(key, T.strip(F.col(key))).filter(F.col(key) != "")
-    best = keyed.groupBy(key).agg(F.max(F.struct(*recency, *rest)).alias("_last"))
-    return best.select(*[F.col(key) if c == key else F.col(f"_last.{c}").alias(c) for c in df.columns])
+    order = F.struct(*recency)
+    rest = [F.max_by(c, order).alias(c) for c in df.columns if c != key]
+    return (keyed.groupBy(key).agg(*rest) if rest else keyed.select(key).distinct()).select(df.columns)
 
 
 def section_counts(results: DataFrame) -> DataFrame:

@@ -8,18 +8,29 @@ from formsift import constants as K
 from formsift.operators import runs
 from formsift.operators.extract import extract_fields
 from formsift.operators.validate import assemble_results, validate_fields
+from formsift.sources import tables
 
 
 def process_documents(df: DataFrame, columns: list[str] = K.RESULT_COLUMNS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Result rows for documents (file_name, raw_text, error, processed_at, processing_time_seconds).
 
-    A map over the input: no shuffle between the scan and the result.
+    A map over the input: no shuffle between the scan and the result. With fewer columns only the fields
+    and verdicts behind them are worked out.
     """
-    return assemble_results(validate_fields(extract_fields(df)), columns, keep)
+    verdict = [c for c in K.VERDICT if c in columns]
+    fields = [c for c in K.FIELDS if c in columns or (verdict and c in K.CHECKED_FIELDS)]
+    rows = extract_fields(df, fields=fields) if fields else df
+    return assemble_results(validate_fields(rows, columns=verdict) if verdict else rows, columns, keep)
 
 
 def next_run(texts: DataFrame, listed: DataFrame, results: DataFrame, size: int | None = 50, retry_failed: bool = True) -> DataFrame:
-    """One batch run: results after the next slice of pending documents is processed."""
-    batch = runs.next_batch(runs.pending(listed, runs.done_files(results, retry_failed)), size)
-    todo = texts.join(batch.select("file_name"), "file_name", "left_semi")
-    return runs.upsert(results, process_documents(todo), keys=todo)
+    """One batch run: results after the next slice of pending documents is processed.
+
+    Documents are the listed paths. Where two of them have one base name, both are processed and the later path's
+    result stays, as the result's key is the base name. A listed document without a text keeps its old result.
+    The new results are stored once, since the merge reads them twice.
+    """
+    batch = tables.stored(runs.next_batch(runs.pending(listed, runs.done_files(results, retry_failed)), size), "batch")
+    todo = texts.join(batch.select("path"), "path", "left_semi")
+    new = tables.stored(process_documents(todo, keep=("path",)), "new")
+    return runs.upsert(results, new, order=["path"])

@@ -16,6 +16,7 @@ def local_session(cores: str = "*", app: str = "formsift", **conf: str) -> Spark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.minPartitionNum", cores if cores.isdigit() else str(os.cpu_count() or 1))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from formsift.constants import STATES
-from formsift.sources.tables import spread
 
 FIRST = ["James", "Maria", "Robert", "Linda", "Daniel", "Susan", "Carlos"]
-LAST = ["Hensley", "Cox", "Bailey", "Lawson", "Robertson", "Martinez", "Nguyen", "Fletcher", "Dalton",
+LAST = ["Harlowe", "Cox", "Bailey", "Lawson", "Robertson", "Martinez", "Nguyen", "Fletcher", "Dalton",
         "Whitfield", "Okafor"]
-ROAD = ["Harding Shoals", "Maple Street", "Freeman Radial Apt. 609", "Cedar Plaza", "Walnut Crest"]
-CITY = ["Leeton", "Morganberg", "Erinville", "Port Alder", "Lake Debra", "Newfield", "Brookhaven",
+ROAD = ["Quill Shoals", "Maple Street", "Juniper Radial Apt. 7", "Cedar Plaza", "Walnut Crest"]
+CITY = ["Tarnwick", "Sedgebury", "Wrenfold", "Port Alder", "Lake Osmer", "Newfield", "Brookhaven",
         "Fairmont", "Oakdale", "Grantsburg", "Ridgefield", "Ashford", "West Adams"]
 
 
@@ -67,6 +66,10 @@ def forms_sql(pick, customer: str, supplier: str) -> str:
     return f"""
 SELECT k, v, path, substring_index_path AS file_name,
   CASE WHEN k % 97 = 0 THEN NULL
+       WHEN k % 101 = 50 THEN concat('Employee''s first name and initial', chr(10), first_name, ' ', last_name,
+                                     chr(10), 'Employee''s address and ZIP code')
+       WHEN k % 101 = 51 THEN concat('c Employer''s name, address, and ZIP code', chr(10), company, chr(10), 'd Control number')
+       WHEN k % 101 = 52 THEN concat('Cover sheet', chr(10), 'nothing to see')
        WHEN k % 17 = 0 THEN replace(text, chr(10), concat(chr(13), chr(10)))
        ELSE text END AS raw_text,
   CASE WHEN k % 97 = 0 THEN concat('OCR service error ', CAST(k % 7 AS STRING)) END AS error,
@@ -149,11 +152,10 @@ def forms_from(spark: SparkSession, customer: str, supplier: str) -> DataFrame:
 def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One synthetic form per customer row.
 
-    A form is about a hundred times the size of the key it is made from, so the keys are spread over
-    the cores first; a small customer file would otherwise end in one task.
+    A form is about a hundred times the size of the key it is made from, so the keys are dealt out first.
     """
     keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
-    spread(keys, "c_custkey").createOrReplaceTempView("form_keys")
+    keys.repartition(spark.sparkContext.defaultParallelism, "c_custkey").createOrReplaceTempView("form_keys")
     return forms_from(spark, "form_keys", f"parquet.`{sf_dir}/supplier.parquet`")
 
 

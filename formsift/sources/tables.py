@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T_
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from formsift import constants as K
 from formsift.functions import text as T
@@ -43,43 +47,53 @@ def decode_text(content: Column) -> Column:
     return F.coalesce(F.make_valid_utf8(content.cast("string")), F.lit(""))
 
 
+def document_name(text_name: Column) -> Column:
+    """Name of the document that a cached text belongs to."""
+    return F.regexp_replace(text_name, r"\.txt\z", ".pdf")
+
+
 def read_ocr_texts(spark: SparkSession, root: str) -> DataFrame:
-    """One row per text file, (file_name, raw_text); the whole text is one value."""
+    """One row per text file, (file_name, raw_text): the document's name, and the whole text as one value."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
     return files.select(
-        F.col("_metadata.file_name").alias("file_name"), decode_text(F.col("value")).alias("raw_text")
+        document_name(F.col("_metadata.file_name")).alias("file_name"), decode_text(F.col("value")).alias("raw_text")
     )
 
 
-def _csv(spark: SparkSession, path: str, columns: list[str], one_line: bool) -> DataFrame:
-    schema = T_.StructType([T_.StructField(c, T_.StringType()) for c in columns])
-    return spark.read.csv(
-        path, schema=schema, header=True, multiLine=not one_line, escape='"', enforceSchema=True,
-        encoding="UTF-8",
-    )
+def _csv(spark: SparkSession, path: str, columns: list[str], one_line: bool) -> tuple[DataFrame, list[Column]]:
+    """A CSV table with the names of its header, and the wanted columns of it: text, '' where it has none."""
+    rows = spark.read.csv(path, header=True, multiLine=not one_line, escape='"', encoding="UTF-8")
+    there = {c.lstrip("\ufeff").strip(): c for c in rows.columns}
+    return rows, [
+        (F.coalesce(F.col(f"`{there[c]}`"), F.lit("")) if c in there else F.lit("")).alias(c) for c in columns
+    ]
 
 
 def read_results_csv(
     spark: SparkSession, path: str, columns: list[str] = K.RESULT_COLUMNS, one_line: bool = False
 ) -> DataFrame:
-    """S3: results from CSV as text, the last row of a repeated file winning.
+    """S3: results from CSV as text, by the names of the header, the last row of a repeated file winning.
+
+    The order of columns does not matter; one that is not there is blank, further ones are left out.
 
     Row order is (file, offset of the split, position in the split). Values may hold line breaks, so a
     file is one split; pass `one_line` for large files without such values, which then split. For
     volume keep results as a table (`write_results`).
     """
-    rows = _csv(spark, path, columns, one_line).select(
-        "*",
+    rows, wanted = _csv(spark, path, columns, one_line)
+    rows = rows.select(
+        *wanted,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
-    ).fillna("")
+    )
     return R.latest_by_key(rows, "file_name", ["_file", "_block", "_row"]).select(columns)
 
 
 def read_truth_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
-    """Ground truth from CSV, repeated rows kept."""
-    return _csv(spark, path, TRUTH_COLUMNS, one_line).fillna("")
+    """Ground truth from CSV by the names of the header, repeated rows kept."""
+    rows, wanted = _csv(spark, path, TRUTH_COLUMNS, one_line)
+    return rows.select(*wanted)
 
 
 def typed(rows: DataFrame) -> DataFrame:
@@ -101,21 +115,41 @@ def write_csv(rows: DataFrame, path: str) -> None:
     as_text(rows).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", quoteAll=False)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside an output, removed when the block ends, after a failure as well."""
+    folder = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
+def _write(rows: DataFrame, path: str, fmt: str) -> None:
+    if fmt == "csv":
+        write_csv(rows, path)
+    else:
+        rows.write.mode("overwrite").parquet(path)
+
+
 def write_results(
     results: DataFrame, path: str, columns: list[str] = K.RESULT_COLUMNS, fmt: str = "parquet"
 ) -> None:
     """Results in fixed column order, sorted by file, replacing what was there.
 
     A global sort first samples its input and then reads it again. The rows are stored unsorted before,
-    so that the documents behind them are worked on once.
+    beside the output, so that the documents behind them are worked on once.
     """
-    staged = scratch_folder(results.sparkSession, "staged")
-    results.select(columns).write.parquet(staged)
-    rows = results.sparkSession.read.parquet(staged).orderBy("file_name")
-    if fmt == "csv":
-        write_csv(rows, path)
-    else:
-        rows.write.mode("overwrite").parquet(path)
+    spark = results.sparkSession
+    with staging(spark, path) as folder:
+        results.select(columns).write.parquet(folder)
+        _write(spark.read.parquet(folder).orderBy("file_name"), path, fmt)
 
 
 def write_manual_review(results: DataFrame, path: str, columns: list[str] = K.RESULT_COLUMNS, fmt: str = "parquet") -> None:
@@ -123,17 +157,23 @@ def write_manual_review(results: DataFrame, path: str, columns: list[str] = K.RE
     write_results(runs.manual_review(results), path, columns, fmt)
 
 
-def write_all(results: DataFrame, listed: DataFrame, folder: str) -> None:
-    """The four outputs of a run.
+def write_all(
+    results: DataFrame,
+    listed: DataFrame,
+    folder: str,
+    batch_seconds: float | None = None,
+    updated_at: str | None = None,
+) -> None:
+    """The four outputs of a run; the summary has its two clock metrics where their values are given.
 
     The results are worked out once: the other three are taken from the written table, which also cuts
-    their lineage.
+    their lineage. What is written sorted is not sorted again.
     """
     spark = results.sparkSession
     write_results(results, f"{folder}/results")
     stored = spark.read.parquet(f"{folder}/results")
-    write_manual_review(stored, f"{folder}/manual_review")
-    R.run_summary(stored, listed).write.mode("overwrite").parquet(f"{folder}/summary")
+    _write(runs.manual_review(stored).select(K.RESULT_COLUMNS).orderBy("file_name"), f"{folder}/manual_review", "parquet")
+    R.run_summary(stored, listed, batch_seconds=batch_seconds, updated_at=updated_at).write.mode("overwrite").parquet(f"{folder}/summary")
     R.status_statistics(stored).write.mode("overwrite").parquet(f"{folder}/status_statistics")
 
 
@@ -144,8 +184,10 @@ def load_table(rows: DataFrame, table: str, path: str) -> DataFrame:
 
 
 def append_results(rows: DataFrame, path: str) -> None:
-    """Appends a batch of results."""
-    rows.write.mode("append").parquet(path)
+    """Appends a batch of results in the columns and types of the warehouse table; absent ones are NULL."""
+    rows.select(
+        *[(F.col(c) if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in K.TABLE_TYPES.items()]
+    ).write.mode("append").parquet(path)
 
 
 def write_reports(results: DataFrame, folder: str) -> None:
@@ -155,19 +197,12 @@ def write_reports(results: DataFrame, folder: str) -> None:
     R.pipeline_summary(results).write.mode("overwrite").parquet(f"{folder}/pipeline_summary")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer splits than cores is spread over the cores; a large scan stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own below the shared folder the session names in spark.checkpoint.dir.
 
     Only where none is set, and only in local mode, a temporary folder is used.
     """
     import tempfile
-    import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
@@ -175,3 +210,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="formsift-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back: worked out once, however often they are read."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -310,7 +310,7 @@ STEPS = {
     "anchors": f"""
 SELECT k, min(line_no) FILTER (contains(line, {quoted(K.EMPLOYER_ANCHOR)})) AS employer_start,
   min(line_no) FILTER (contains(line, {quoted(K.EMPLOYEE_ANCHOR)})) AS employee_start
-FROM flagged GROUP BY k""",
+FROM (SELECT f.k, line_no, line FROM forms f LEFT JOIN flagged l ON l.k = f.k) GROUP BY k""",
     "bounds": f"""
 SELECT a.k, any_value(employer_start) AS employer_start, any_value(employee_start) AS employee_start,
   min(line_no) FILTER (line_no > employer_start AND
@@ -500,7 +500,7 @@ SELECT file_name, file_type, field_name, expected_value, extracted_value, status
     WHEN a = '' AND b = '' THEN 'Pass' WHEN a = '' OR b = '' THEN 'Fail'
     WHEN a = b THEN 'Pass' WHEN field_name <> 'employee_address' THEN 'Fail'
     WHEN {state_for_compare('want')} = {state_for_compare('have')} AND {zip_for_compare('want')} = {zip_for_compare('have')}
-      AND len(a) = len(b) AND 1 - CAST(hamming(rpad(a, 200, ' '), rpad(b, 200, ' ')) AS DOUBLE) / len(a) >= 0.9 THEN 'Pass'
+      AND len(a) = len(b) AND 1 - CAST(hamming(rpad(a, greatest(len(a), len(b))::INTEGER, ' '), rpad(b, greatest(len(a), len(b))::INTEGER, ' ')) AS DOUBLE) / len(a) >= 0.9 THEN 'Pass'
     ELSE 'Fail' END AS result
 FROM (SELECT *, {strip('expected_value')} AS want, {strip('extracted_value')} AS have,
         {alnum_for_compare('expected_value')} AS a, {alnum_for_compare('extracted_value')} AS b FROM unpivoted)""",

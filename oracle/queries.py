@@ -41,6 +41,35 @@ PENDING = (
 )
 
 
+# a third folder: every forty-first form again, failed; every forty-third listed without a text there
+CROWDED = (
+    f"(SELECT path FROM {LISTED} UNION ALL SELECT 'raw/c/' || file_name FROM forms"
+    " WHERE (k % 41 = 7 OR k % 43 = 9) AND lower(file_name) LIKE '%.pdf')"
+)
+
+
+def merged_run(cap: str) -> str:
+    """Stored results after the pending paths, or the first of them, are processed; the later path of a name stays."""
+    batch = (
+        f"(SELECT path, string_split(path, '/')[-1] AS file_name FROM {CROWDED}"
+        f" WHERE string_split(path, '/')[-1] NOT IN (SELECT file_name FROM {DONE}) {cap})"
+    )
+    blank = {**dict.fromkeys(K.FIELDS, "NULL"), **dict.fromkeys(K.CONFIDENCES, "CAST(0 AS DOUBLE)"),
+             "status": "'FAILED'", "review_reason": "coalesce(f.error, 'read twice')"}
+    failed = ", ".join(f"{blank.get(c, 'r.' + c)} AS {c}" for c in K.RESULT_COLUMNS if c != "processed_at")
+    new = (
+        f"(SELECT b.path, r.* FROM {batch} b JOIN forms f ON f.path = b.path AND f.k % 43 <> 10"
+        " JOIN results r ON r.file_name = f.file_name"
+        f" UNION ALL SELECT b.path, r.processed_at, {failed} FROM {batch} b JOIN forms f"
+        " ON b.path = 'raw/c/' || f.file_name AND f.k % 41 = 7 JOIN results r ON r.file_name = f.file_name)"
+    )
+    last = f"(SELECT * FROM {new} QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY path DESC) = 1)"
+    return (
+        f"SELECT {RESULT_SECONDS} FROM {last} UNION ALL SELECT {RESULT_SECONDS} FROM latest_prior"
+        f" WHERE file_name NOT IN (SELECT file_name FROM {new})"
+    )
+
+
 def place_of(condition: str) -> str:
     return (
         "(SELECT a.*, p.place FROM ahead a JOIN (SELECT k, pos, min(off) AS place FROM ahead"
@@ -127,7 +156,7 @@ SUMMARY_METRICS = {
     "accuracy_formula": Q.quoted(K.ACCURACY_FORMULA), "precision_formula": Q.quoted(K.PRECISION_FORMULA),
 }
 PRIOR_TEXT = ", ".join(
-    f"coalesce({c}, '') AS {c}" for c in ("file_name", "file_type", "employee_name", "status", "review_reason")
+    f"coalesce({c}::VARCHAR, '') AS {c}" for c in K.RESULT_COLUMNS if c != "processed_at"
 )
 NUMBERISH = (
     r"regexp_full_match(line, '[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+)?')"
@@ -135,38 +164,39 @@ NUMBERISH = (
 
 SELECTS = {
     "s1_list_documents": f"SELECT path FROM {LISTED} ORDER BY path",
-    "s2_read_ocr_text": "SELECT replace(file_name, '.pdf', '.txt') AS text_name, coalesce(raw_text, '') AS raw_text FROM forms"
-    " UNION ALL SELECT 'doc_' || doc_id || '.txt', coalesce(text, '') FROM documents",
+    "s2_read_ocr_text": "SELECT file_name, coalesce(raw_text, '') AS raw_text FROM forms"
+    " UNION ALL SELECT 'doc_' || doc_id || '.pdf', coalesce(text, '') || CASE WHEN doc_id % 7 = 3 THEN chr(65533) ELSE '' END"
+    " FROM documents",
+    "s2_read_text_files": "SELECT regexp_replace(file_name, '\\.[A-Za-z]+$', '') || '.pdf' AS file_name, raw_text || chr(10) AS raw_text"
+    " FROM forms WHERE raw_text IS NOT NULL AND k IN (SELECT s_suppkey FROM supplier)",
     "s3_read_results_csv": f"SELECT {PRIOR_TEXT} FROM latest_prior",
     "s4_read_truth_csv": "SELECT file_name, file_type, employee_name, employee_address, employee_ssn, notes FROM truth",
     "s5_write_results": f"SELECT {RESULT_SECONDS} FROM results",
-    "s6_write_manual_review": "SELECT file_name, status, review_reason FROM latest_prior WHERE status IS DISTINCT FROM 'AUTO_APPROVED'",
+    "s6_write_manual_review": f"SELECT {RESULT_SECONDS} FROM latest_prior WHERE status IS DISTINCT FROM 'AUTO_APPROVED'",
     "s7_write_all": "SELECT 'results' AS output, file_name AS item, status AS value FROM latest_prior"
     " UNION ALL SELECT 'manual_review', file_name, status FROM latest_prior WHERE status IS DISTINCT FROM 'AUTO_APPROVED'"
-    f" UNION ALL SELECT 'summary', metric, value FROM ({summary('latest_prior', 'forms')})"
+    f" UNION ALL SELECT 'summary', metric, value FROM ({summary('latest_prior', LISTED)})"
+    " UNION ALL SELECT 'summary', unnest(['current_batch_runtime_seconds', 'last_updated']), unnest(['12.5', '2024-01-01 00:00:00'])"
     f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, total::DOUBLE::VARCHAR FROM ({distribution('latest_prior')})"
     f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, ratio::VARCHAR FROM ({ratios('latest_prior')})",
     "s8_load_table": f"SELECT {RESULT_SECONDS} FROM latest_prior",
-    "s9_append_results": "SELECT file_name, status, seq, path AS gcs_uri FROM prior",
+    "s9_append_results": f"SELECT file_name, path AS gcs_uri, {FIELDS}, {VERDICT}, epoch(processed_at)::BIGINT AS processed_at, raw_text"
+    " FROM prior LEFT JOIN (SELECT file_name, raw_text FROM forms) USING (file_name)",
     "s10_already_processed": "SELECT file_name, path FROM forms f WHERE EXISTS (SELECT 1 FROM latest_prior p WHERE p.file_name = f.file_name)",
     "s11_fetch_results": "SELECT file_name, path AS gcs_uri, " + FIELDS + ", " + VERDICT
     + ", epoch(processed_at)::BIGINT AS processed_at FROM latest_prior ORDER BY file_name LIMIT 1000",
     "c1_done_files": f"SELECT file_name FROM {DONE}",
     "c2_pending": PENDING,
     "c3_next_batch": f"{PENDING} ORDER BY path LIMIT 50",
-    "c4_allow_listed": "SELECT string_split(path, '/')[-1] AS file_name, path FROM forms"
+    "c4_allow_listed": f"SELECT string_split(path, '/')[-1] AS file_name, path FROM {LISTED}"
     " WHERE string_split(path, '/')[-1] IN (SELECT file_name FROM truth WHERE file_type = 'noisy')",
-    "c5_upsert": f"SELECT {RESULT_SECONDS} FROM results WHERE file_name IN (SELECT file_name FROM ({PENDING}))"
-    f" UNION ALL SELECT {RESULT_SECONDS} FROM latest_prior WHERE file_name NOT IN (SELECT file_name FROM ({PENDING}))",
+    "c5_upsert": merged_run(""),
     "c6_failure_capture": f"SELECT file_name, employee_name, {VERDICT} FROM results",
     "c7_basename": "SELECT path, string_split(path, '/')[-1] AS file_name FROM (SELECT path FROM forms UNION ALL SELECT url FROM pages)",
     "c8_document_type": f"SELECT file_name, {Q.kind_any_case('file_name')} AS file_type FROM forms",
     "c9_document_type_cased": f"SELECT file_name, {Q.kind_cased('file_name')} AS file_type FROM forms",
     "c10_stream_ingest": f"SELECT file_name, {FIELDS}, {VERDICT} FROM results",
-    "c10_next_run": f"SELECT {RESULT_SECONDS} FROM (SELECT * FROM results WHERE file_name IN"
-    f" (SELECT file_name FROM ({PENDING} ORDER BY path LIMIT 50)))"
-    f" UNION ALL SELECT {RESULT_SECONDS} FROM latest_prior WHERE file_name NOT IN"
-    f" (SELECT file_name FROM ({PENDING} ORDER BY path LIMIT 50))",
+    "c10_next_run": merged_run("ORDER BY path LIMIT 50"),
     "t1_squeeze": on_text(Q.squeeze("text")),
     "t2_squeeze_or_null_word": on_truth(Q.squeeze_or_null_word),
     "t3_alnum": on_text(Q.alnum("text")),
@@ -281,7 +311,7 @@ FROM (SELECT *, state AS state_line, {Q.A2_CITY} AS city2, {Q.A2_STATE} AS state
     "g4_status_statistics": f"SELECT *, NULL::DOUBLE AS ratio FROM ({distribution('latest_prior')}) UNION ALL"
     " SELECT section, file_type, status, NULL::BIGINT AS total, NULL::DOUBLE AS percentage, ratio"
     f" FROM ({ratios('latest_prior')})",
-    "g5_run_summary": summary("latest_prior", "forms"),
+    "g5_run_summary": summary("latest_prior", LISTED),
     "g6_status_summary": "SELECT status, count(*) AS total FROM results GROUP BY status",
     "g7_pipeline_summary": f"SELECT {Q.kind_cased('file_name')} AS file_type, status, count(*) AS total FROM results GROUP BY ALL",
     "g8_detail_report": f"SELECT file_name, path AS gcs_uri, {Q.kind_cased('file_name')} AS file_type, {FIELDS}, {VERDICT},"

@@ -17,31 +17,31 @@ def address(spark, *ahead):
 
 @pytest.mark.parametrize("ahead, expected", [
     ((), "12 Elm Street"),
-    (("Leeton NY 12345-6789",), "12 Elm Street Leeton NY 12345-6789"),
-    (("Leeton", "NY 12345"), "12 Elm Street Leeton NY 12345"),
-    (("NY 12345", "X", "Leeton"), "12 Elm Street Leeton NY 12345"),
-    (("NY Leeton 12345", "Oakdale"), "12 Elm Street Oakdale 12345"),
-    (("Leeton NY", "junk", "12345"), "12 Elm Street Leeton NY 12345"),
-    (("Leeton", "NY", "12345"), "12 Elm Street Leeton NY 12345"),
-    (("NY", "Leeton"), "12 Elm Street Leeton NY"),
-    (("Leeton", "12345"), "12 Elm Street 12345"),
+    (("Tarnwick NY 12345-6789",), "12 Elm Street Tarnwick NY 12345-6789"),
+    (("Tarnwick", "NY 12345"), "12 Elm Street Tarnwick NY 12345"),
+    (("NY 12345", "X", "Tarnwick"), "12 Elm Street Tarnwick NY 12345"),
+    (("NY Tarnwick 12345", "Oakdale"), "12 Elm Street Oakdale 12345"),
+    (("Tarnwick NY", "junk", "12345"), "12 Elm Street Tarnwick NY 12345"),
+    (("Tarnwick", "NY", "12345"), "12 Elm Street Tarnwick NY 12345"),
+    (("NY", "Tarnwick"), "12 Elm Street Tarnwick NY"),
+    (("Tarnwick", "12345"), "12 Elm Street 12345"),
     # a 'city ST ZIP' line further down goes before a nearer 'city ST' line
-    (("Leeton NY", "Oakdale TX 54321"), "12 Elm Street Oakdale TX 54321"),
+    (("Tarnwick NY", "Oakdale TX 54321"), "12 Elm Street Oakdale TX 54321"),
     # 'city ST' before a bare state line
-    (("NY", "Leeton TX", "12345"), "12 Elm Street Leeton TX 12345"),
+    (("NY", "Tarnwick TX", "12345"), "12 Elm Street Tarnwick TX 12345"),
     # labels and streets are no cities
-    (("Wages", "99 Oak Road", "Leeton", "NY"), "12 Elm Street Leeton NY"),
+    (("Wages", "99 Oak Road", "Tarnwick", "NY"), "12 Elm Street Tarnwick NY"),
     # the twelfth line is out of reach
-    (tuple(["*"] * 11 + ["Leeton NY 12345"]), "12 Elm Street"),
-    (tuple(["*"] * 10 + ["Leeton NY 12345"]), "12 Elm Street Leeton NY 12345"),
-    (("Leeton NY 12345-678",), "12 Elm Street"),
+    (tuple(["*"] * 11 + ["Tarnwick NY 12345"]), "12 Elm Street"),
+    (tuple(["*"] * 10 + ["Tarnwick NY 12345"]), "12 Elm Street Tarnwick NY 12345"),
+    (("Tarnwick NY 12345-678",), "12 Elm Street"),
 ])
 def test_address_rules(spark, ahead, expected):
     assert address(spark, *ahead) == expected
 
 
 def name(spark, *back):
-    text = "\n".join([*back, "12 Elm Street", "Leeton NY 12345"])
+    text = "\n".join([*back, "12 Elm Street", "Tarnwick NY 12345"])
     df = X.with_facts(spark.createDataFrame([(text,)], "raw_text string"))
     found = df.select(F.inline(X.candidates(F.col("facts"), F.col("low_text")))).collect()
     return found[0]["name"] if found else None
@@ -65,13 +65,13 @@ def test_name_search(spark, back, expected):
 
 
 def test_better_address_of_the_same_street_is_taken(spark):
-    text = "\n".join(["James Cox", "12 Elm Street", *["*"] * 12, "Maria Dalton", "12 Elm Street", "Leeton NY 12345"])
+    text = "\n".join(["James Cox", "12 Elm Street", *["*"] * 12, "Maria Dalton", "12 Elm Street", "Tarnwick NY 12345"])
     df = X.extract_fields(spark.createDataFrame([(text,)], "raw_text string"))
-    assert df.collect()[0]["employee_address"] == "12 Elm Street Leeton NY 12345"
+    assert df.collect()[0]["employee_address"] == "12 Elm Street Tarnwick NY 12345"
 
 
 def test_person_bonus(spark):
-    text = "\n".join(["James Cox", "12 Elm Street", "Leeton NY 12345", *["*"] * 20, "Maria Dalton", "7 Oak Road", "Leeton NY 12345"])
+    text = "\n".join(["James Cox", "12 Elm Street", "Tarnwick NY 12345", *["*"] * 20, "Maria Dalton", "7 Oak Road", "Tarnwick NY 12345"])
     df = spark.createDataFrame([(text, {"Maria Dalton": 45})], "raw_text string, person map<string,int>")
     assert X.extract_fields(df).collect()[0]["employee_name"] == "James Cox"
     assert X.extract_fields(df, person="person").collect()[0]["employee_name"] == "Maria Dalton"
@@ -90,9 +90,9 @@ def test_long_document(spark):
     """Thousands of street lines in one text: whole text searched, best candidate still found."""
     random.seed(5)
     noise = [f"{random.randint(1, 9999)} {random.choice('ABCDEFG')}x Road" for _ in range(3000)]
-    text = "\n".join([*noise, "Employee", "James Cox", "12 Elm Street", "Leeton NY 12345-6789"])
+    text = "\n".join([*noise, "Employee", "James Cox", "12 Elm Street", "Tarnwick NY 12345-6789"])
     row = X.extract_fields(spark.createDataFrame([(text,)], "raw_text string")).collect()[0]
-    assert (row.employee_name, row.employee_address) == ("James Cox", "12 Elm Street Leeton NY 12345-6789")
+    assert (row.employee_name, row.employee_address) == ("James Cox", "12 Elm Street Tarnwick NY 12345-6789")
 
 
 def test_plan_is_a_map_without_python(spark, small, tmp_path):

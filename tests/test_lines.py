@@ -9,13 +9,13 @@ CASES = {
     "l1_number_line": (["12", "1.50", "12345"], ["1.", "a1", "1,5", "-1"]),
     "l2_code_line": (["X", "x", "G", "D", "12", "12a"], ["Y", "12ab", "a12", "XX"]),
     "l3_state_line": (["NY", "DC"], ["ny", "NY,", "New York", "XX"]),
-    "l4_contains_state": (["Leeton NY", "NY", "a TX b"], ["Leeton NY,", "SUNNY", "ny"]),
+    "l4_contains_state": (["Tarnwick NY", "NY", "a TX b"], ["Tarnwick NY,", "SUNNY", "ny"]),
     "l5_zip_line": (["12345", "12345-6789"], ["1234", "12345-678", "123456", "x12345"]),
     "l6_contains_zip": (["NY 12345", "a 12345-6789 b", "(12345)", "12345-"], ["12345-678", "123456", "12345x", "12345-6789-1"]),
     "l7_has_address_word": (["12 Elm ST.", "plaza", "x/way/y"], ["strong", "ways", ""]),
     "l8_company_like": (["Elm Co", "A LLC.", "Cox and Sons"], ["Coco", "Cox and son", "Incan"]),
     "l9_street_line": (["12 Elm St", "123456 A way", "1 Elm  Road"], ["1234567 Elm St", "Elm St", "12 Elm", "12Elm St"]),
-    "l10_city_state_zip_line": (["Leeton NY 12345"], ["Leeton NY", "Leeton 12345", "Leeton NY 12345-678"]),
+    "l10_city_state_zip_line": (["Tarnwick NY 12345"], ["Tarnwick NY", "Tarnwick 12345", "Tarnwick NY 12345-678"]),
     "l11_ignored_word": (["Employee", "PLAN", "third-party"], ["plans", "the plan"]),
     "l12_label_line": (["1 Wages", "Kirsten", "plan", "Estates", "Form W-2"], ["plans", "James Cox"]),
     "l13_title_case_word": (["Cox", "McDonald", "O'Brien", "Cox.", ".Cox", "Ab-c"], ["COX", "cox", "C", "Cox1", "'Cox"]),
