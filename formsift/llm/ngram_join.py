@@ -172,8 +172,25 @@ def stars(signs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return signs[first], keys[first], edges
 
 
+#: Bytes of a signature and of a set's key that travel. Within a group of bounded size few signatures agree in so many
+#: bits by chance; where they do, or where keys do, the sets concerned are compared, as all that share a signature are.
+SIGN_BYTES, KEY_BYTES = 5, 6
+KEY_MASK = (1 << 8 * KEY_BYTES) - 1
+
+
+def packed(values: np.ndarray, size: int) -> np.ndarray:
+    """The low bytes of 64-bit numbers, one row each."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :size]
+
+
+def unpacked(raw: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(raw) // size, 8), dtype=np.uint8)
+    out[:, :size] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, size)
+    return out.view(U64).reshape(-1)
+
+
 def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int) -> DataFrame:
-    """Edges (a, b) between k1 of sets that share a signature, one star for each signature."""
+    """Edges (a, b) between keys of sets that share a signature; the key is k1 & KEY_MASK."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs, keys, n = [], [], 0
@@ -182,7 +199,7 @@ def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int) ->
                 sets, at = shingle_sets(part.column("text"), size)
                 own, row = signatures(sets, at, percent)
                 signs.append(own)
-                keys.append(set_keys(sets, at)[0][row])
+                keys.append((set_keys(sets, at)[0] & KEY_MASK)[row])
                 n += len(own)
                 if n >= 3_000_000:
                     yield dealt(np.concatenate(signs), np.concatenate(keys))
@@ -194,7 +211,8 @@ def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int) ->
         signs, keys, edges = stars(signs, keys)
         group = (signs % U64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
-        group, signs, keys = group[order], signs[order], keys[order]
+        group, signs = group[order], packed(signs[order] // U64(groups), SIGN_BYTES)
+        keys = packed(keys[order], KEY_BYTES)
         own, begin = np.unique(group, return_index=True)
         ends = [*begin[1:], len(group)]
         # the edges found already travel along, spread over the groups
@@ -211,7 +229,7 @@ def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int) ->
 
     def met(rows: pa.Table) -> pa.Table:
         signs, keys, before = (b"".join(rows[c].to_pylist()) for c in ("signs", "keys", "edges"))
-        edges = stars(np.frombuffer(signs, dtype=U64), np.frombuffer(keys, dtype=np.int64))[2]
+        edges = stars(unpacked(signs, SIGN_BYTES), unpacked(keys, KEY_BYTES).view(np.int64))[2]
         edges = np.concatenate([edges, np.frombuffer(before, dtype=np.int64).reshape(-1, 2)])
         links = forest(map(tuple, edges.tolist()))
         return pa.table({"a": pa.array(list(links.keys()), pa.int64()), "b": pa.array(list(links.values()), pa.int64())})
@@ -325,7 +343,7 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str
     with_id = texts.where("doc_id is not null")
     edges = shared_signatures(with_id, size, percent, groups)
     clusters = base.staged(components(edges), "clusters")
-    members = classes.join(clusters, classes["k1"] == clusters["node"]).select(
+    members = classes.join(clusters, F.col("k1").bitwiseAND(KEY_MASK) == clusters["node"]).select(
         classes["node"], "k1", "n_shingles", F.col("component").alias("cluster")
     )
     links = verified(base.staged(members, "members"), with_id, size, percent)
