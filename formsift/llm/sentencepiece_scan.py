@@ -32,6 +32,8 @@ SPACE = "▁"
 #: Characters of a chunk, and from how many on a text is split into chunks.
 CHUNK = 16_384
 GIANT = 65_536
+#: Stands for a character that is no piece; no model has so many pieces.
+NO_PIECE = 0xFFFF
 #: Longer runs between forced boundaries are not remembered.
 LONG_RUN = 64
 
@@ -39,16 +41,21 @@ State = tuple[str, int]  # a piece and the place of its end
 
 
 class Made(dict):
-    """Works a value out when it is asked for first; forgets all at a bounded number."""
+    """Works a value out when it is asked for first; holds a bounded number of the latest ones."""
 
-    def __init__(self, make, bound: int = 500_000):
+    def __init__(self, make, bound: int = 700_000):
         super().__init__()
         self.make, self.bound = make, bound
+        self.older: dict = {}
 
     def __missing__(self, key):
-        if len(self) >= self.bound:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.bound // 2:
+            self.older = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -77,22 +84,21 @@ class Pieces:
         self.ids: dict[str, int] = {}
         self.bytes = [0] * 256
         ranks: dict[str, float] = {}
-        self.decoded: list[bytes] = []
         for i in range(own.get_piece_size()):
             piece = own.id_to_piece(i)
             if own.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
-                self.decoded.append(bytes([int(piece[3:5], 16)]))
-            elif own.is_control(i) or own.is_unknown(i):
-                self.decoded.append(b"")
-            else:
-                self.decoded.append(piece.replace(SPACE, " ").encode())
+            elif not (own.is_control(i) or own.is_unknown(i)):
                 self.ids[piece] = i
                 if len(piece) > 1:
                     ranks[piece] = -own.get_score(i)
         self.longest = max(map(len, self.ids))
         self.together = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.endings = {p[i:] for p in self.ids for i in range(len(p) - 1)}
+        #: Every ending of a piece, with the piece's id where it is a whole one.
+        self.codes = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), -1) | self.ids
+        self.pieces = {i: p for p, i in self.ids.items()}
+        self.raw_ids = {i: i.to_bytes(4, "little") for i in self.pieces}
+        self.follows = Made(self.follow)
         self.words = re.compile(self.word_pattern())
         self.ranks = Ranks(ranks)
         self.fits = Made(self.fit)
@@ -163,29 +169,36 @@ class Pieces:
     def ids_of_run(self, run: str) -> bytes:
         """Ids of a run between forced boundaries.
 
-        From the one state at its begin, a single piece ends at each place; the longest is tried first.
+        From the one state at its begin, a single piece ends at each place; the longest is tried first. Pieces are
+        known by their ids here; a character that is no piece fits beside everything that is whole.
         """
-        ids, fits, endings = self.ids, self.fits, self.endings
-        last = [""]
+        codes, follows = self.codes, self.follows
+        last, sizes = [NO_PIECE], [0]
         for end in range(1, len(run) + 1):
-            piece, ending = [run[end - 1]], run[end - 2 : end]
-            begin = end - 2
-            while begin >= 0 and ending in endings:
-                if ending in ids:
-                    piece.append(ending)
+            code = codes.get(run[end - 1], NO_PIECE)
+            found = [code if code >= 0 else NO_PIECE]
+            size, begin = [1], end - 2
+            while begin >= 0 and (code := codes.get(run[begin:end])) is not None:
+                if code >= 0:
+                    found.append(code)
+                    size.append(end - begin)
                 begin -= 1
-                ending = run[begin:end]
-            for own in reversed(piece):
-                before = last[end - len(own)]
-                if fits[before, own]:
-                    last.append(own)
+            for code, n in zip(reversed(found), reversed(size)):  # noqa: B905
+                if code == NO_PIECE or follows[last[end - n] << 16 | code]:
+                    last.append(code)
+                    sizes.append(n)
                     break
         out, at = [], len(run)
         while at:
-            out.append(self.piece_ids(last[at]))
-            at -= len(last[at])
+            code, n = last[at], sizes[at]
+            out.append(self.raw_ids[code] if code != NO_PIECE else self.piece_ids(run[at - n : at]))
+            at -= n
         return b"".join(reversed(out))
 
+    def follow(self, pair: int) -> bool:
+        before, own = pair >> 16, pair & 0xFFFF
+        return self.fit(("" if before == NO_PIECE else self.pieces[before], self.pieces[own]))
+
     def trace(self, into, entry: State, last: State, begin: int) -> bytes:
         """Ids of the pieces after the entry state up to the last one, those that begin at or after `begin` only."""
         out = []
@@ -236,11 +249,6 @@ class Pieces:
         """Ids of a text as little-endian 32-bit numbers."""
         return b"".join(map(self.encode_run, self.runs(written(text))))
 
-    def decode(self, raw: bytes) -> str:
-        """The text that ids stand for: byte pieces join to characters, the first space is the model's own."""
-        text = b"".join(map(self.decoded.__getitem__, memoryview(raw).cast("I"))).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
-
     # chunks of a giant text
 
     def transfer(self, left: str, body: str, right: str) -> list[tuple[State, State]]:
@@ -299,6 +307,31 @@ def written(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+class Decoder:
+    """The bytes that each id stands for; control pieces stand for none."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        own = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.bytes = [
+            bytes([int(own.id_to_piece(i)[3:5], 16)]) if own.is_byte(i)
+            else b"" if own.is_control(i) or own.is_unknown(i)
+            else own.id_to_piece(i).replace(SPACE, " ").encode()
+            for i in range(own.get_piece_size())
+        ]
+
+    def decode(self, raw: bytes) -> str:
+        """The text that ids stand for: byte pieces join to characters, the first space is the model's own."""
+        text = b"".join(map(self.bytes.__getitem__, memoryview(raw).cast("I"))).decode("utf-8", "replace")
+        return text[1:] if text.startswith(" ") else text
+
+
+@functools.cache
+def decoder_of(path: str) -> Decoder:
+    return Decoder(path)
+
+
 @functools.cache
 def pieces_of(path: str) -> Pieces:
     return Pieces(path)
@@ -410,12 +443,12 @@ def sentencepiece_decode(rows: DataFrame, model: str, ids: str = "ids", to: str
     """Adds the text that the ids stand for; null ids give null, no ids the empty text."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pieces_of(model)
+        decoder = decoder_of(model)
         for batch in batches:
             at = batch.schema.get_field_index(ids)
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                own = [None if raw is None else pieces.decode(raw) for raw in part.column(at).to_pylist()]
+                own = [None if raw is None else decoder.decode(raw) for raw in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own, pa.string())], [*part.schema.names, to])
 
     return rows.mapInArrow(decoded, T.StructType([*rows.schema.fields, T.StructField(to, T.StringType())]))
