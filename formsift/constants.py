@@ -123,13 +123,10 @@ ACCURACY_FORMULA = "Pass / (Pass + Fail), excluding Not Verifiable fields"
 PRECISION_FORMULA = "Correct AUTO_APPROVED fields / all AUTO_APPROVED verifiable fields"
 
 # --- patterns ----------------------------------------------------------------------------------
-# Every pattern spells its character classes out, so it means the same for accented or exotic text.
+# The forms of ZIP codes, ids and street numbers. Every pattern spells its character classes
+# out, word boundaries too, so it means the same for accented or exotic text and on every Java version.
 
-# state codes grouped by first letter: A[LKZR]|C[AOT]|...
-STATE_CODES = "|".join(
-    f"{first}[{''.join(code[1] for code in STATES if code[0] == first)}]"
-    for first in sorted({code[0] for code in STATES})
-)
+STATE_CODES = "|".join(STATES)
 
 # white space and line breaks as Unicode defines them, with the four ASCII separators
 SPACE_SET = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -143,9 +140,10 @@ SPACE_CHARS = "".join(
 LINE_BREAK = r"[\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}]+"
 
 DIGIT = r"\p{Nd}"
-ZIP = rf"\b{DIGIT}{{5}}(?:-{DIGIT}{{4}})?(?!-{DIGIT})\b"
-ZIP_PLAIN = rf"\b{DIGIT}{{5}}(?:-{DIGIT}{{4}})?\b"
-PERSONAL_ID = rf"\b{DIGIT}{{3}}-{DIGIT}{{2}}-{DIGIT}{{4}}\b"
-EMPLOYER_ID = rf"\b{DIGIT}{{2}}-{DIGIT}{{7}}\b"
+WORD_BEGIN, WORD_END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+ZIP = rf"{WORD_BEGIN}{DIGIT}{{5}}(?:-{DIGIT}{{4}})?(?!-{DIGIT}){WORD_END}"
+ZIP_PLAIN = rf"{WORD_BEGIN}{DIGIT}{{5}}(?:-{DIGIT}{{4}})?{WORD_END}"
+PERSONAL_ID = rf"{WORD_BEGIN}{DIGIT}{{3}}-{DIGIT}{{2}}-{DIGIT}{{4}}{WORD_END}"
+EMPLOYER_ID = rf"{WORD_BEGIN}{DIGIT}{{2}}-{DIGIT}{{7}}{WORD_END}"
 STREET_NUMBER = rf"^{DIGIT}{{1,6}}{SPACE}+[A-Za-z]"
 TITLE_WORD = r"[A-Z][A-Z.'-]*[a-z][A-Za-z.'-]*"

@@ -8,7 +8,7 @@ from formsift import constants as K
 from formsift.functions import lines as L, text as T
 
 VALID_WORD = r"^(?=.*[a-z])[A-Za-z][A-Za-z.'-]*\z"
-STATE_ZIP = rf"\b({K.STATE_CODES})\b{K.SPACE}+({K.ZIP_PLAIN})"
+STATE_ZIP = rf"{K.WORD_BEGIN}({K.STATE_CODES}){K.WORD_END}{K.SPACE}+({K.ZIP_PLAIN})"
 
 
 def has_company_term(name: Column) -> Column:

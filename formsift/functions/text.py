@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from formsift import constants as K
@@ -163,8 +165,8 @@ def one_of(words: list[str]) -> str:
     """Pattern for one of the words, grouped by first letter so that few branches start per character."""
     tails: dict[str, list[str]] = {}
     for word in words:
-        tails.setdefault(word[0], []).append(word[1:])
-    return "(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items()) + ")"
+        tails.setdefault(word[0], []).append(re.escape(word[1:]))
+    return "(?:" + "|".join(f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in tails.items()) + ")"
 
 
 def any_word(lowered: Column, words: list[str]) -> Column:

@@ -118,7 +118,8 @@ def run_summary(
     """The run in (metric, value) rows, in one pass over the results.
 
     `listed` is the table of documents found; a known number can be passed as `found` instead. The two
-    clock metrics appear when their values are given.
+    clock metrics appear when their values are given. Times are summed as decimals with six places, so that the
+    order of rows does not show; what is no finite number counts as nothing.
     """
     status, kind = F.col("status"), F.col("file_type")
     rows = results.select(

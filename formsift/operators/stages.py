@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from weakref import WeakKeyDictionary
 
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,14 +22,20 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
-    """Keeps a Column that takes thousands of calls into the JVM to build, for as long as that lives."""
-    kept: dict = {}
+    """Keeps a Column that takes thousands of calls into the JVM to build, for as long as the link to it lives.
+
+    Without such a link, as with a remote session, nothing is kept.
+    """
+    kept: WeakKeyDictionary = WeakKeyDictionary()
 
     @wraps(build)
     def column(*names: str | None) -> Column:
-        key = (id(SparkContext._gateway), names)
-        if key not in kept:
-            kept[key] = build(*names)
-        return kept[key]
+        gateway = SparkContext._gateway
+        if gateway is None:
+            return build(*names)
+        own = kept.setdefault(gateway, {})
+        if names not in own:
+            own[names] = build(*names)
+        return own[names]
 
     return column

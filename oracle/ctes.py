@@ -11,7 +11,10 @@ WS = K.SPACE
 D = K.DIGIT
 # no look-ahead in this dialect: the ZIP is group 1, what may follow it is spelled out
 ZIP = rf"\b({D}{{5}}(?:-{D}{{4}})?)(?:$|[^\w-]|-(?:[^0-9]|$))"
-ZIP_PLAIN = K.ZIP_PLAIN
+# nor look-around for the ends of words
+ZIP_PLAIN = rf"\b{D}{{5}}(?:-{D}{{4}})?\b"
+PERSONAL_ID = rf"\b{D}{{3}}-{D}{{2}}-{D}{{4}}\b"
+EMPLOYER_ID = rf"\b{D}{{2}}-{D}{{7}}\b"
 
 
 def quoted(value: str) -> str:
@@ -443,9 +446,9 @@ LEFT JOIN (SELECT k, arg_min(address, pos) AS address FROM graded WHERE mode = '
     "extracted": f"""
 SELECT f.k, f.file_name, f.raw_text, f.error, f.processed_at, f.processing_time_seconds,
   e.employee_name, e.employee_address,
-  nullif(regexp_extract(raw_text, '{K.PERSONAL_ID}'), '') AS employee_ssn,
+  nullif(regexp_extract(raw_text, '{PERSONAL_ID}'), '') AS employee_ssn,
   r.employer_name, r.employer_address,
-  nullif(regexp_extract(raw_text, '{K.EMPLOYER_ID}'), '') AS employer_ein
+  nullif(regexp_extract(raw_text, '{EMPLOYER_ID}'), '') AS employer_ein
 FROM forms f JOIN employee e ON e.k = f.k JOIN employer r ON r.k = f.k""",
     "valid": f"""
 SELECT *, {valid_name('name2')} AS name_ok, {valid_address('address2')} AS address_ok, {valid_id('id2')} AS id_ok

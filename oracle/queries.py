@@ -207,8 +207,8 @@ SELECTS = {
     "t8_swap_two_words": on_form_lines(Q.swap("line")),
     "t9_order_name": f"SELECT id AS k, line_no, {Q.order_name('line', 'f.text')} AS value"
     " FROM form_lines l JOIN form_text f ON f.k = l.id",
-    "t10_personal_id": f"SELECT k, nullif(regexp_extract(raw_text, '{K.PERSONAL_ID}'), '') AS value FROM forms",
-    "t11_employer_id": f"SELECT k, nullif(regexp_extract(raw_text, '{K.EMPLOYER_ID}'), '') AS value FROM forms",
+    "t10_personal_id": f"SELECT k, nullif(regexp_extract(raw_text, '{Q.PERSONAL_ID}'), '') AS value FROM forms",
+    "t11_employer_id": f"SELECT k, nullif(regexp_extract(raw_text, '{Q.EMPLOYER_ID}'), '') AS value FROM forms",
     "t12_lenient_double": on_form_lines(
         f"coalesce(CASE WHEN {NUMBERISH} THEN try_cast(replace(line, '_', '') AS DOUBLE) END, CAST(0 AS DOUBLE))"),
     "t13_street_key": on_form_lines(Q.street_key("line")),

@@ -25,6 +25,13 @@ from tests.test_text import apply
     ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Street Tarnwick TX 12345", "Fail"),
     ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Street Tarnwick NY 12346", "Fail"),
     ("employee_address", "12 Elm Street Tarnwick NY 12345", "99 Oak Road Tarnwick NY 12345", "Fail"),
+    # inserted and dropped characters, on both sides of the bound
+    ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Streeet Tarnwick NY 12345", "Pass"),
+    ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Stret Tarnwick NY 12345", "Pass"),
+    ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Street Apt 4 Tarnwick NY 12345", "Pass"),
+    ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 E Str Tarnwick NY 12345", "Pass"),
+    ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Street Apartment 4 Tarnwick NY 12345", "Fail"),
+    ("employee_address", "12 Elm Street Tarnwick NY 12345", "12 Elm Street Northend Tarnwick NY 12345", "Fail"),
     # the street number is taken for the ZIP
     ("employee_address", "10012 Elm Street Tarnwick NY 12345", "10012 Elm Street Tarnwick NY 12346", "Pass"),
 ])
@@ -123,3 +130,11 @@ def test_one_pass_for_the_statistics(spark, tmp_path):
     plan = R.status_statistics(spark.read.parquet(str(tmp_path / "r")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+
+
+def test_repeated_results_of_a_file_give_one_row(spark):
+    truth = spark.createDataFrame([("a.pdf", "clean", "James Cox", "", "", "")], "file_name string, file_type string, employee_name string, employee_address string, employee_ssn string, notes string")
+    columns = "processed_at long, file_name string, employee_name string, employee_address string, employee_ssn string, status string, review_reason string"
+    results = spark.createDataFrame([(1, "a.pdf", "James Fox", "", "", "FAILED", ""), (2, "a.pdf", "James Cox", "", "", "AUTO_APPROVED", "")], columns)
+    rows = E.field_checks(truth, results).collect()
+    assert len(rows) == 3 and {r.status for r in rows} == {"AUTO_APPROVED"}

@@ -22,7 +22,7 @@ def test_list_documents(spark, tmp_path):
 def test_read_texts_replaces_bad_bytes(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"one\ntw\xffo")
     row = S.read_ocr_texts(spark, str(tmp_path)).collect()[0]
-    assert (row.file_name, row.raw_text) == ("a.txt", "one\ntw�o")
+    assert (row.file_name, row.raw_text) == ("a.pdf", "one\ntw�o")
 
 
 def test_results_csv_with_mark_quotes_and_repeats(spark, tmp_path):
@@ -76,9 +76,9 @@ def test_stream_takes_new_files_only_and_last_batch_wins(spark, small, tmp_path)
         return I.current_results(spark, log)
 
     assert run().count() == 100
-    batches = spark.read.parquet(log).select("batch_id").distinct().count()
+    batches = spark.read.option("basePath", log).parquet(log).select("batch_id").distinct().count()
     assert batches == 2
-    assert run().count() == 100 and spark.read.parquet(log).count() == 100
+    assert run().count() == 100 and spark.read.option("basePath", log).parquet(log).count() == 100
     again = docs.filter("k >= 90").withColumn("raw_text", F.lit("nothing")).withColumn("error", F.lit(None).cast("string"))
     again.coalesce(1).write.mode("append").parquet(source)
     now = run()
@@ -91,4 +91,116 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path):
     df = spark.range(20000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("file_name"), F.col("id").alias("n"))
     latest = R.latest_by_key(df, "file_name", ["n"])
     assert latest.filter("file_name = 'hot'").collect()[0].n == 19998
-    assert "partial_max" in latest._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def texts_of(spark, rows):
+    """(path, text) as documents."""
+    df = spark.createDataFrame(rows, "path string, raw_text string")
+    return df.withColumns({
+        "file_name": F.substring_index("path", "/", -1),
+        "error": F.lit(None).cast("string"), "processed_at": F.lit(0).cast("timestamp"),
+        "processing_time_seconds": F.lit(1.0),
+    })
+
+
+def test_paths_with_one_base_name_leave_one_result(spark):
+    texts = texts_of(spark, [("raw/a/x.pdf", "000-11-2222"), ("raw/b/x.pdf", "000-33-4444")])
+    none = process_documents(texts).limit(0)
+    both = next_run(texts, texts.select("path"), none, None).collect()
+    assert [(r.file_name, r.employee_ssn) for r in both] == [("x.pdf", "000-33-4444")]
+    one = next_run(texts, texts.select("path"), none, 1).collect()
+    assert [(r.file_name, r.employee_ssn) for r in one] == [("x.pdf", "000-11-2222")]
+
+
+def test_pending_files_without_text_keep_their_result(spark):
+    old = process_documents(texts_of(spark, [("raw/a.pdf", "x")]).withColumn("error", F.lit("away")))
+    listed = spark.createDataFrame([("raw/a.pdf",), ("raw/b.pdf",)], "path string")
+    texts = texts_of(spark, [("raw/b.pdf", "y")])
+    rows = {r.file_name: r.status for r in next_run(texts, listed, old, None).collect()}
+    assert rows == {"a.pdf": "FAILED", "b.pdf": "NEEDS_REVIEW"}
+
+
+def test_upsert_keeps_one_row_of_a_key(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "file_name string, n int")
+    new = spark.createDataFrame([("b", 2), ("b", 3), ("b", 3)], "file_name string, n int")
+    assert sorted(tuple(r) for r in runs.upsert(old, new).collect()) == [("a", 1), ("b", 3)]
+    assert sorted(tuple(r) for r in runs.upsert(old, new.limit(0)).collect()) == [("a", 1), ("b", 1)]
+
+
+def test_csv_goes_by_the_header(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("status,file_name,more,review_reason\nOLD,a.pdf,1,x\n")
+    rows = S.read_results_csv(spark, str(tmp_path / "r.csv"), ["file_name", "file_type", "status", "review_reason"]).collect()
+    assert [tuple(r) for r in rows] == [("a.pdf", "", "OLD", "x")]
+    (tmp_path / "t.csv").write_text("file_name,employee_name\na.pdf,James Cox\na.pdf,James Cox\n")
+    rows = S.read_truth_csv(spark, str(tmp_path / "t.csv")).collect()
+    assert len(rows) == 2 and rows[0].file_type == "" and rows[0].employee_name == "James Cox"
+
+
+def test_outputs_leave_no_staging_folder(spark, small, tmp_path):
+    done = process_documents(forms(spark, small))
+    listed = S.select_documents(forms(spark, small).select("path"), "raw")
+    S.write_all(done, listed, str(tmp_path), batch_seconds=3.5, updated_at="now")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["manual_review", "results", "status_statistics", "summary"]
+    assert spark.read.parquet(str(tmp_path / "summary")).count() == 17
+    broken = done.withColumn("file_name", F.raise_error(F.lit("broken")))
+    try:
+        S.write_results(broken, str(tmp_path / "more"))
+    except Exception as error:
+        assert "broken" in str(error)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["manual_review", "results", "status_statistics", "summary"]
+
+
+def test_absent_tables_have_no_rows(spark, tmp_path):
+    batch = spark.createDataFrame([("a",)], "file_name string")
+    for nowhere in ("no_such_table", str(tmp_path / "none")):
+        assert runs.already_processed(batch, nowhere).count() == 0
+        found = runs.fetch_results(nowhere, spark=spark)
+        assert found.count() == 0 and found.columns == K.REPORT_COLUMNS
+    S.append_results(spark.createDataFrame([("a", "OK")], "file_name string, status string"), str(tmp_path / "t"))
+    assert runs.already_processed(batch, str(tmp_path / "t")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "t")).columns == list(K.TABLE_TYPES)
+    assert len(K.TABLE_TYPES) == 16
+
+
+def test_stream_with_a_new_checkpoint_retries_and_closes(spark, small, tmp_path):
+    source, log, out = (str(tmp_path / n) for n in ("in", "log", "out"))
+    docs = forms(spark, small).filter("k BETWEEN 1 AND 60").select(
+        "k", "path", "file_name", "raw_text", "error", "processed_at", "processing_time_seconds"
+    )
+    docs.coalesce(1).write.parquet(source)
+    I.ingest(spark, source, docs.schema, log, str(tmp_path / "check1"))
+    docs.withColumns({"file_name": F.concat(F.lit("new_"), "file_name"), "error": F.lit("away")}).coalesce(1).write.mode("overwrite").parquet(source)
+    I.ingest(spark, source, docs.schema, log, str(tmp_path / "check2"))
+    assert I.current_results(spark, log).count() == 120  # the first stream's batch 0 is still there
+    failed = I.failed_files(spark, log)
+    assert failed.count() >= 60
+    again = docs.withColumns({"file_name": F.concat(F.lit("new_"), "file_name")})
+    I.retry(spark, again.join(failed, "file_name", "left_semi"), log)
+    before = sorted(map(repr, I.current_results(spark, log).collect()))
+    I.close_run(spark, log, docs.select("path"), out, batch_seconds=1.0, updated_at="now")
+    assert sorted(map(repr, I.current_results(spark, log).collect())) == before
+    assert len([p for p in (tmp_path / "log").iterdir() if p.name.startswith("run=")]) == 1
+    assert spark.read.parquet(f"{out}/results").count() == 120
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_status_needs_no_employer_and_an_id_no_address(spark, small):
+    few = forms(spark, small).select("k", "path", "file_name", "raw_text", "error", "processed_at", "processing_time_seconds")
+    status = plan_of(R.status_summary(process_documents(few, ["file_name", "status"])))
+    whole = plan_of(process_documents(few))
+    assert "employer_address" in whole and "employer_address" not in status and "employer_name" not in status
+    from formsift.plans.catalog import QUERIES
+
+    for name in ("v9_id_evidence", "v13_id_confidence"):
+        assert "is_street" not in plan_of(QUERIES[name](spark, small)) and "employee_address" not in plan_of(QUERIES[name](spark, small))
+
+
+def test_dedupe_carries_what_is_read_only(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}, "w"), ("a", 2, {"y": 2}, "w")], "file_name string, n int, m map<string,int>, wide string")
+    latest = R.latest_by_key(df, "file_name", ["n"])
+    assert latest.collect()[0].m == {"y": 2}
+    assert "max_by(wide" in plan_of(latest) and "max_by(wide" not in plan_of(latest.select("file_name", "n"))
