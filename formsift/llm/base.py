@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -61,6 +64,26 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+_HELD: list[tuple[object, object]] = []
+
+
+def held(key: object, make: Callable[[], object] | None = None) -> object:
+    """What a worker keeps between tasks: one thing only, so that operators after each other do not add up.
+
+    Asking for another thing, or for none (no make), drops the one before and gives its memory back.
+    """
+    if not _HELD or _HELD[0][0] != key:
+        had = bool(_HELD)
+        _HELD.clear()
+        if had:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+        _HELD.append((key, make() if make else None))
+    return _HELD[0][1]
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes of text each, so that memory follows the longest text only."""
     texts = batch.column(batch.schema.get_field_index(column))

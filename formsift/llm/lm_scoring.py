@@ -125,6 +125,7 @@ def counted(texts: DataFrame, values, group) -> DataFrame:
     """Blobs of the counts of values(hashes, begins) of all texts, summed within each task; group deals them out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.held(None)
         counter = Counter()
         for batch in batches:
             for part in base.slices(batch):

@@ -3,12 +3,17 @@
 Sizes fall into bands. Two sets of a band that are similar enough differ in at most H shingles, so if the universe of
 shingles is cut into units by a hash, H + 1 units cannot all differ. A segment of one unit is indexed by its subset
 of the set; a segment of two units also by the subset less any one shingle, which finds one difference and so is worth
-two units. Which kind a band uses is the cheaper one by expected signatures and expected false candidates. Sets whose
-segments are empty more often than the spare units allow for also index the empty ones, so no pair is lost.
+two units. Which kind a band uses is the cheaper one by expected signatures and expected false candidates.
+
+A subset that is empty, or holds nothing but shingles which many texts have, says little: sets share it by chance, and
+such pairs would chain unlike families into one cluster. These subsets are not indexed, and spare units make up for
+them. A pair shares such a subset only in a segment that says as little in both sets; a set with more of these than the
+spare units allow for indexes them all the same, so no pair is lost, whichever shingles are held to be common.
 
 Signatures only say which sets must be compared: sets that share one are put into one cluster, and within a cluster
 all pairs are settled exactly, rare shingles first. Equal sets are one class from the start. Hot signatures are stars
-within each task before they are shuffled; large clusters are compared block by block in many tasks.
+within each task before they are shuffled. A cluster beyond the bound of one task is first cut anew by the rarest
+shingles of its sets; what is still beyond it is compared block by block in many tasks.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from formsift.llm.words import U64, mix, shingle_sets
 #: Sizes of a band differ by this factor at most.
 BAND_RATIO = 1.25
 #: Other sets that are half alike, as the cost model takes it.
-HALF_ALIKE = 500
+HALF_ALIKE = 50
 #: Signatures of a shuffle group, shingles of a block of a cluster, buckets of the broadcast prefilter.
 GROUP_SIGNATURES = 400_000
 BLOCK_SHINGLES = 1_000_000
@@ -79,8 +84,67 @@ def bands(percent: int) -> list[Band]:
     return out
 
 
-def signatures(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All signatures of sets (shingles, begins) and the number of the set that has each."""
+#: How common a shingle is stands in a table of so many bytes, which is what is broadcast at any size. It has the
+#: shingles that are in OFTEN different sets or more of a window of WINDOW shingles, COMMON_MOST at most, the most
+#: frequent ones. A subset says something if it has a shingle of fewer than COMMON sets. Which shingles the table knows
+#: and which of them share a byte decides about the work only, never about the links found.
+LEVEL_SLOTS = 1 << 22
+COMMON_MOST = 1 << 20
+WINDOW, OFTEN, COMMON = 3_000_000, 3, 30
+
+
+def level_slot(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) % U64(LEVEL_SLOTS)).astype(np.int64)
+
+
+def level_of(counts: np.ndarray) -> np.ndarray:
+    return np.floor(4 * np.log2(counts)).clip(0, 255).astype(np.uint8)
+
+
+def common_levels(texts: DataFrame, size: int) -> np.ndarray:
+    """The table of levels: 0 for shingles that few sets have, then four for each doubling of their number."""
+
+    def often(sets: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+        _, first = np.unique(np.concatenate(keys), return_index=True)
+        own = [s for k in sets for s in k]
+        found, n = np.unique(np.concatenate([own[i] for i in first.tolist()]), return_counts=True)
+        found, n = found[n >= OFTEN], n[n >= OFTEN]
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.held(None)
+        sets, keys, n = [], [], 0
+        for batch in batches:
+            for part in base.slices(batch):
+                own, at = shingle_sets(part.column("text"), size)
+                sets.append(np.split(own, at[1:-1]))
+                keys.append(set_keys(own, at)[0])
+                n += len(own)
+                if n >= WINDOW:
+                    yield often(sets, keys)
+                    sets, keys, n = [], [], 0
+        if n:
+            yield often(sets, keys)
+
+    parts = texts.select("text").mapInArrow(windows, "shingle long, n long")
+    found = base.staged(parts.groupBy("shingle").agg(F.sum("n").alias("n")), "common")
+    step = F.least(F.floor(4 * F.log2("n")), F.lit(255))
+    steps = {r.step: r.n for r in found.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, room = None, COMMON_MOST
+    for own in sorted(steps, reverse=True):
+        room -= steps[own]
+        if room < 0:
+            break
+        least = own
+    levels = np.zeros(LEVEL_SLOTS, dtype=np.uint8)
+    if least is not None:
+        rows = found.where(step >= least).toArrow()
+        np.maximum.at(levels, level_slot(rows["shingle"].to_numpy().view(U64)), level_of(rows["n"].to_numpy()))
+    return levels
+
+
+def signatures(sets: np.ndarray, at: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of sets (shingles, begins) and the number of the set that has each; common is a mark for each shingle."""
     sizes = np.diff(at)
     if not len(sets):
         return np.empty(0, U64), np.empty(0, np.int64)
@@ -97,14 +161,14 @@ def signatures(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarr
             own = sizes[which]
             rows = np.repeat(np.arange(len(which)), own)
             begin = np.cumsum(own) - own
-            shingles = sets[np.repeat(at[which] - begin, own) + np.arange(len(rows))]
-            for sign, row in _of_band(shingles, rows, len(which), band):
+            place = np.repeat(at[which] - begin, own) + np.arange(len(rows))
+            for sign, row in _of_band(sets[place], ~common[place], rows, len(which), band):
                 found.append(sign)
                 owners.append(which[row])
     return np.concatenate(found), np.concatenate(owners)
 
 
-def _of_band(shingles: np.ndarray, rows: np.ndarray, n: int, band: Band) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _of_band(shingles: np.ndarray, telling: np.ndarray, rows: np.ndarray, n: int, band: Band) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     singles = band.units - 2 * band.double
     segments = band.double + singles
     with np.errstate(over="ignore"):
@@ -115,7 +179,7 @@ def _of_band(shingles: np.ndarray, rows: np.ndarray, n: int, band: Band) -> Iter
         cell = rows * segments + segment
         sums = np.zeros(n * segments, dtype=U64)
         np.add.at(sums, cell, value)
-        filled = np.bincount(cell, minlength=n * segments)
+        filled = np.bincount(cell[telling], minlength=n * segments)  # with shingles that are not common
         salt = mix(np.arange(segments, dtype=U64) + seed * U64(3))
 
         def sign(total: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -123,13 +187,13 @@ def _of_band(shingles: np.ndarray, rows: np.ndarray, n: int, band: Band) -> Iter
 
         number = np.arange(n * segments) % segments
         is_double = number < band.double
-        # units that say nothing: an empty segment, or a double one with a single shingle at most
+        # units that say too little: what a double segment shares may be one shingle less than what it has
         silent = np.where(is_double, 2 * (filled <= 1), filled == 0).reshape(n, segments).sum(axis=1)
         poor = silent > band.spare
         whole = np.flatnonzero((filled > 0) | poor[np.arange(n * segments) // segments])
         yield sign(sums[whole], whole), whole // segments
         if band.double:
-            less = (segment < band.double) & ((filled[cell] > 1) | poor[rows])
+            less = (segment < band.double) & ((filled[cell] - telling > 0) | poor[rows])
             yield sign(sums[cell[less]] - value[less], cell[less]), rows[less]
 
 
@@ -189,17 +253,74 @@ def unpacked(raw: bytes, size: int) -> np.ndarray:
     return out.view(U64).reshape(-1)
 
 
-def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int) -> DataFrame:
+def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int, levels: np.ndarray) -> DataFrame:
     """Edges (a, b) between keys of sets that share a signature; the key is k1 & KEY_MASK."""
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table, border = texts.sparkSession.sparkContext.broadcast(levels), level_of(np.array([COMMON]))[0]
+
+    def signed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        sets, at = shingle_sets(part.column("text"), size)
+        own, row = signatures(sets, at, percent, table.value[level_slot(sets)] >= border)
+        return own, (set_keys(sets, at)[0] & KEY_MASK)[row]
+
+    return met_by_signature(texts.select("text"), signed, groups)
+
+
+def rarest(sets: np.ndarray, at: np.ndarray, percent: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of each set, as many as two similar sets must share one of, and the number of the set."""
+    sizes = np.diff(at)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((sets, levels[level_slot(sets)], owner))
+    place = np.arange(len(sets)) - np.repeat(at[:-1], sizes)
+    taken = place < np.repeat(sizes - -(-percent * sizes // 100) + 1, sizes)
+    return sets[order][taken], owner[taken]
+
+
+def recut(members: DataFrame, texts: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """(node, cluster) of the members of large clusters, cut anew: sets meet where they share one of their rarest shingles.
+
+    Similar sets do, so no pair falls apart; sets that meet nothing are left out.
+    """
+    table = texts.sparkSession.sparkContext.broadcast(levels)
+    total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+
+    def prefixes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        sets, at = shingle_sets(part.column("text"), size)
+        same = set_keys(sets, at)[0] == part.column("k1").to_numpy(zero_copy_only=False)
+        own, row = rarest(sets, at, percent, table.value)
+        keys = (set_keys(sets, at)[0] & KEY_MASK)[row]
+        return own[same[row]], keys[same[row]]
+
+    rows = of_members(texts, members).select("text", "k1")
+    edges = met_by_signature(rows, prefixes, max(64, int(total * (100 - percent) / 100) // GROUP_SIGNATURES))
+    named = base.staged(components(edges), "recut")
+    return members.drop("cluster").join(named, F.col("k1").bitwiseAND(KEY_MASK) == named["node"]).select(
+        members["node"], "k1", "n_shingles", F.col("component").alias("cluster")
+    )
+
+
+def of_members(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Texts joined to members by node; only rows whose id falls into a bucket of some member are shuffled."""
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
+    near = members.select(F.pmod(F.xxhash64("node"), F.lit(BUCKETS)).alias("bucket")).distinct()  # at most BUCKETS rows
+    rows = texts.withColumn("bucket", bucket).join(F.broadcast(near), "bucket", "left_semi").drop("bucket")
+    return rows.join(members, F.col("doc_id") == F.col("node"))
+
+
+def met_by_signature(rows: DataFrame, signed, groups: int) -> DataFrame:
+    """Edges (a, b) between keys that share a signature; signed gives (signatures, keys) for a slice of rows.
+
+    Each task makes stars of what it has of a signature, so a hot one is shuffled once for each task.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.held(None)
         signs, keys, n = [], [], 0
         for batch in batches:
             for part in base.slices(batch):
-                sets, at = shingle_sets(part.column("text"), size)
-                own, row = signatures(sets, at, percent)
+                own, row = signed(part)
                 signs.append(own)
-                keys.append((set_keys(sets, at)[0] & KEY_MASK)[row])
+                keys.append(row)
                 n += len(own)
                 if n >= 3_000_000:
                     yield dealt(np.concatenate(signs), np.concatenate(keys))
@@ -234,7 +355,7 @@ def shared_signatures(texts: DataFrame, size: int, percent: int, groups: int) ->
         links = forest(map(tuple, edges.tolist()))
         return pa.table({"a": pa.array(list(links.keys()), pa.int64()), "b": pa.array(list(links.values()), pa.int64())})
 
-    parts = texts.select("text").mapInArrow(signed, "group long, signs binary, keys binary, edges binary")
+    parts = rows.mapInArrow(deal, "group long, signs binary, keys binary, edges binary")
     return parts.groupBy("group").applyInArrow(met, "a long, b long")
 
 
@@ -288,10 +409,7 @@ def verified(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     """
     sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("long").alias("blocks"))
     dealt = members.join(sizes, "cluster").select("node", "k1", "cluster", "blocks")
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
-    near = dealt.select(F.pmod(F.xxhash64("node"), F.lit(BUCKETS)).alias("bucket")).distinct()  # at most BUCKETS rows
-    rows = texts.withColumn("bucket", bucket).join(F.broadcast(near), "bucket", "left_semi").drop("bucket")
-    rows = rows.join(dealt, F.col("doc_id") == F.col("node"))
+    rows = of_members(texts, dealt)
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,12 +459,19 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str
     total = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     groups = max(64, int(total * 0.4) // GROUP_SIGNATURES)
     with_id = texts.where("doc_id is not null")
-    edges = shared_signatures(with_id, size, percent, groups)
+    levels = common_levels(with_id, size)
+    edges = shared_signatures(with_id, size, percent, groups, levels)
     clusters = base.staged(components(edges), "clusters")
     members = classes.join(clusters, F.col("k1").bitwiseAND(KEY_MASK) == clusters["node"]).select(
         classes["node"], "k1", "n_shingles", F.col("component").alias("cluster")
     )
-    links = verified(base.staged(members, "members"), with_id, size, percent)
+    members = base.staged(members, "members")
+    sizes = members.groupBy("cluster").agg(F.sum("n_shingles").alias("total"))
+    large = base.staged(members.join(sizes.where(F.col("total") > BLOCK_SHINGLES), "cluster").select(*members.columns), "large")
+    if not large.isEmpty():
+        small = members.join(sizes.where(F.col("total") <= BLOCK_SHINGLES), "cluster").select(*members.columns)
+        members = base.staged(small.unionByName(recut(large, with_id, size, percent, levels)), "members")
+    links = verified(members, with_id, size, percent)
     labels = base.staged(components(links), "labels")
     named = classes.join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     return rows.join(named, ["k1", "k2"], "left").select(

@@ -138,7 +138,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = 0.3,
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.scorer()
+        score = base.held(("quality", model.good, model.bad), model.scorer)
         for batch in batches:
             for part in base.slices(batch):
                 scores = pa.array([score(t) for t in part.column("text").to_pylist()], pa.float64())
@@ -155,7 +155,7 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3, text
     """The rows whose whole text scores at least the threshold, with all their columns; a map without any shuffle."""
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.scorer()
+        score = base.held(("quality", model.good, model.bad), model.scorer)
         for batch in batches:
             for part in base.slices(batch, text):
                 texts = part.column(part.schema.get_field_index(text)).to_pylist()

@@ -332,9 +332,8 @@ def decoder_of(path: str) -> Decoder:
     return Decoder(path)
 
 
-@functools.cache
 def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    return base.held(("pieces", path), lambda: Pieces(path))
 
 
 def combine(relations: list[list[tuple[State, State]]]) -> list[tuple[State, State]]:

@@ -8,19 +8,19 @@ goes through the file's own normaliser and splitter. In the first kind a word is
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 import re
 import numpy as np
 
+from formsift.llm.base import held
 from formsift.llm.words import span_hashes
 
 #: Letters whose lower case is one character, that no normal form changes and that are letters for the split pattern.
 LATIN = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 _OTHER = re.compile(f"[^\t\n\v\f\r\x20-\x7e{LATIN}]|<\\|")
 #: Distinct words that a worker remembers: the newer half stays when the older half is dropped.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 
 class Remembered(dict):
@@ -223,6 +223,5 @@ def looked_up(texts: list[str], known: Remembered, make) -> tuple[np.ndarray, li
     return which, values, np.searchsorted(starts, begin)
 
 
-@functools.cache
 def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+    return held(("word_bpe", path), lambda: WordBpe(path))
