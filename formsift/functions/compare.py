@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DoubleType
@@ -34,16 +32,48 @@ def zip_for_compare(value: Column, zip_position: str = "first") -> Column:
     return F.coalesce(found, F.lit(""))
 
 
+def matching(a: str, b: str) -> int:
+    """Characters in matching blocks: the longest common piece (the first in `a`, then in `b`), then left and right of it.
+
+    In a `b` of 200 characters or more, characters that make up over a hundredth of it begin no piece, but may lengthen
+    one.
+    """
+    places: dict[str, list[int]] = {}
+    for j, c in enumerate(b):
+        places.setdefault(c, []).append(j)
+    if len(b) >= 200:
+        places = {c: own for c, own in places.items() if len(own) <= len(b) // 100 + 1}
+    total, open_ranges = 0, [(0, len(a), 0, len(b))]
+    while open_ranges:
+        a_low, a_high, b_low, b_high = open_ranges.pop()
+        size, i, j, ends = 0, a_low, b_low, {}
+        for at in range(a_low, a_high):
+            ends, before = {}, ends
+            for to in places.get(a[at], ()):
+                if b_low <= to < b_high:
+                    ends[to] = n = before.get(to - 1, 0) + 1
+                    if n > size:
+                        size, i, j = n, at - n + 1, to - n + 1
+        while i > a_low and j > b_low and a[i - 1] == b[j - 1]:
+            i, j, size = i - 1, j - 1, size + 1
+        while i + size < a_high and j + size < b_high and a[i + size] == b[j + size]:
+            size += 1
+        if size:
+            total += size
+            open_ranges += [(a_low, i, b_low, j), (i + size, a_high, j + size, b_high)]
+    return total
+
+
 def similarity(expected: Column, extracted: Column) -> Column:
     """Ratcliff-Obershelp ratio, argument order kept; NULL where either side is NULL.
 
     No Spark function computes it, so the values go to Python in Arrow batches. Callers pass NULL for
-    every row that needs no ratio. The function is local so that it travels to the workers by value.
+    every row that needs no ratio.
     """
 
     def ratios(left: pd.Series, right: pd.Series) -> pd.Series:
         found = [
-            None if a is None or b is None else SequenceMatcher(None, a, b).ratio()
+            None if a is None or b is None else 2.0 * matching(a, b) / (len(a) + len(b)) if a or b else 1.0
             for a, b in zip(left, right)
         ]
         return pd.Series(found, dtype="float64")

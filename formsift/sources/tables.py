@@ -9,7 +9,6 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from formsift import constants as K
-from formsift.functions import text as T
 from formsift.operators import report as R, runs
 
 RESULT_TYPES = {

@@ -50,6 +50,8 @@ def test_last_zip_on_request(spark):
 def test_similarity_and_its_bound(spark):
     random.seed(4)
     pairs = [("".join(random.choices("abc 12", k=random.randint(0, 25))), "".join(random.choices("abc 12", k=random.randint(0, 25)))) for _ in range(300)]
+    pairs += [("".join(random.choices("ab c", k=random.randint(150, 420))), "".join(random.choices("ab c", k=random.randint(150, 420)))) for _ in range(20)]
+    pairs += [("", ""), ("x" * 250, "x" * 230), ("a", "")]
     df = spark.createDataFrame(pairs, "a string, b string")
     rows = df.select("a", "b", C.similarity(F.col("a"), F.col("b")).alias("r"), C.similarity_bound(F.col("a"), F.col("b")).alias("m")).collect()
     for row in rows:
