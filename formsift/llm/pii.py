@@ -15,7 +15,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formsift.llm import base
 
 KINDS = ("email", "ip", "card", "phone")
 OPEN, CLOSE, OTHER = "\u0001", "\u0002", "\u0003"

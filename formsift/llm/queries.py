@@ -36,7 +36,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.table(spark, sf_dir, "documents")
     rows = pii_spans(docs, fit_pii(docs))
     counts = (F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) AS bigint)").alias(f"n_{k}") for k in KINDS)
-    return rows.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("all").alias("spans"))
+    return rows.select(
+        "doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("all").alias("spans")
+    )
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +77,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_pii, op4_token_counts, op5_ngram_join, op6_exact_topk, op7_html, op8_lm_scoring, op9_packing, op10_sentencepiece)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_quality, op3_pii, op4_token_counts, op5_ngram_join, op6_exact_topk, op7_html, op8_lm_scoring,
+        op9_packing, op10_sentencepiece,
+    )
+}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {
