@@ -21,7 +21,7 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKS,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     # no disk is taken in advance: there are many small stores
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }

@@ -90,7 +90,7 @@ def bands(percent: int) -> list[Band]:
 #: and which of them share a byte decides about the work only, never about the links found.
 LEVEL_SLOTS = 1 << 22
 COMMON_MOST = 1 << 20
-WINDOW, OFTEN, COMMON = 3_000_000, 3, 30
+WINDOW, OFTEN, COMMON = 2_000_000, 3, 30
 
 
 def level_slot(shingles: np.ndarray) -> np.ndarray:
@@ -115,7 +115,7 @@ def common_levels(texts: DataFrame, size: int) -> np.ndarray:
         base.held(None)
         sets, keys, n = [], [], 0
         for batch in batches:
-            for part in base.slices(batch):
+            for part in base.slices(batch, most=SLICE):
                 own, at = shingle_sets(part.column("text"), size)
                 sets.append(np.split(own, at[1:-1]))
                 keys.append(set_keys(own, at)[0])
@@ -216,7 +216,7 @@ def class_rows(texts: DataFrame, size: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in base.slices(batch):
+            for part in base.slices(batch, most=SLICE):
                 sets, at = shingle_sets(part.column("text"), size)
                 k1, k2 = set_keys(sets, at)
                 columns = [part.column("doc_id"), pa.array(np.diff(at)), pa.array(k1), pa.array(k2)]
@@ -236,6 +236,10 @@ def stars(signs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return signs[first], keys[first], edges
 
 
+#: Bytes of text whose shingles are worked on at once.
+SLICE = 1 << 20
+#: Signatures that a task gathers before it passes them on.
+DEALT = 1_000_000
 #: Bytes of a signature and of a set's key that travel. Within a group of bounded size few signatures agree in so many
 #: bits by chance; where they do, or where keys do, the sets concerned are compared, as all that share a signature are.
 SIGN_BYTES, KEY_BYTES = 5, 6
@@ -317,12 +321,12 @@ def met_by_signature(rows: DataFrame, signed, groups: int) -> DataFrame:
         base.held(None)
         signs, keys, n = [], [], 0
         for batch in batches:
-            for part in base.slices(batch):
+            for part in base.slices(batch, most=SLICE):
                 own, row = signed(part)
                 signs.append(own)
                 keys.append(row)
                 n += len(own)
-                if n >= 3_000_000:
+                if n >= DEALT:
                     yield dealt(np.concatenate(signs), np.concatenate(keys))
                     signs, keys, n = [], [], 0
         if n:
@@ -413,7 +417,7 @@ def verified(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in base.slices(batch):
+            for part in base.slices(batch, most=SLICE):
                 sets, at = shingle_sets(part.column("text"), size)
                 same = np.flatnonzero(set_keys(sets, at)[0] == part.column("k1").to_numpy(zero_copy_only=False))
                 own = [sets[at[i] : at[i + 1]].tobytes() for i in same.tolist()]
