@@ -98,8 +98,19 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         yield batch.slice(start)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sets the session's Arrow batches to fewer rows than Spark's 10,000: texts are long, and a batch is held several
+    times on its way to a worker and back. A number of rows that the session was given itself is left as it is."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def texts_only(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, text) under fixed names, whatever else the table holds; a null text is empty."""
+    short_batches(docs.sparkSession)
     return docs.select(
         F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )

@@ -260,6 +260,7 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page
     html gives an empty text; a null url is a host of its own name (empty); key and url are passed on as they are,
     repeated rows too; an empty table gives an empty one; other columns are not read.
     """
+    base.short_batches(pages.sparkSession)
     rows = pages.select(
         F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{page}`"), F.lit("")).alias("text")
     ).withColumn("host", host_of(F.col("url")))

@@ -161,4 +161,5 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3, text
                 texts = part.column(part.schema.get_field_index(text)).to_pylist()
                 yield part.filter(pa.array([score(t or "") >= threshold for t in texts], pa.bool_()))
 
+    base.short_batches(docs.sparkSession)
     return docs.mapInArrow(chosen, docs.schema)
