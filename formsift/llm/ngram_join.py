@@ -10,7 +10,10 @@ such pairs would chain unlike families into one cluster. These subsets are not i
 them. A pair shares such a subset only in a segment that says as little in both sets; a set with more of these than the
 spare units allow for indexes them all the same, so no pair is lost, whichever shingles are held to be common.
 
-Signatures only say which sets must be compared: sets that share one are put into one cluster, and within a cluster
+Signatures only say which sets must be compared. Where few sets share one, each pair of them is first held against a
+bound: the parities of a set's shingles in as many cells as it has shingles, in which two sets differ at most as often
+as in their shingles. Most chance meetings end there. Sets that remain, and all that share a signature with many, are
+put into one cluster, and within a cluster
 all pairs are settled exactly, rare shingles first. Equal sets are one class from the start. Hot signatures are stars
 within each task before they are shuffled. A cluster beyond the bound of one task is first cut anew by the rarest
 shingles of its sets; what is still beyond it is compared block by block in many tasks.
@@ -211,31 +214,93 @@ def set_keys(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums[0], sums[1]
 
 
+def parities(sets: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """For each set the parity of its shingles in 2 ** k cells, as bits: about as many cells as shingles, 64 at least."""
+    cells = mix(sets ^ U64(0x94D049BB133111EB))
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        size = max(64, 1 << max(0, b - a - 1).bit_length())
+        odd = np.bincount((cells[a:b] & U64(size - 1)).astype(np.int64), minlength=size) & 1
+        out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+    return out
+
+
+def least_difference(one: bytes, other: bytes) -> int:
+    """Two sets differ in at least so many shingles. The longer parities fold onto the shorter ones' cells."""
+    a, b = np.frombuffer(one, dtype=np.uint8), np.frombuffer(other, dtype=np.uint8)
+    n = min(len(a), len(b))
+    a, b = np.bitwise_xor.reduce(a.reshape(-1, n)), np.bitwise_xor.reduce(b.reshape(-1, n))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def class_rows(texts: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2) of every text."""
+    """(doc_id, n_shingles, k1, k2, parity) of every text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch, most=SLICE):
                 sets, at = shingle_sets(part.column("text"), size)
                 k1, k2 = set_keys(sets, at)
-                columns = [part.column("doc_id"), pa.array(np.diff(at)), pa.array(k1), pa.array(k2)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "k1", "k2"])
+                parity = pa.array(parities(sets, at), pa.binary())
+                columns = [part.column("doc_id"), pa.array(np.diff(at)), pa.array(k1), pa.array(k2), parity]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "k1", "k2", "parity"])
 
-    return texts.mapInArrow(rows, "doc_id long, n_shingles long, k1 long, k2 long")
+    return texts.mapInArrow(rows, "doc_id long, n_shingles long, k1 long, k2 long, parity binary")
 
 
-def stars(signs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each signature once with its smallest key, and edges (sorted order, positions) from every other key to that one."""
-    order = np.lexsort((keys, signs))
-    signs, keys = signs[order], keys[order]
-    first = np.append(True, signs[1:] != signs[:-1]) if len(signs) else np.empty(0, bool)
-    lead = keys[first][np.cumsum(first) - 1] if len(signs) else keys
-    other = keys != lead
-    edges = np.unique(np.stack([keys[other], lead[other]], axis=1), axis=0) if other.any() else np.empty((0, 2), np.int64)
-    return signs[first], keys[first], edges
+def possible(edges: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of keys that sizes and parities do not rule out, and all edges that are not to be tested."""
+    own = classes.select((F.col("k1").bitwiseAND(KEY_MASK)).alias("key"), "n_shingles", "parity")
+    pairs = edges.where("test").select("a", "b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(own.select(*(F.col(c).alias(f"{c}_{side}") for c in own.columns)), F.col(side) == F.col(f"key_{side}"))
+    few, many = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+    pairs = pairs.where(100 * few >= percent * many)
 
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column("n_shingles_a").to_numpy() + batch.column("n_shingles_b").to_numpy()
+            most = (100 - percent) * both // (100 + percent)
+            least = [least_difference(a, b) for a, b in zip(batch.column("parity_a").to_pylist(), batch.column("parity_b").to_pylist(), strict=True)]
+            kept = pa.array(np.array(least, dtype=np.int64) <= most, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(kept)
 
+    tested = pairs.select("a", "b", "n_shingles_a", "n_shingles_b", "parity_a", "parity_b").mapInArrow(bounded, "a long, b long")
+    return tested.unionByName(edges.where("NOT test").select("a", "b"))
+
+
+def stars(signs: np.ndarray, keys: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures, keys and marks to pass on, and edges.
+
+    A signature that more than FEW keys share, or one that is marked as such already, is passed on once, with its
+    smallest key and the mark, and the edges join its other keys to that one. All others are passed on as they are.
+    """
+    order = np.lexsort((keys, signs))
+    signs, keys, hot = signs[order], keys[order], hot[order]
+    if not len(signs):
+        return signs, keys, hot, np.empty((0, 2), np.int64)
+    same = np.append(False, (signs[1:] == signs[:-1]) & (keys[1:] == keys[:-1]))
+    first = np.append(True, signs[1:] != signs[:-1])
+    number = np.cumsum(first) - 1
+    many = (np.bincount(number, ~same) > FEW) | (np.bincount(number, hot) > 0)
+    lead = keys[first][number]
+    joined = many[number] & (keys != lead)
+    edges = np.unique(np.stack([keys[joined], lead[joined]], axis=1), axis=0)
+    on = np.where(many[number], first, ~same)
+    return signs[on], keys[on], many[number][on], edges
+
+
+def pairs_of(signs: np.ndarray, keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """All pairs of keys that share a signature without the mark, FEW keys at most each; rows are in order of signature."""
+    found = []
+    for step in range(1, FEW):
+        meet = (signs[step:] == signs[:-step]) & ~hot[step:]
+        found.append(np.stack([keys[step:][meet], keys[:-step][meet]], axis=1))
+    return np.unique(np.concatenate(found), axis=0) if found and len(signs) else np.empty((0, 2), np.int64)
+
+
+#: Sets that share a signature are compared pair by pair up to this number, as one cluster beyond it.
+FEW = 8
 #: Bytes of text whose shingles are worked on at once.
 SLICE = 1 << 20
 #: Signatures that a task gathers before it passes them on.
@@ -312,9 +377,10 @@ def of_members(texts: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def met_by_signature(rows: DataFrame, signed, groups: int) -> DataFrame:
-    """Edges (a, b) between keys that share a signature; signed gives (signatures, keys) for a slice of rows.
+    """Edges (a, b, test) between keys that share a signature; signed gives (signatures, keys) for a slice of rows.
 
-    Each task makes stars of what it has of a signature, so a hot one is shuffled once for each task.
+    Where few share it, these are all pairs, which may be tested one by one. Each task makes stars of what it has of a
+    hot signature, so that is shuffled a few times for each task at most; these edges must all be kept.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,10 +399,12 @@ def met_by_signature(rows: DataFrame, signed, groups: int) -> DataFrame:
             yield dealt(np.concatenate(signs), np.concatenate(keys))
 
     def dealt(signs: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-        signs, keys, edges = stars(signs, keys)
+        signs, keys, hot, edges = stars(signs, keys, np.zeros(len(signs), dtype=bool))
         group = (signs % U64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
-        group, signs = group[order], packed(signs[order] // U64(groups), SIGN_BYTES)
+        # the mark of a hot signature is its last bit
+        signs = (signs // U64(groups) << U64(1)) | hot.astype(U64)
+        group, signs = group[order], packed(signs[order], SIGN_BYTES)
         keys = packed(keys[order], KEY_BYTES)
         own, begin = np.unique(group, return_index=True)
         ends = [*begin[1:], len(group)]
@@ -354,13 +422,19 @@ def met_by_signature(rows: DataFrame, signed, groups: int) -> DataFrame:
 
     def met(rows: pa.Table) -> pa.Table:
         signs, keys, before = (b"".join(rows[c].to_pylist()) for c in ("signs", "keys", "edges"))
-        edges = stars(unpacked(signs, SIGN_BYTES), unpacked(keys, KEY_BYTES).view(np.int64))[2]
-        edges = np.concatenate([edges, np.frombuffer(before, dtype=np.int64).reshape(-1, 2)])
+        signs = unpacked(signs, SIGN_BYTES)
+        found = stars(signs >> U64(1), unpacked(keys, KEY_BYTES).view(np.int64), signs & U64(1) == 1)
+        edges = np.concatenate([found[3], np.frombuffer(before, dtype=np.int64).reshape(-1, 2)])
         links = forest(map(tuple, edges.tolist()))
-        return pa.table({"a": pa.array(list(links.keys()), pa.int64()), "b": pa.array(list(links.values()), pa.int64())})
+        pairs = pairs_of(*found[:3])
+        return pa.table({
+            "a": np.concatenate([np.array(list(links.keys()), dtype=np.int64), pairs[:, 0]]),
+            "b": np.concatenate([np.array(list(links.values()), dtype=np.int64), pairs[:, 1]]),
+            "test": np.arange(len(links) + len(pairs)) >= len(links),
+        })
 
     parts = rows.mapInArrow(deal, "group long, signs binary, keys binary, edges binary")
-    return parts.groupBy("group").applyInArrow(met, "a long, b long")
+    return parts.groupBy("group").applyInArrow(met, "a long, b long, test boolean")
 
 
 def linked(nodes: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int, across: bool) -> list[tuple[int, int]]:
@@ -458,13 +532,16 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str
     texts = base.texts_only(docs, key, text)
     rows = base.staged(class_rows(texts, size), "classes")
     real = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"))
+    classes = real.groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.first("parity").alias("parity")
+    )
     classes = base.staged(classes, "nodes")
     total = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     groups = max(64, int(total * 0.4) // GROUP_SIGNATURES)
     with_id = texts.where("doc_id is not null")
     levels = common_levels(with_id, size)
-    edges = shared_signatures(with_id, size, percent, groups, levels)
+    edges = base.staged(shared_signatures(with_id, size, percent, groups, levels), "meetings")
+    edges = possible(edges, classes, percent)
     clusters = base.staged(components(edges), "clusters")
     members = classes.join(clusters, F.col("k1").bitwiseAND(KEY_MASK) == clusters["node"]).select(
         classes["node"], "k1", "n_shingles", F.col("component").alias("cluster")
