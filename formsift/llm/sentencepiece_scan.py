@@ -103,7 +103,7 @@ class Pieces:
         self.ranks = Ranks(ranks)
         self.fits = Made(self.fit)
         self.whole = Made(lambda piece: merged([*piece], self.ranks)[1] == [piece])
-        self.known = Made(self.ids_of_run)
+        self.known = Made(self.ids_of_run, 1_600_000)
 
     def fit(self, pair: tuple[str, str]) -> bool:
         """Whether merging two neighbouring pieces' text gives these pieces; the first may be empty."""
@@ -247,7 +247,10 @@ class Pieces:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit numbers."""
-        return b"".join(map(self.encode_run, self.runs(written(text))))
+        words = self.words.findall(written(text))
+        if words and max(map(len, words)) > LONG_RUN:
+            return b"".join(map(self.encode_run, self.runs(written(text))))
+        return b"".join(map(self.known.__getitem__, words))
 
     # chunks of a giant text
 
