@@ -345,10 +345,13 @@ def rarest(sets: np.ndarray, at: np.ndarray, percent: int, levels: np.ndarray) -
     return sets[order][taken], owner[taken]
 
 
-def recut(members: DataFrame, texts: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """(node, cluster) of the members of large clusters, cut anew: sets meet where they share one of their rarest shingles.
+def recut(
+    members: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int, levels: np.ndarray
+) -> DataFrame:
+    """The members of large clusters, cut anew: sets meet where they share one of their rarest shingles.
 
-    Similar sets do, so no pair falls apart; sets that meet nothing are left out.
+    Similar sets do, so no pair falls apart. Pairs that meet in few are held against the bound as before; sets that meet
+    nothing are left out.
     """
     table = texts.sparkSession.sparkContext.broadcast(levels)
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
@@ -362,6 +365,7 @@ def recut(members: DataFrame, texts: DataFrame, size: int, percent: int, levels:
 
     rows = of_members(texts, members).select("text", "k1")
     edges = met_by_signature(rows, prefixes, max(64, int(total * (100 - percent) / 100) // GROUP_SIGNATURES))
+    edges = possible(base.staged(edges, "meetings"), classes, percent)
     named = base.staged(components(edges), "recut")
     return members.drop("cluster").join(named, F.col("k1").bitwiseAND(KEY_MASK) == named["node"]).select(
         members["node"], "k1", "n_shingles", F.col("component").alias("cluster")
@@ -551,7 +555,7 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str
     large = base.staged(members.join(sizes.where(F.col("total") > BLOCK_SHINGLES), "cluster").select(*members.columns), "large")
     if not large.isEmpty():
         small = members.join(sizes.where(F.col("total") <= BLOCK_SHINGLES), "cluster").select(*members.columns)
-        members = base.staged(small.unionByName(recut(large, with_id, size, percent, levels)), "members")
+        members = base.staged(small.unionByName(recut(large, classes, with_id, size, percent, levels)), "members")
     links = verified(members, with_id, size, percent)
     labels = base.staged(components(links), "labels")
     named = classes.join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
