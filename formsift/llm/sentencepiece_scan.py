@@ -103,7 +103,7 @@ class Pieces:
         self.ranks = Ranks(ranks)
         self.fits = Made(self.fit)
         self.whole = Made(lambda piece: merged([*piece], self.ranks)[1] == [piece])
-        self.known = Made(self.ids_of_run, 1_600_000)
+        self.known = Made(self.ids_of_run, 1_000_000)
 
     def fit(self, pair: tuple[str, str]) -> bool:
         """Whether merging two neighbouring pieces' text gives these pieces; the first may be empty."""
