@@ -39,6 +39,15 @@ MARKS = set(
     "contentinfo complementary search dialog masthead skip hidden paywall toc".split()
 )
 HEADER = {"header", "masthead", "banner"}
+#: Words beside a mark that only say where on the page it is: site-footer, but not search-strategy.
+PLACES = set(
+    "site page main global top bottom left right primary secondary post article entry blog user wp area box block list bar "
+    "section header inner outer container wrap wrapper".split()
+)
+#: Marks of what readers write: it may be longer than the article and is still none.
+READERS = {"comment", "comments", "disqus", "replies", "respond", "reply"}
+#: A name says what else is on the page from such a word on: has-sidebar, page-with-comments.
+BESIDES = {"has", "with", "no", "without"}
 #: An end of one of these is implied by the begin of another; a paragraph ends where any block begins.
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -63,6 +72,9 @@ class Element:
     dropped: bool  # it or one around it is no part of an article
     heading_only: bool  # a header: only its headings count
     main: bool
+    away: bool = False  # it or one around it is none by its tag or since it is hidden, whatever it holds
+    named: bool = False  # its own names say that it is none
+    readers: bool = False  # they say that readers wrote it
 
 
 @dataclass
@@ -70,19 +82,40 @@ class Block:
     element: Element
     parts: list[str] = field(default_factory=list)
     linked: int = 0
+    known: str | None = None
 
     def text(self) -> str:
-        return _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+        if self.known is None:
+            self.known = _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+        return self.known
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): m[1] or m[2] or m[3] for m in reversed(_ATTRIBUTE.findall(raw))} if raw.strip(" /") else {}
 
 
-def _names(value: str) -> set[str]:
-    """Words of class or id names; a name like has-sidebar tells of something else on the page."""
-    names = ([w.lower() for w in _NAME.findall(name)] for name in value.split())
-    return {w for words in names if words and words[0] not in {"has", "with", "no", "without"} for w in words}
+def _names(value: str) -> list[list[str]]:
+    """Words of each class or id name; those from has, with, no or without on tell of something else on the page."""
+    names = []
+    for name in value.split():
+        words = [w.lower() for w in _NAME.findall(name)]
+        names.append(words[: next((i for i, w in enumerate(words) if w in BESIDES), len(words))])
+    return names
+
+
+def _marks(names: list[list[str]], leading: bool) -> set[str]:
+    """Marks among names: a name whose words are all marks or places counts, and one that begins with a mark if `leading`.
+
+    A word within a name says little: related-work and search-strategy are headings of an article.
+    """
+    marks: set[str] = set()
+    for words in names:
+        own = [w for w in words if w in MARKS or w in HEADER]
+        if own and all(w in MARKS or w in PLACES for w in words):
+            marks.update(w for w in own if w in MARKS or len(own) == 1)
+        elif leading and words and words[0] in MARKS | HEADER:
+            marks.add(words[0])
+    return marks
 
 
 def opened(tag: str, raw: str, parent: Element | None) -> Element:
@@ -90,20 +123,77 @@ def opened(tag: str, raw: str, parent: Element | None) -> Element:
     classes = sorted({_DIGITS.sub("#", c.lower()) for c in html.unescape(own.get("class", "")).split()})
     step = ".".join([tag, *classes])
     path = f"{parent.path}>{step}" if parent else step
-    marks = _names(own.get("class", "")) | _names(own.get("id", "")) | _names(own.get("role", ""))
-    main = tag in {"article", "main"} or "main" in _names(own.get("role", "")) or own.get("itemprop") == "articleBody"
+    role = _names(own.get("role", ""))
+    names = _names(own.get("class", ""))
+    marks = _marks(names, True) | _marks(role, True)
+    if tag not in RUNNING:  # ids of headings and paragraphs are made of their words
+        marks |= _marks(_names(own.get("id", "")), False)
+    main = tag in {"article", "main"} or ["main"] in role or own.get("itemprop") == "articleBody"
     header = tag == "header" or bool(marks & HEADER)
-    away = tag in ASIDE or bool(marks & (MARKS - HEADER)) or "hidden" in own or own.get("aria-hidden") == "true"
+    named = bool(marks & (MARKS - HEADER))
+    away = tag in ASIDE or "hidden" in own or own.get("aria-hidden") == "true"
     away |= "display:none" in own.get("style", "").replace(" ", "").lower()
     if tag in {"html", "body"} or (main and tag == "article"):
-        away = header = False
-    inside = parent and parent.main
+        away = named = header = False
+    if main:
+        named = header = False
+    # the header of a post is that of an article, too
+    inside = (parent and parent.main) or any(w and w[0] in {"post", "entry", "article"} and "header" in w for w in names)
+    named |= header and not inside
+    away |= bool(parent and parent.away)
     return Element(
-        tag, parent, path, bool(parent and parent.dropped) or away or (header and not inside),
-        bool(parent and parent.heading_only) or (header and bool(inside)), main or bool(inside),
+        tag, parent, path, bool(parent and parent.dropped) or away or named,
+        bool(parent and parent.heading_only) or (header and bool(inside)), main or bool(parent and parent.main), away, named,
+        bool(marks & READERS) or bool(parent and parent.readers),
     )
 
 
+def running_text(block: Block) -> int:
+    """Characters of a block that are not linked."""
+    return max(0, len(block.text()) - 2 * block.linked)
+
+
+def settle(blocks: list[Block]) -> None:
+    """Takes back what names say where they cannot be right: a wrapper around the article is no sidebar.
+
+    A named element counts as a wrapper if it holds more than half of the page's running text and this is in one article
+    or main element, or little is left without it. What is marked within it is still dropped.
+    """
+    elements: dict[int, tuple[Element, dict[int, int]]] = {}  # by named element: text below, by the article in it (0: none)
+    total = rest = 0
+    for block in blocks:
+        e = block.element
+        if e.away or not (worth := running_text(block)):
+            continue
+        total += worth
+        rest += 0 if e.dropped else worth
+        article = 0
+        while e is not None and e.tag:
+            if e.named:
+                sums = elements.setdefault(id(e), (e, {}))[1]
+                sums[article] = sums.get(article, 0) + worth
+            if e.tag in {"article", "main"} or (e.main and not (e.parent and e.parent.main)):
+                article = id(e)
+            e = e.parent
+    wrappers = []
+    for e, sums in elements.values():
+        whole, article = sum(sums.values()), max((n for a, n in sums.items() if a), default=0)
+        if not e.readers and (2 * article > total or (2 * whole > total and 4 * rest < whole)):
+            wrappers.append(e)
+            e.named = False
+    if not wrappers:
+        return
+    for block in blocks:
+        e = block.element
+        around = []
+        while e is not None:
+            around.append(e)
+            e = e.parent
+        dropped = False
+        for e in reversed(around):
+            dropped = e.dropped = dropped or e.away or e.named
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with the element that each stands in."""
     root = Element("", None, "", False, False, False)
@@ -178,6 +268,8 @@ def blocks_of(page: str) -> list[Block]:
             finish()
     write(page[at:])
     finish()
+    if any(b.element.dropped and not b.element.away for b in blocks):
+        settle(blocks)
     return blocks
 
 

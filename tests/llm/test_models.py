@@ -206,6 +206,36 @@ def test_pages_of_a_host_follow_its_path(spark):
     assert extract_pages(pages.limit(0)).count() == 0
 
 
+LONG = "Words of an article that run on for a while, line after line, until they end. " * 4
+
+
+def page_of(body):
+    return f"<html><body><nav><a href=/>Home</a></nav>{body}<div class='site-footer'><p>All that is left of it.</p></div></body></html>"
+
+
+@pytest.mark.parametrize("wrapper", ["content-sidebar-wrap", "page-with-sidebar", "sidebar-layout", "menu-open", "has-sidebar", "banner-page"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main class='social'>{}</main>", "<div class=text>{}</div>"])
+def test_wrappers_named_after_something_else_keep_the_article(wrapper, inner):
+    text = f"<p>{LONG}</p><p>{LONG}</p><div class='related-posts'><p>More of it</p></div>"
+    page = page_of(f"<div class='{wrapper}'>{inner.format(text)}<div class='sidebar-left'><p>{LONG[:100]}</p></div></div>")
+    assert main_text(page, None) == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+def test_slug_ids_within_an_article_are_kept():
+    body = (
+        f"<h1 id='notice'>T</h1><h2 id='related-work'>Related work</h2><p id=notice>{LONG}</p><section id='search-strategy'><p>{LONG}</p></section>"
+        "<div id='left-sidebar'><p>Not this</p></div><section id=comments><article><p>Nor what readers write</p></article></section>"
+    )
+    wanted = f"T\n\nRelated work\n\n{LONG.strip()}\n\n{LONG.strip()}"
+    assert main_text(page_of(f"<article>{body}</article>"), None) == wanted
+    assert main_text(page_of(f"<div id=text>{body}</div>"), "html>body>div") == wanted
+
+
+def test_what_readers_write_is_no_article_however_long():
+    page = page_of(f"<div class=story><p>{LONG}</p></div><div id=comments><article><p>{LONG * 9}</p></article></div>")
+    assert main_text(page, None) == LONG.strip()
+
+
 # search
 
 
