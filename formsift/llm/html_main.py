@@ -54,6 +54,9 @@ SIBLINGS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
 
+#: Characters from which on a paragraph is running text; a block of no such kind needs four times as many.
+RUNNING_CHARS = 25
+
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
@@ -311,10 +314,64 @@ def container_scores(blocks: list[Block]) -> dict[str, float]:
     return scores
 
 
+def best_path(blocks: list[Block], scores: dict[str, float]) -> str:
+    """The path of the best score, or that of a container around it which adds a title or running text.
+
+    Scores halve outwards, so that the best container may be one part of an article. An outer one is taken if what it
+    adds is headings before the part and running text with few links, rather than links and scraps. What follows an
+    article or main element is none of it.
+    """
+    best = min(scores, key=lambda p: (-scores[p], p))
+    level: dict[str, int] = {}  # the best path and those around it, from within
+    around: list[Element] = []
+    for block in blocks:
+        e = block.element
+        while e is not None and e.path != best:
+            e = e.parent
+        if e is not None and e.tag:
+            while e is not None and e.tag:
+                level[e.path] = len(around)
+                around.append(e)
+                e = e.parent
+            break
+    good, poor = [0] * len(around), [0] * len(around)
+    begun = False
+    for block in blocks:
+        if not kept(block) or not (text := block.text()):
+            continue
+        e = block.element
+        while e is not None and e.path not in level:
+            e = e.parent
+        if e is None:
+            continue
+        at, n, tag = level[e.path], len(text), block.element.tag
+        begun |= at == 0
+        if 3 * block.linked > n or (begun and around[0].main):
+            fits = False
+        elif tag in HEADINGS:
+            fits = not begun
+        else:
+            fits = n >= (RUNNING_CHARS if tag in RUNNING else 4 * RUNNING_CHARS)
+        (good if fits else poor)[at] += n
+    taken, more, less = best, 0, 0
+    for i in range(1, len(around)):
+        more, less = more + good[i], less + poor[i]
+        if around[i].tag in CONTAINERS and more > less:
+            taken, more, less = around[i].path, 0, 0
+    return taken
+
+
 def votes(page: str, most: int = 5) -> list[tuple[str, float]]:
-    """The page's best paths, each with its share of the best score."""
-    scores = sorted(container_scores(blocks_of(page)).items(), key=lambda s: (-s[1], s[0]))[:most]
-    return [(path, score / scores[0][1]) for path, score in scores]
+    """The page's best paths, each with its share of the best score; a container around the best takes its place."""
+    blocks = blocks_of(page)
+    scores = container_scores(blocks)
+    if not scores:
+        return []
+    top = best_path(blocks, scores)
+    best = max(scores.values())
+    others = sorted(((-n, p) for p, n in scores.items() if p != top))
+    # what lies within the container that is taken has no more votes than that had by itself
+    return [(top, 1.0), *((p, min(-n, scores[top]) / best) for n, p in others)][:most]
 
 
 def text_below(blocks: list[Block], path: str) -> str:
@@ -335,7 +392,7 @@ def main_text(page: str, path: str | None) -> str:
     if not text:
         scores = container_scores(blocks)
         if scores:
-            text = text_below(blocks, min(scores, key=lambda p: (-scores[p], p)))
+            text = text_below(blocks, best_path(blocks, scores))
         else:  # no container at all: bare text
             text = "\n\n".join(t for b in blocks if kept(b) and (t := b.text()))
     return text

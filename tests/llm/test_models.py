@@ -236,6 +236,43 @@ def test_what_readers_write_is_no_article_however_long():
     assert main_text(page, None) == LONG.strip()
 
 
+LEAD = "A lead that says in a sentence or two what the article is about, before it begins in earnest."
+LAYOUTS = {  # every text in them belongs to the article
+    "section": f"<div class=content><h1>T</h1><p>{LEAD}</p><section><p>{LONG}</p></section></div>",
+    "entry": f"<div class=post><h1>A title</h1><div class=entry><p>{LONG}</p><p>{LONG}</p></div></div>",
+    "header": f"<div class=post><header class=post-header><h1>A title</h1></header><div class=entry><p>{LONG}</p></div></div>",
+    "halves": f"<div class=text><div class=first><p>{LONG}</p></div><div class=second><p>{LEAD}</p></div></div>",
+    "wrapped": f"<div id=a><h1>A title</h1><div class=b><div class=c><div class=d><p>{LONG}</p></div></div></div></div>",
+    "scrap": f"<div id=a><h1>A long title</h1><div class=b><span>By me</span><div class=c><p>{LONG}</p></div></div></div>",
+    "outside": f"<div id=a><h1>A title</h1><p>{LEAD}</p><article><p>{LONG}</p></article></div>",
+    "three": f"<div id=a><section><h2>One</h2><p>{LEAD}</p></section><div class=b><p>{LONG}</p></div><section><p>{LEAD}</p></section></div>",
+}
+AROUND = "<div class=links><a href=1>Another page of this site</a> <a href=2>And another one</a></div><div class=top><p>few words</p></div>"
+
+
+def texts_in(part):
+    return "\n\n".join(t.strip() for t in re.findall(r">([^<>]+)<", part) if t.strip())
+
+
+@pytest.mark.parametrize("layout", list(LAYOUTS))
+def test_article_without_an_element_of_its_own_is_whole(layout):
+    part = LAYOUTS[layout]
+    page = page_of(f"{AROUND}{part}{AROUND}")
+    assert main_text(page, None) == texts_in(part)
+    assert main_text(page, votes(page)[0][0]) == texts_in(part)
+
+
+def test_hosts_follow_the_whole_article(spark):
+    rows = [(f"{name} {i}", f"http://{name}.example/{i}", page_of(f"{AROUND}{part}")) for name, part in LAYOUTS.items() for i in range(3)]
+    found = {r["page_id"]: r["text"] for r in table(extract_pages(spark.createDataFrame(rows, "page_id string, url string, html string")))}
+    assert found == {key: texts_in(LAYOUTS[key.split()[0]]) for key, _, _ in rows}
+
+
+def test_what_follows_an_article_element_is_not_added():
+    page = page_of(f"<div><article><h1>T</h1><p>{LONG}</p></article><div class=legal><p>{LEAD}</p></div></div>")
+    assert main_text(page, None) == f"T\n\n{LONG.strip()}"
+
+
 # search
 
 
