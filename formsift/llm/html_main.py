@@ -1,7 +1,8 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 Every page scores its containers by the running text of their blocks and votes for the generalised tag-class paths of
-the best ones; votes are added up per host in Spark, and each page is extracted again along its host's winning path.
+the best ones; votes are added up per host in Spark. A host's winning paths are that of most votes and all that lead for
+LEADS pages or more, one for each of its templates; each page is extracted again along that which it ranks first.
 """
 
 from __future__ import annotations
@@ -54,6 +55,8 @@ SIBLINGS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
 
+#: Paths that a page votes for at most, and pages that a path must lead for to win beside the one of most votes.
+MOST, LEADS = 5, 2
 #: Characters from which on a paragraph is running text; a block of no such kind needs four times as many.
 RUNNING_CHARS = 25
 
@@ -361,9 +364,12 @@ def best_path(blocks: list[Block], scores: dict[str, float]) -> str:
     return taken
 
 
-def votes(page: str, most: int = 5) -> list[tuple[str, float]]:
+def votes(page: str) -> list[tuple[str, float]]:
     """The page's best paths, each with its share of the best score; a container around the best takes its place."""
-    blocks = blocks_of(page)
+    return ranked(blocks_of(page))
+
+
+def ranked(blocks: list[Block], most: int = MOST) -> list[tuple[str, float]]:
     scores = container_scores(blocks)
     if not scores:
         return []
@@ -388,11 +394,14 @@ def text_below(blocks: list[Block], path: str) -> str:
 def main_text(page: str, path: str | None) -> str:
     """The text along the host's path, or along the page's own best one where the page has nothing there."""
     blocks = blocks_of(page)
+    return text_or_own(blocks, path, ranked(blocks))
+
+
+def text_or_own(blocks: list[Block], path: str | None, own: list[tuple[str, float]]) -> str:
     text = text_below(blocks, path) if path is not None else ""
     if not text:
-        scores = container_scores(blocks)
-        if scores:
-            text = text_below(blocks, best_path(blocks, scores))
+        if own:
+            text = text_below(blocks, own[0][0])
         else:  # no container at all: bare text
             text = "\n\n".join(t for b in blocks if kept(b) and (t := b.text()))
     return text
@@ -417,32 +426,54 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch):
-                sums: dict[tuple[str, str], list[float]] = {}
+                sums: dict[tuple[str, str], list[int]] = {}
                 for host, page in zip(part.column("host").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    for path, share in votes(page):
-                        own = sums.setdefault((host, path), [0, 0])
-                        own[0] += round(share * 1_000_000)  # whole numbers: the order of rows does not show
-                        own[1] += 1
-                columns = [[h for h, _ in sums], [p for _, p in sums], [v[0] for v in sums.values()], [v[1] for v in sums.values()]]
-                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "path", "votes", "pages"]
-                )
-
-    cast = rows.select("host", "text").mapInArrow(vote, "host string, path string, votes long, pages long")
-    added = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+                    if own := votes(page):
+                        added = sums.setdefault((host, "\n".join(path for path, _ in own)), [0] * (MOST + 1))
+                        added[0] += 1
+                        for i, (_, share) in enumerate(own, 1):
+                            added[i] += round(share * 1_000_000)  # whole numbers: the order of rows does not show
+                columns = [pa.array([h for h, _ in sums], pa.string()), pa.array([r for _, r in sums], pa.string())]
+                columns += [pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(MOST + 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["host", "ranks", "pages", *voted])
+
+    voted = [f"votes{i}" for i in range(MOST)]
+    kinds = f"host string, ranks string, pages long, {', '.join(f'{v} long' for v in voted)}"
+    # pages of a host that rank the same paths alike are one row
+    cast = rows.select("host", "text").mapInArrow(vote, kinds).groupBy("host", "ranks").agg(*(F.sum(c).alias(c) for c in ("pages", *voted)))
+    cast = base.staged(cast, "host-ranks")
+    paths = cast.select("host", "ranks", "pages", F.posexplode(F.split("ranks", "\n")).alias("place", "path"), F.array(*voted).alias("votes"))
+    added = paths.groupBy("host", "path").agg(
+        F.sum(F.expr("votes[place]")).alias("votes"), F.sum(F.when(F.col("place") == 0, F.col("pages")).otherwise(0)).alias("leads")
+    )
+    added = base.staged(added, "host-votes")
     # of equal votes the first path by name
-    winners = added.groupBy("host").agg(F.min(F.struct(-F.col("votes"), "path")).alias("best")).select("host", F.col("best.path").alias("path"))
-    ruled = rows.join(base.staged(winners, "host-paths"), "host", "left").select("page_id", "url", "text", "path")
+    first = added.groupBy("host").agg(F.min(F.struct(-F.col("votes"), "path")).alias("best")).select("host", F.col("best.path").alias("path"))
+    first = base.staged(first, "host-paths")
+    winners = added.where(F.col("leads") >= LEADS).select("host", "path").unionByName(first).distinct()
+    places = paths.join(winners, ["host", "path"]).groupBy("host", "ranks").agg(F.min("place").alias("place"))
+    ruled = rows.join(first, "host", "left").select("page_id", "url", "host", "text", "path")
+    kind = dict(rows.dtypes)["page_id"]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch):
-                texts = [main_text(p, path) for p, path in zip(part.column("text").to_pylist(), part.column("path").to_pylist(), strict=True)]
+                ranks, texts, others = [], [], []
+                for page, path in zip(part.column("text").to_pylist(), part.column("path").to_pylist(), strict=True):
+                    blocks = blocks_of(page)
+                    own = ranked(blocks)
+                    ranks.append("\n".join(p for p, _ in own))
+                    texts.append([text_below(blocks, p) for p, _ in own])
+                    others.append(text_or_own(blocks, path, own))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                    ["page_id", "url", "text", "n_chars"],
+                    [
+                        *(part.column(c) for c in ("page_id", "url", "host")), pa.array(ranks, pa.string()),
+                        pa.array(texts, pa.list_(pa.string())), pa.array(others, pa.string()),
+                    ],
+                    ["page_id", "url", "host", "ranks", "texts", "other"],
                 )
 
-    kind = dict(rows.dtypes)["page_id"]
-    return ruled.mapInArrow(extract, f"page_id {kind}, url string, text string, n_chars long")
+    found = ruled.mapInArrow(extract, f"page_id {kind}, url string, host string, ranks string, texts array<string>, other string")
+    found = found.join(base.staged(places, "host-places"), ["host", "ranks"], "left")
+    found = found.select("page_id", "url", F.coalesce(F.expr("texts[place]"), F.col("other")).alias("text"))
+    return found.select("*", F.length("text").cast("long").alias("n_chars"))

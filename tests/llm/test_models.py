@@ -273,6 +273,17 @@ def test_what_follows_an_article_element_is_not_added():
     assert main_text(page, None) == f"T\n\n{LONG.strip()}"
 
 
+def test_each_template_of_a_host_has_its_path(spark):
+    block = "<div class=top><p>{0}</p></div><div class='story n7'><p>{1}</p></div><div class=note><p>{2}</p></div>"
+    short = "few words"
+    rows = [(i, "http://two.example/x", page_of(block.format(short, LONG, short))) for i in range(9)]
+    rows += [(i, "http://two.example/y", page_of(block.format(LONG, short, short))) for i in range(10, 12)]
+    # the page's own best path leads for no other page: the first of its paths that wins
+    rows += [(20, "http://two.example/z", page_of(block.format(LONG, short, LONG * 2)))]
+    found = {r["page_id"]: r["text"] for r in table(extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert set(found.values()) == {LONG.strip()} and len(found) == 12
+
+
 # search
 
 
