@@ -146,6 +146,16 @@ def test_base_spans_are_those_of_the_rules(spark, odd_rows):
         assert r["all"] == r["base"]
 
 
+def test_addresses_with_parts_of_any_length(spark):
+    zeros, nines = "0" * 60, "9" * 45
+    parts = ["0", "00", "7", "99", "100", "199", "249", "255", "256", "260", "300", "999", "1000", nines, zeros, zeros + "255", zeros + "256", zeros + "1" * 39]
+    rows = [(i, f"at {'.'.join(own)} x") for i, own in enumerate((*["1"] * at, p, *["1"] * (3 - at)) for p in parts for at in range(4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["base"] for r in table(pii_spans(docs, fit_pii(docs)))}
+    for i, text in rows:
+        assert [(s["kind"], s["s"], s["e"]) for s in found[i] if s["kind"] == "ip"] == [s for s in base_spans(text) if s[0] == "ip"]
+
+
 def test_model_adds_what_the_rules_lose_and_redaction_takes_effect(spark):
     good, bad = "4111111111111111", "4111111111111112"
     rows = [(i, f"{prose(i, 5)} {good if i % 2 else bad} {prose(i, 2)} +1 (555) 010-{i:04d} x 10.0.0.{i % 300} a{i}@b.org") for i in range(300)]
