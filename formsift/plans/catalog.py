@@ -120,6 +120,17 @@ def s2_read_text_files(spark, sf):
     return files.select(S.document_name(F.concat("name", F.lit(".txt"))).alias("file_name"), S.decode_text(F.col("value")).alias("raw_text"))
 
 
+@query
+def s2_read_ocr_files(spark, sf):
+    """A text file for every form that has a text, under the name of its document, in the form's own folder."""
+    folder = S.scratch_folder(spark, "ocr-files")
+    texts = forms(spark, sf).where("raw_text IS NOT NULL").select(
+        "k", F.regexp_replace("path", r"[^/]*\z", "").alias("below"), S.cached_text_name(F.col("file_name")).alias("name"), "raw_text"
+    )
+    S.write_text_files(texts.repartition(4 * spark.sparkContext.defaultParallelism, "k"), folder)
+    return S.read_ocr_texts(spark, folder)
+
+
 @query
 def s3_read_results_csv(spark, sf):
     path = S.scratch_folder(spark, "results-csv")

@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from formsift import constants as K
@@ -59,6 +61,29 @@ def read_ocr_texts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def write_text_files(texts: DataFrame, root: str) -> None:
+    """One file for each row (below, name, raw_text) in the folder `below` of root, written by the row's task.
+
+    A text ends with a line break, so that no file is empty: Spark's readers pass over empty files.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = fs.FileSystem.from_uri(root)
+        made = set()
+        for batch in batches:
+            for below, name, text in zip(*(batch.column(c).to_pylist() for c in ("below", "name", "raw_text")), strict=True):
+                folder = f"{top}/{below}".rstrip("/")
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{folder}/{name}", compression=None) as file:
+                    file.write(f"{text}\n".encode())
+            yield batch.select(["name"])
+
+    rows = texts.select("below", "name", "raw_text").mapInArrow(write, "name string")
+    rows.write.format("noop").mode("overwrite").save()
+
+
 def _csv(spark: SparkSession, path: str, columns: list[str], one_line: bool) -> tuple[DataFrame, list[Column]]:
     """A CSV table with the names of its header, and the wanted columns of it: text, '' where it has none."""
     rows = spark.read.csv(path, header=True, multiLine=not one_line, escape='"', encoding="UTF-8")

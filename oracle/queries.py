@@ -169,6 +169,7 @@ SELECTS = {
     " FROM documents",
     "s2_read_text_files": "SELECT regexp_replace(file_name, '\\.[A-Za-z]+$', '') || '.pdf' AS file_name, raw_text || chr(10) AS raw_text"
     " FROM forms WHERE raw_text IS NOT NULL AND k IN (SELECT s_suppkey FROM supplier)",
+    "s2_read_ocr_files": "SELECT file_name, raw_text || chr(10) AS raw_text FROM forms WHERE raw_text IS NOT NULL",
     "s3_read_results_csv": f"SELECT {PRIOR_TEXT} FROM latest_prior",
     "s4_read_truth_csv": "SELECT file_name, file_type, employee_name, employee_address, employee_ssn, notes FROM truth",
     "s5_write_results": f"SELECT {RESULT_SECONDS} FROM results",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from formsift import constants as K
 from formsift.operators import report as R, runs
+from formsift.plans.catalog import QUERIES
 from formsift.plans.documents import next_run, process_documents
 from formsift.sources import tables as S
 from formsift.sources.forms import forms
@@ -25,6 +26,21 @@ def test_read_texts_replaces_bad_bytes(spark, tmp_path):
     assert (row.file_name, row.raw_text) == ("a.pdf", "one\ntw�o")
 
 
+def test_text_files_of_all_forms_are_read_by_the_operator(spark, small, monkeypatch):
+    read = []
+
+    def reader(spark, root, own=S.read_ocr_texts):
+        read.append(own(spark, root))
+        return read[-1]
+
+    monkeypatch.setattr(S, "read_ocr_texts", reader)
+    found = QUERIES["s2_read_ocr_files"](spark, small)
+    assert len(read) == 1
+    wanted = forms(spark, small).where("raw_text IS NOT NULL")
+    assert {r.file_name for r in found.collect()} == {r.file_name for r in wanted.collect()}
+    assert len(read[0].inputFiles()) == wanted.count() > spark.read.parquet(f"{small}/supplier.parquet").count()
+
+
 def test_results_csv_with_mark_quotes_and_repeats(spark, tmp_path):
     text = '﻿file_name,status,review_reason\r\n a.pdf ,OLD,x\r\n,LOST,y\r\na.pdf,NEW,"said ""no"",\ntwice"\r\n'
     (tmp_path / "r.csv").write_text(text, encoding="utf-8")
