@@ -264,8 +264,8 @@ def pii_spans(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str =
     """doc_id, text, row (all other columns), base, all for every row; spans are structs (kind, s, e) by code points, end exclusive.
 
     base has the matches of the fixed rules that pass their checks, by kind, then begin. all has these and what the
-    model adds: proposed spans that reach their kind's threshold and meet no base span of any kind and no better
-    proposed one. A null text is empty and has none; a null key stays null; repeated rows give repeated rows; an empty
+    model adds: proposed spans that reach their kind's threshold and are not covered by base spans, best first, each of
+    which meets none that was added before it. Added spans may overlap base spans. A null text is empty and has none; a null key stays null; repeated rows give repeated rows; an empty
     table gives an empty one; other columns are not read.
     """
     found = candidates(docs, key, text)
@@ -284,16 +284,22 @@ def pii_spans(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str =
         base=F.concat(*(F.col(f"ok_{k}") for k in KINDS)),
         proposed=F.concat(*(F.col(f"new_{k}") for k in KINDS)),
     ).select("doc_id", "text", "row", "base", "proposed")
-    # by begin, so that what a span meets is near it; ties go to the better, then the longer, then the kind listed first
+    # what a base span covers is known; what goes beyond the base spans is added whole
+    points = "concat(array(x.s), transform(filter(base, y -> x.s < y.e AND y.e < x.e), y -> y.e))"
     rows = computed(
         rows,
-        free=F.expr("filter(proposed, x -> NOT exists(base, y -> x.s < y.e AND y.s < x.e))"),
+        free=F.expr(f"filter(proposed, x -> exists({points}, p -> NOT exists(base, y -> y.s <= p AND p < y.e)))"),
     )
-    better = "(y.p > x.p OR (y.p = x.p AND (y.e - y.s > x.e - x.s OR (y.e - y.s = x.e - x.s AND (y.s < x.s OR (y.s = x.s AND y.f.kind < x.f.kind))))))"
-    rows = computed(
-        rows,
-        added=F.expr(f"transform(filter(free, x -> NOT exists(free, y -> x.s < y.e AND y.s < x.e AND {better})), x -> struct(x.kind AS kind, x.s AS s, x.e AS e))"),
+    meets = "exists(free, y -> x.s < y.e AND y.s < x.e AND NOT (y.s = x.s AND y.e = x.e AND y.f.kind = x.f.kind))"
+    # ties go to the longer, then the first, then the kind listed first
+    ranked = "array_sort(transform(contested, x -> struct(-x.p AS p, x.s - x.e AS n, x.s AS s, x.f.kind AS i, x.kind AS kind, x.e AS e)))"
+    added = (
+        f"aggregate({ranked}, cast(array() AS {FOUND}), (z, x) -> if(exists(z, y -> x.s < y.e AND y.s < x.e), z, "
+        "concat(z, array(struct(x.kind AS kind, x.s AS s, x.e AS e)))))"
     )
+    rows = computed(rows, contested=F.expr(f"filter(free, x -> {meets})"), alone=F.expr(f"filter(free, x -> NOT {meets})"))
+    alone = "transform(alone, x -> struct(x.kind AS kind, x.s AS s, x.e AS e))"
+    rows = computed(rows, added=F.expr(f"concat({alone}, {added})"))
     by_kind = F.concat(*(F.expr(f"array_sort(filter(concat(base, added), x -> x.kind = '{k}'))") for k in KINDS))
     return computed(rows.select("doc_id", "text", "row", "base", "added"), all=by_kind).select("doc_id", "text", "row", "base", "all")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from formsift.llm import lm_scoring
 from formsift.llm.html_main import extract_pages, main_text, votes
 from formsift.llm.lm_scoring import lm_scores
-from formsift.llm.pii import KINDS, PiiModel, fit_pii, joined, pii_spans, redact
+from formsift.llm.pii import KINDS, PiiModel, candidates, features, fit_pii, joined, pii_spans, redact
 from formsift.llm.quality import QualityModel, fit_quality, keep_good, quality_scores
 from formsift.llm.topk import build, exact_topk, search
 from tests.llm.conftest import prose, table
@@ -176,6 +176,43 @@ def test_model_adds_what_the_rules_lose_and_redaction_takes_effect(spark):
     assert all("@" not in (r["text"] or "") for r in done.values())
 
 
+def scored_model():
+    """Scores that fall with the number of digits, all beyond the thresholds."""
+    tree = (0, 10, 0, 7, 0, 12, (3.0, 2.0, 1.0, 0.5))
+    return PiiModel(trees=[tree], thresholds=dict.fromkeys(KINDS, 0.1))
+
+
+def chosen(base, proposed):
+    """(kind, s, e) of what is added, from (score, kind, s, e), by brute force."""
+    known = {p for _, s, e in base for p in range(s, e)}
+    taken = []
+    for _, kind, s, e in sorted(proposed, key=lambda x: (-x[0], x[2] - x[3], x[2], KINDS.index(x[1]))):
+        if not set(range(s, e)) <= known and all(e <= t[1] or t[2] <= s for t in taken):
+            taken.append((kind, s, e))
+    return taken
+
+
+def test_added_spans_are_those_of_a_greedy_choice(spark):
+    rng = random.Random(3)
+    parts = ["1.2.3.4", "300.1.1.1", "4111 1111 1111 1111", "555 010 9999", "555-0100", "a@b.c", "a @ b . c", "1.2.3.4 555 0100", "(12) 345 6789", "+1 555 010 9999", " ", "-", ".", "12", "@", "x"]
+    rows = [(i, "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(1, 12)))) for i in range(500)]
+    docs, model = spark.createDataFrame(rows, "doc_id long, text string"), scored_model()
+    found = {r["doc_id"]: r for r in table(pii_spans(docs, model).select("doc_id", "base", "all"))}
+    proposed = {k: F.expr(f"transform(more_{k}, x -> struct({features(k)} AS f, '{k}' AS kind, x.s AS s, x.e AS e))") for k in KINDS}
+    every = F.concat(*(F.col(k) for k in KINDS))
+    scored = F.expr(f"transform(every, x -> struct({model.sql('x.f')} AS p, x.kind AS kind, x.s AS s, x.e AS e))")
+    given = table(candidates(docs, "doc_id", "text").select("doc_id", *(c.alias(k) for k, c in proposed.items())).withColumn("every", every).select("doc_id", scored.alias("x")))
+    chains = extended = 0
+    for r in given:
+        base = [(s["kind"], s["s"], s["e"]) for s in found[r["doc_id"]]["base"]]
+        spans = [(x["p"], x["kind"], x["s"], x["e"]) for x in r["x"]]
+        added = chosen(base, spans)
+        assert sorted((s["kind"], s["s"], s["e"]) for s in found[r["doc_id"]]["all"]) == sorted(base + added)
+        extended += any(s < b[2] and b[1] < e for _, s, e in added for b in base)
+        chains += len(added) > sum(all(x is y or x[3] <= y[2] or y[3] <= x[2] or x[0] > y[0] for y in spans) for x in spans)
+    assert extended and chains
+
+
 def test_personal_data_of_odd_rows(odd, empty):
     assert pii_spans(odd, fit_pii(odd)).count() == odd.count()
     assert redact(odd, fit_pii(empty)).columns == odd.columns
