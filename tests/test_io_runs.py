@@ -220,3 +220,24 @@ def test_dedupe_carries_what_is_read_only(spark):
     latest = R.latest_by_key(df, "file_name", ["n"])
     assert latest.collect()[0].m == {"y": 2}
     assert "max_by(wide" in plan_of(latest) and "max_by(wide" not in plan_of(latest.select("file_name", "n"))
+
+
+def test_stream_takes_many_files_at_once_and_null_keys(spark, small, tmp_path, monkeypatch):
+    customers = spark.read.parquet(f"{small}/customer.parquet")
+    unknown = customers.limit(1).withColumn("c_custkey", F.lit(None).cast(customers.schema["c_custkey"].dataType))
+    customers.unionByName(unknown).repartition(8).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.read.parquet(f"{small}/supplier.parquet").write.parquet(str(tmp_path / "supplier.parquet"))
+    seen = []
+
+    def ingest(spark, source, schema, *args, max_files, own=I.ingest):
+        arrived = spark.read.schema(schema).parquet(source)
+        seen.append((len(arrived.inputFiles()), max_files, arrived.count(), arrived.where("c_custkey IS NULL").count()))
+        own(spark, source, schema, *args, max_files=max_files)
+
+    monkeypatch.setattr(I, "ingest", ingest)
+    found = QUERIES["c10_stream_ingest"](spark, str(tmp_path)).collect()
+    files, at_once, rows, nulls = seen[0]
+    assert files > 3 and 1 < at_once <= files // 3 + 1
+    assert rows == customers.count() + 1 and nulls == 1
+    wanted = process_documents(forms(spark, str(tmp_path)))
+    assert {r.file_name for r in found} == {r.file_name for r in wanted.select("file_name").collect()}
