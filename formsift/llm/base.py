@@ -48,6 +48,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def fresh() -> str:
+    """A name that nothing else has."""
+    return uuid.uuid4().hex
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts the lineage and survives a lost executor."""
     folder = shared_folder(df.sparkSession, name)
@@ -57,11 +62,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Deletes the folder of a table that staged() made, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove(df.sparkSession, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _HELD: list[tuple[object, object]] = []

@@ -19,6 +19,9 @@ COLUMNS = {
     "op8": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op9": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op10": ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
+    "op11": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op12": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 
 
@@ -37,7 +40,7 @@ def test_columns_and_a_row_for_every_input_row(spark, small, name):
     rows = QUERIES[name](spark, small)
     operator = name.split("_")[0]
     assert rows.columns == COLUMNS[operator]
-    of = {"op6": None, "op7": "pages"}.get(operator, "documents")
+    of = {"op6": None, "op7": "pages", "op12": None, "op13": "embeddings"}.get(operator, "documents")
     if of:
         wanted = spark.read.parquet(f"{small}/{of}.parquet").count()
         assert rows.select(rows.columns[0]).distinct().count() == wanted
