@@ -85,13 +85,30 @@ def held(key: object, make: Callable[[], object] | None = None) -> object:
         _HELD.clear()
         if had:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
         _HELD.append((key, make() if make else None))
     return _HELD[0][1]
 
 
+def give_back() -> None:
+    """Gives memory that this worker no longer uses back to the machine: a worker outlives its tasks, idle or not."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A task's function over batches that gives memory back when the task ends."""
+
+    def worked(*batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(*batches)
+        finally:
+            give_back()
+
+    return worked
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes of text each, so that memory follows the longest text only."""
     texts = batch.column(batch.schema.get_field_index(column))
@@ -133,16 +150,19 @@ def without(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
 
     The hash buckets of what goes are broadcast, BUCKETS rows at most; only rows in such a bucket are shuffled.
     """
+    # names that no column of either table has
+    mark = f"bucket_{fresh()}"
+
     def bucket(columns: list[Column]) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).alias("__bucket")
+        return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).alias(mark)
 
     own = [F.col(f"`{k}`") for k in keys]
-    gone = gone.select(*(c.alias(f"__gone{i}") for i, c in enumerate(own)))
+    gone = gone.select(*(c.alias(f"{mark}_{i}") for i, c in enumerate(own)))
     hits = gone.select(bucket([F.col(c) for c in gone.columns])).distinct()
-    dealt = df.withColumn("__bucket", bucket(own))
-    far = dealt.join(F.broadcast(hits), "__bucket", "left_anti").drop("__bucket")
-    near = dealt.join(F.broadcast(hits), "__bucket", "left_semi").drop("__bucket")
-    same = [c.eqNullSafe(F.col(f"__gone{i}")) for i, c in enumerate(own)]
+    dealt = df.withColumn(mark, bucket(own))
+    far = dealt.join(F.broadcast(hits), mark, "left_anti").drop(mark)
+    near = dealt.join(F.broadcast(hits), mark, "left_semi").drop(mark)
+    same = [c.eqNullSafe(F.col(f"{mark}_{i}")) for i, c in enumerate(own)]
     condition = same[0]
     for more in same[1:]:
         condition &= more

@@ -145,12 +145,17 @@ RESULT = "doc_id long, keep_id long, group_size long, kept boolean, digest strin
 
 
 def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns, whatever their names.
+
+    Of equal texts (A-Z lower-cased, null as empty) the row with the largest key stays, one row of repeated ones; a null
+    key is less than any other. An empty table gives an empty one.
+    """
+    at = [f"{name}_{base.fresh()}" for name in ("file", "place")]
     try:
-        whole = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place"))
+        whole = docs.select("*", F.col("_metadata.file_path").alias(at[0]), F.col("_metadata.row_index").alias(at[1]))
     except AnalysisException:
         return drop_exact_duplicates(base.staged(docs, "documents"), key, text)
     gone = base.staged(exact_duplicates(docs, key, text).where("not kept").select(
-        F.col("file").alias("__file"), F.col("place").alias("__place")
+        F.col("file").alias(at[0]), F.col("place").alias(at[1])
     ), "gone")
-    return base.without(whole, gone, ["__file", "__place"]).drop("__file", "__place")
+    return base.without(whole, gone, at).drop(*at)

@@ -47,6 +47,7 @@ def line_keys(text: bytes, points: int) -> list[bytes | None]:
 def line_hashes(docs: DataFrame, points: int, batches: int) -> DataFrame:
     """(file, place, id, h1, h2, batch): one row for each different key of a row, whose batch goes by its place."""
 
+    @base.tidy
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for rows in base.slices(part):
@@ -171,6 +172,7 @@ def dropped_hashes(lines: DataFrame, keys: DataFrame) -> DataFrame:
 def without_lines(rows: DataFrame, points: int) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept) from (id, text, gone)."""
 
+    @base.tidy
     def kept(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for batch in base.slices(part):

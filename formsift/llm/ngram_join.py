@@ -114,6 +114,7 @@ def common_levels(texts: DataFrame, size: int) -> np.ndarray:
         found, n = found[n >= OFTEN], n[n >= OFTEN]
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
+    @base.tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base.held(None)
         sets, keys, n = [], [], 0
@@ -236,6 +237,7 @@ def least_difference(one: bytes, other: bytes) -> int:
 def class_rows(texts: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, parity) of every text."""
 
+    @base.tidy
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch, most=SLICE):
@@ -257,6 +259,7 @@ def possible(edges: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     few, many = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
     pairs = pairs.where(100 * few >= percent * many)
 
+    @base.tidy
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = batch.column("n_shingles_a").to_numpy() + batch.column("n_shingles_b").to_numpy()
@@ -387,6 +390,7 @@ def met_by_signature(rows: DataFrame, signed, groups: int) -> DataFrame:
     hot signature, so that is shuffled a few times for each task at most; these edges must all be kept.
     """
 
+    @base.tidy
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base.held(None)
         signs, keys, n = [], [], 0
@@ -493,6 +497,7 @@ def verified(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     dealt = members.join(sizes, "cluster").select("node", "k1", "cluster", "blocks")
     rows = of_members(texts, dealt)
 
+    @base.tidy
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch, most=SLICE):

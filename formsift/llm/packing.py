@@ -33,6 +33,7 @@ NEAR = 1.0002
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces of every document's ids and the closing id; only documents over the capacity are cut."""
 
+    @base.tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = word_bpe(tokenizer), end_id.to_bytes(4, "little")
         for batch in batches:

@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formsift.llm import base
+
 
 KINDS = ("email", "ip", "card", "phone")
 #: A number up to 255 with any number of zeros before it.
@@ -324,7 +326,8 @@ def redacted(text: str, spans: str) -> Column:
 
 def redact(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str = "text", size: str | None = None) -> DataFrame:
     """All rows and columns, the texts redacted; a column that holds the text's length (size) follows. Null stays null."""
-    found = pii_spans(docs.withColumn("__known", F.col(f"`{text}`").isNotNull()), model, key, text)
+    there = f"known_{base.fresh()}"
+    found = pii_spans(docs.withColumn(there, F.col(f"`{text}`").isNotNull()), model, key, text)
     done = computed(found, redacted=redacted("text", "all"))
 
     def column(name: str) -> Column:
@@ -336,4 +339,4 @@ def redact(docs: DataFrame, model: PiiModel, key: str = "doc_id", text: str = "t
         return F.col("row")[name]
 
     # whether the text was null: kept with the other columns, where its name cannot clash
-    return done.withColumn("known", F.col("row")["__known"]).select(*(column(c).alias(c) for c in docs.columns if c != "__known"))
+    return done.withColumn("known", F.col("row")[there]).select(*(column(c).alias(c) for c in docs.columns))

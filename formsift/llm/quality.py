@@ -137,6 +137,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = 0.3,
     rows; an empty table gives an empty one.
     """
 
+    @base.tidy
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = base.held(("quality", model.good, model.bad), model.scorer)
         for batch in batches:
@@ -154,6 +155,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = 0.3,
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.3, text: str = "text") -> DataFrame:
     """The rows whose whole text scores at least the threshold, with all their columns; a map without any shuffle."""
 
+    @base.tidy
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = base.held(("quality", model.good, model.bad), model.scorer)
         for batch in batches:

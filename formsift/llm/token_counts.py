@@ -20,6 +20,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, key: str =
     gives an empty one; other columns are not read.
     """
 
+    @base.tidy
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(tokenizer)
         for batch in batches:

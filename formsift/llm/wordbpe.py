@@ -19,32 +19,51 @@ from formsift.llm.words import span_hashes
 #: Letters whose lower case is one character, that no normal form changes and that are letters for the split pattern.
 LATIN = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 _OTHER = re.compile(f"[^\t\n\v\f\r\x20-\x7e{LATIN}]|<\\|")
-#: Distinct words that a worker remembers: the newer half stays when the older half is dropped.
-REMEMBERED = 600_000
-
-
-class Remembered(dict):
-    """Values worked out before, a bounded number of the latest ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.older: dict = {}
-
-    def of(self, keys: list) -> list:
-        """The value of each key, None where there is none."""
-        found = list(map(self.get, keys))
-        if self.older:
-            for i, value in enumerate(found):
-                if value is None and (value := self.older.get(keys[i])) is not None:
-                    found[i] = value
-                    self.put(keys[i], value)
-        return found
-
-    def put(self, key, value) -> None:
-        if len(self) >= REMEMBERED // 2:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
+#: Bytes of words and their values that a worker remembers; beyond that it begins anew.
+REMEMBERED_BYTES = 32 << 20
+
+
+class Remembered:
+    """Numbers worked out for words before, in arrays: sorted keys, and where in one pool a key's numbers are."""
+
+    def __init__(self, most: int = REMEMBERED_BYTES):
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.empty(0, dtype=np.uint64)
+        self.begin = np.empty(0, dtype=np.int64)
+        self.size = np.empty(0, dtype=np.int32)
+        self.pool = np.empty(1 << 12, dtype=np.uint32)
+        self.used = 0
+
+    def put(self, keys: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        """Adds keys, in ascending order, that are not there yet."""
+        if self.used + len(values) > len(self.pool):
+            pool = np.empty(max(2 * len(self.pool), self.used + len(values)), dtype=np.uint32)
+            pool[: self.used] = self.pool[: self.used]
+            self.pool = pool
+        self.pool[self.used : self.used + len(values)] = values
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begin = np.insert(self.begin, at, self.used + np.cumsum(sizes) - sizes)
+        self.size = np.insert(self.size, at, sizes)
+        self.used += len(values)
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the keys, in ascending order, that are not there. Too much remembered is forgotten before."""
+        if 20 * len(self.keys) + 4 * len(self.pool) > self.most:
+            self.forget()
+        at = np.searchsorted(self.keys, keys)
+        there = np.zeros(len(keys), dtype=bool)
+        inside = at < len(self.keys)
+        there[inside] = self.keys[at[inside]] == keys[inside]
+        return np.flatnonzero(~there)
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool the numbers of each key begin, and how many they are; all keys are there."""
+        at = np.searchsorted(self.keys, keys)
+        return self.begin[at], self.size[at].astype(np.int64)
 
 
 def bytes_to_symbols() -> list[str]:
@@ -166,34 +185,31 @@ class WordBpe:
                 total += sum(self.merged_count(word) for word, _ in self.split(self.normalise(part)))
         return total
 
-    def new_counts(self, words: list[str]) -> list[int]:
-        return [self.merged_count("".join(map(self.symbol.__getitem__, w))) for w in words]
+    def new_counts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        counts = [self.merged_count("".join(map(self.symbol.__getitem__, w))) for w in words]
+        return np.ones(len(words), dtype=np.int32), np.array(counts, dtype=np.uint32)
 
-    def new_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words as little-endian 32-bit numbers, from the library."""
-        ids = np.array(self.own.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
-        ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
-        raw = ids.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    def new_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all of them, from the library."""
+        ids = np.array(self.own.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        return np.diff(ends, prepend=0).astype(np.int32), ids
 
     def counts_of(self, texts: list[str]) -> list[int]:
         """Number of tokens of each text."""
         plain = [not _OTHER.search(t) for t in texts]
-        which, per_word, at = looked_up([t for t, p in zip(texts, plain, strict=True) if p], self.counts, self.new_counts)
-        sums = np.concatenate([[0], np.cumsum(np.array(per_word, dtype=np.int64)[which])])
+        which, begin, _, at = looked_up([t for t, p in zip(texts, plain, strict=True) if p], self.counts, self.new_counts)
+        sums = np.concatenate([[0], np.cumsum(self.counts.pool[begin].astype(np.int64)[which])])
         own = iter((sums[at[1:]] - sums[at[:-1]]).tolist())
         return [next(own) if p else self.other_count(t) for t, p in zip(texts, plain, strict=True)]
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         plain = [not _OTHER.search(t) for t in texts]
-        which, per_word, at = looked_up([t for t, p in zip(texts, plain, strict=True) if p], self.known, self.new_ids)
-        size = np.array([len(w) // 4 for w in per_word], dtype=np.int64)
-        begin = np.cumsum(size) - size
-        pool = np.frombuffer(b"".join(per_word), dtype="<u4")
+        which, begin, size, at = looked_up([t for t, p in zip(texts, plain, strict=True) if p], self.known, self.new_ids)
         sizes = size[which]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(begin[which] - ends[:-1], sizes) + np.arange(ends[-1])]
+        ids = self.known.pool[np.repeat(begin[which] - ends[:-1], sizes) + np.arange(ends[-1])]
         own = iter([ids[ends[a] : ends[b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)])
         return [next(own) if p else self.other_ids(t) for t, p in zip(texts, plain, strict=True)]
 
@@ -201,26 +217,22 @@ class WordBpe:
         return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
-def looked_up(texts: list[str], known: Remembered, make) -> tuple[np.ndarray, list, np.ndarray]:
-    """For every word of the texts its place in a list of values, that list, and where each text's words begin."""
+def looked_up(texts: list[str], known: Remembered, make) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the distinct words every word of the texts is, their places and sizes in the pool, and each text's first word."""
     raw = [t.lower().encode() for t in texts]
     if not any(raw):
-        return np.empty(0, dtype=np.int64), [], np.zeros(len(texts) + 1, dtype=np.int64)
+        none = np.empty(0, dtype=np.int64)
+        return none, none, none, np.zeros(len(texts) + 1, dtype=np.int64)
     data = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
     begin = np.cumsum([0, *(len(r) + 1 for r in raw)])
     starts, inside = word_starts(data)
     hashes, lengths = span_hashes(data, starts, inside)
     words, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-    keys = words.tolist()
-    values = known.of(keys)
-    new = [i for i, v in enumerate(values) if v is None]
-    if new:
+    new = known.missing(words)
+    if len(new):
         spans = zip(starts[example[new]].tolist(), lengths[example[new]].tolist(), strict=True)
-        found = make([data[a : a + n].tobytes().decode() for a, n in spans])
-        for i, value in zip(new, found, strict=True):
-            values[i] = value
-            known.put(keys[i], value)
-    return which, values, np.searchsorted(starts, begin)
+        known.put(words[new], *make([data[a : a + n].tobytes().decode() for a, n in spans]))
+    return which, *known.places(words), np.searchsorted(starts, begin)
 
 
 def word_bpe(path: str) -> WordBpe:

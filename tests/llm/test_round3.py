@@ -5,14 +5,18 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from formsift.llm import base, line_dedup
 from formsift.llm.centroids import centroid_clusters
+from formsift.llm.exact_dedup import drop_exact_duplicates
 from formsift.llm.hard_negatives import hard_negatives
 from formsift.llm.line_dedup import LineRuns, dedup_lines, line_keys
+from formsift.llm.pii import KINDS, PiiModel, redact
 from formsift.llm.queries import op12_hard_negatives, op13_centroids
+from formsift.llm.wordbpe import Remembered
 from tests.llm.conftest import ODD, prose, table
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -276,3 +280,33 @@ def test_odd_texts_have_lines(spark):
     rows = list(enumerate(ODD)) * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert found_lines(dedup_lines(docs, points=1, least=2, batches=1)) == plain_lines(rows, 1, 2)
+
+
+# columns and workers
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["__file", "__place", "__bucket", "__gone0", "__known", "bucket", "known"]
+    rows = [(i, f"Write to a.b{i % 3}@example.org today", *range(7)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    once = drop_exact_duplicates(docs)
+    assert once.columns == docs.columns and sorted(r["doc_id"] for r in table(once)) == [3, 4, 5]
+    assert all([r[n] for n in names] == list(range(7)) for r in table(once))
+    shown = redact(docs, PiiModel(thresholds=dict.fromkeys(KINDS, 2.0)))
+    assert shown.columns == docs.columns
+    assert all("[EMAIL]" in r["text"] and [r[n] for n in names] == list(range(7)) for r in table(shown))
+    left = base.without(docs, docs.where("doc_id < 2"), ["doc_id", "__bucket"])
+    assert left.columns == docs.columns and left.count() == 4
+
+
+def test_remembered_words_are_bounded_by_bytes():
+    known = Remembered(most=2000)
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        keys = np.unique(rng.integers(0, 500, 30).astype(np.uint64))
+        new = keys[known.missing(keys)]
+        sizes = (new % 4).astype(np.int32)
+        known.put(new, sizes, np.repeat(new, sizes).astype(np.uint32))
+        begin, size = known.places(keys)
+        assert [known.pool[b : b + n].tolist() for b, n in zip(begin, size, strict=True)] == [[k] * (k % 4) for k in keys.tolist()]
+        assert len(known.keys) < 200 and (np.diff(known.keys.astype(np.int64)) > 0).all()
