@@ -25,14 +25,21 @@ def latest_by_key(df: DataFrame, key: str, recency: list[str]) -> DataFrame:
     return (keyed.groupBy(key).agg(*rest) if rest else keyed.select(key).distinct()).select(df.columns)
 
 
-def section_counts(results: DataFrame) -> DataFrame:
+def counted_if(condition: Column, weight: Column | None) -> Column:
+    """Rows of the condition, or their weights where a row stands for several."""
+    if weight is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("bigint")
+
+
+def section_counts(results: DataFrame, weight: Column | None = None) -> DataFrame:
     """One row: rows per section and status, behind G2-G4. One pass, nothing but counts is shuffled."""
     counts = {}
     for section in SECTIONS:
         inside = F.lit(True) if section == "all" else F.col("file_type").eqNullSafe(section)
-        counts[section] = F.count_if(inside)
+        counts[section] = counted_if(inside, weight)
         for status in K.STATUSES:
-            counts[f"{section}_{status}"] = F.count_if(inside & (F.col("status") == status))
+            counts[f"{section}_{status}"] = counted_if(inside & (F.col("status") == status), weight)
     return results.agg(*[value.alias(name) for name, value in counts.items()])
 
 
@@ -90,8 +97,13 @@ def status_ratios(results: DataFrame) -> DataFrame:
 
 def status_statistics(results: DataFrame) -> DataFrame:
     """G2 and G3 in one table, from one pass."""
+    return statistics_of(section_counts(results))
+
+
+def statistics_of(counts: DataFrame) -> DataFrame:
+    """G4 from the row of section_counts."""
     both = F.concat(_distribution_rows(), _ratio_rows())
-    return section_counts(results).select(F.inline(both)).select(K.STATISTICS_COLUMNS)
+    return counts.select(F.inline(both)).select(K.STATISTICS_COLUMNS)
 
 
 def number_text(value: Column, places: int) -> Column:
@@ -108,6 +120,11 @@ def metric_rows(one_row: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     )
 
 
+def seconds_taken(value: Column) -> Column:
+    """A time as a decimal with six places, 0 for what is no finite number: sums do not depend on the order of rows."""
+    return T.lenient_double(value.cast("string")).try_cast("decimal(30,6)")
+
+
 def run_summary(
     results: DataFrame,
     listed: DataFrame | None = None,
@@ -121,28 +138,54 @@ def run_summary(
     clock metrics appear when their values are given. Times are summed as decimals with six places, so that the
     order of rows does not show; what is no finite number counts as nothing.
     """
-    status, kind = F.col("status"), F.col("file_type")
     rows = results.select(
-        F.lit(True).alias("stored"), "status", "file_type", F.col("processing_time_seconds").cast("string").alias("took")
+        F.lit(True).alias("stored"), "status", "file_type", seconds_taken(F.col("processing_time_seconds")).alias("took")
     )
     if listed is not None:
         # listed documents join in as rows of their own, so that one aggregate sees both
         rows = rows.unionByName(listed.select(F.lit(False).alias("stored")), allowMissingColumns=True)
-    totals = rows.agg(
-        F.count_if("stored").alias("done"),
-        F.count_if(~F.col("stored")).alias("found"),
-        F.count_if(status == K.AUTO_APPROVED).alias("auto"),
-        F.count_if(status == K.NEEDS_REVIEW).alias("needs"),
-        F.count_if(status == K.FAILED).alias("failed"),
-        F.count_if(kind == "clean").alias("clean"),
-        F.count_if(kind == "noisy").alias("noisy"),
-        F.coalesce(
-            F.sum(T.lenient_double(F.col("took")).try_cast("decimal(30,6)")).cast("double"), F.lit(0.0)
-        ).alias("seconds"),
-    )
+    totals = rows.agg(F.count_if(~F.col("stored")).alias("found"), *_totals(None))
     if listed is None:
         totals = totals.withColumn("found", F.lit(found).cast("bigint"))
+    return _summary(totals, batch_seconds, updated_at)
+
+
+def summary_of_counts(
+    counts: DataFrame,
+    listed: DataFrame | None = None,
+    found: int | None = None,
+    batch_seconds: float | None = None,
+    updated_at: str | None = None,
+) -> DataFrame:
+    """G5 from counts (file_type, status, n, seconds) in place of the results."""
+    rows = counts.select(F.lit(True).alias("stored"), "status", "file_type", F.col("seconds").alias("took"), "n")
+    totals = rows.agg(*_totals(F.col("n")))
+    if listed is not None:
+        totals = totals.withColumn("found", listed.agg(F.count(F.lit(1))).scalar())
+    else:
+        totals = totals.withColumn("found", F.lit(found).cast("bigint"))
+    return _summary(totals, batch_seconds, updated_at)
+
+
+def _totals(weight: Column | None) -> list[Column]:
+    """The sums behind G5 over rows (stored, status, file_type, took)."""
+    status, kind = F.col("status"), F.col("file_type")
+    conditions = {
+        "done": F.col("stored"),
+        "auto": status == K.AUTO_APPROVED,
+        "needs": status == K.NEEDS_REVIEW,
+        "failed": status == K.FAILED,
+        "clean": kind == "clean",
+        "noisy": kind == "noisy",
+    }
+    return [
+        *(counted_if(condition, weight).alias(name) for name, condition in conditions.items()),
+        F.coalesce(F.sum("took").cast("double"), F.lit(0.0)).alias("seconds"),
+    ]
+
 
+def _summary(totals: DataFrame, batch_seconds: float | None, updated_at: str | None) -> DataFrame:
+    """The metrics from one row of sums."""
     done, seconds = F.col("done"), F.col("seconds")
 
     def percent(part: str) -> Column:

@@ -11,10 +11,11 @@ from formsift.functions import address as A, checks as V, compare as C, lines as
 from formsift.functions import text as T, windows as W
 from formsift.operators import evaluate as E, extract as X, report as R, runs, validate as VA
 from formsift.operators.stages import computed
-from formsift.plans.documents import next_run, process_documents
+from formsift.plans.documents import next_run, process_documents, run_batch
 from formsift.sources import tables as S
 from formsift.sources.forms import forms, forms_from, prior_results, truth
-from formsift.streaming import ingest as I
+from formsift.sources.store import KeyedTable, ResultStore
+from formsift.streaming import ingest as I, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -310,6 +311,50 @@ def c10_next_run(spark, sf):
     return seconds(next_run(texts, listed, latest_prior(spark, sf).select(K.RESULT_COLUMNS), 50))
 
 
+BUCKETS = 64
+
+
+def prior_store(spark: SparkSession, sf: str, batches: int = 1) -> ResultStore:
+    """The results of earlier runs in a store, taken in batch by batch in the order of storing."""
+    store = ResultStore.create(spark, S.scratch_folder(spark, "result-store"), BUCKETS)
+    rows = S.stored(prior_results(spark, sf).select(*K.RESULT_COLUMNS, "seq"), "prior")
+    # those stored a first time come first, then the others; either kind is dealt by its key
+    part = F.pmod(F.xxhash64("file_name"), F.lit(max(1, batches // 2)))
+    number = F.when(F.col("seq") >= 2_000_000_000_000, part + batches // 2).otherwise(part)
+    for at in range(batches):
+        store.upsert(rows.where((number if batches > 1 else F.lit(0)) == at), ["seq"], "prior", at + 1)
+    return store
+
+
+@query
+def c5_bucketed_upsert(spark, sf):
+    """The next 50 pending forms go into stored results; only their buckets of texts and results are read or written."""
+    listed, texts = crowded_listing(spark, sf)
+    texts = texts.select("path", "file_name", "raw_text", "error", "processed_at", "processing_time_seconds")
+    stored = KeyedTable.create(spark, S.scratch_folder(spark, "text-store"), "path", texts.schema, BUCKETS)
+    stored.upsert(texts, ["path"])
+    store = prior_store(spark, sf)
+    run_batch(stored, listed, store, 50)
+    return seconds(store.read())
+
+
+@query
+def c10_stream_state(spark, sf):
+    """Every seventh form fails the first time and is handed in again as a new file; the state keeps the last result."""
+    arriving, checkpoint = S.scratch_folder(spark, "arriving"), S.scratch_folder(spark, "state")
+    store = ResultStore.create(spark, S.scratch_folder(spark, "result-store"), BUCKETS)
+    documents = S.stored(
+        forms(spark, sf).select("k", "path", "file_name", "raw_text", "error", "processed_at", "processing_time_seconds"), "documents"
+    )
+    failing(documents).write.parquet(arriving)
+    files = len(spark.read.schema(documents.schema).parquet(arriving).inputFiles())
+    state.ingest_latest(spark, arriving, documents.schema, store, checkpoint, max_files=-(-files // 2))
+    again = store.read().where(F.col("status") == K.FAILED).select("file_name")
+    documents.join(again, "file_name", "left_semi").select(documents.columns).write.mode("append").parquet(arriving)
+    state.ingest_latest(spark, arriving, documents.schema, store, checkpoint, max_files=files)
+    return store.read().select("file_name", *K.FIELDS, *K.VERDICT)
+
+
 # --- scalar text functions -------------------------------------------------------------------------
 
 
@@ -806,6 +851,17 @@ def g4_status_statistics(spark, sf):
     return R.status_statistics(latest_prior(spark, sf))
 
 
+@query
+def g4_incremental_statistics(spark, sf):
+    """The same from running counters after ten batches."""
+    return prior_store(spark, sf, 10).statistics()
+
+
+@query
+def g5_incremental_summary(spark, sf):
+    return prior_store(spark, sf, 10).summary(listing(spark, sf))
+
+
 @query
 def g5_run_summary(spark, sf):
     return R.run_summary(latest_prior(spark, sf), listing(spark, sf))

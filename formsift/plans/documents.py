@@ -9,6 +9,7 @@ from formsift.operators import runs
 from formsift.operators.extract import extract_fields
 from formsift.operators.validate import assemble_results, validate_fields
 from formsift.sources import tables
+from formsift.sources.store import KeyedTable, ResultStore
 
 
 def process_documents(df: DataFrame, columns: list[str] = K.RESULT_COLUMNS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -34,3 +35,19 @@ def next_run(texts: DataFrame, listed: DataFrame, results: DataFrame, size: int
     todo = texts.join(batch.select("path"), "path", "left_semi")
     new = tables.stored(process_documents(todo, keep=("path",)), "new")
     return runs.upsert(results, new, order=["path"])
+
+
+def run_batch(
+    texts: KeyedTable, listed: DataFrame, store: ResultStore, size: int | None = 50, retry_failed: bool = True
+) -> list[int]:
+    """One batch run over stored tables: the next slice of pending documents goes into the store.
+
+    Only the buckets of the batch's paths are read from the texts, and only those of its file names are read and
+    written in the results; the store's counters follow. Returns the buckets of results that were written.
+    """
+    todo = runs.next_batch(runs.pending(listed, runs.done_files(store.read(), retry_failed)), size)
+    batch = tables.stored(todo.select("path"), "batch")
+    new = process_documents(texts.of_keys(batch), keep=("path",))
+    touched = store.upsert(new, ["path"], "batch", store.next_number())
+    tables.forget(batch)
+    return touched

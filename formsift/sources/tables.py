@@ -241,3 +241,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     folder = scratch_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes what `stored` wrote, once nothing reads it any more."""
+    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        remove(df.sparkSession, folder)

@@ -29,7 +29,8 @@ def ingest(
     The checkpoint remembers finished files. Each micro-batch overwrites its own partition of the
     result log, so a batch that is run again after a failure leaves no second copy. The partition also
     bears the id of the stream, which lives in the checkpoint: a stream that starts over with a new checkpoint
-    counts its batches from 0 again and leaves the log of the old one as it is.
+    counts its batches from 0 again and leaves the log of the old one as it is. Of two paths with one base name in one
+    batch the later path's result is the last.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob:
@@ -37,7 +38,10 @@ def ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        logged(process_documents(prepare(batch)), f"{results_path}/run={stream}/batch_id={batch_id}")
+        rows = prepare(batch)
+        if "path" not in rows.columns:
+            rows = rows.withColumn("path", F.col("file_name"))
+        logged(process_documents(rows, keep=("path",)), f"{results_path}/run={stream}/batch_id={batch_id}")
 
     query = (
         reader.parquet(source)
@@ -59,7 +63,9 @@ def _log(spark: SparkSession, results_path: str) -> DataFrame:
 
 
 def _latest(log: DataFrame) -> DataFrame:
-    return R.latest_by_key(log, "file_name", ["stored_at", "batch_id", "processed_at"])
+    if "path" not in log.columns:
+        log = log.withColumn("path", F.col("file_name"))
+    return R.latest_by_key(log, "file_name", ["stored_at", "batch_id", "path", "processed_at"])
 
 
 def current_results(spark: SparkSession, results_path: str) -> DataFrame:
@@ -74,7 +80,9 @@ def failed_files(spark: SparkSession, results_path: str) -> DataFrame:
 
 def retry(spark: SparkSession, documents: DataFrame, results_path: str) -> None:
     """Processes documents that failed once more and adds their results to the log."""
-    logged(process_documents(documents), f"{results_path}/run=retry-{uuid.uuid4().hex}/batch_id=0")
+    if "path" not in documents.columns:
+        documents = documents.withColumn("path", F.col("file_name"))
+    logged(process_documents(documents, keep=("path",)), f"{results_path}/run=retry-{uuid.uuid4().hex}/batch_id=0")
 
 
 def close_run(spark: SparkSession, results_path: str, listed: DataFrame, folder: str, **clock: object) -> None:
@@ -84,7 +92,7 @@ def close_run(spark: SparkSession, results_path: str, listed: DataFrame, folder:
     rows keep their `stored_at`. `clock` has the two clock metrics of `tables.write_all`.
     """
     before = sorted({path.rsplit("/", 2)[0] for path in _log(spark, results_path).inputFiles()})
-    kept = [*K.RESULT_COLUMNS, "stored_at"]
+    kept = [*K.RESULT_COLUMNS, "path", "stored_at"]
     _latest(_log(spark, results_path)).select(kept).write.parquet(f"{results_path}/run=current-{uuid.uuid4().hex}/batch_id=0")
     for folder_before in before:
         tables.remove(spark, folder_before)

@@ -324,5 +324,11 @@ FROM (SELECT *, state AS state_line, {Q.A2_CITY} AS city2, {Q.A2_STATE} AS state
     " UNION ALL SELECT 'status', '', status, count(*) FROM latest_prior GROUP BY status"
     f" UNION ALL SELECT 'kinds', {Q.kind_cased('file_name')} AS file_type, status, count(*) FROM latest_prior GROUP BY ALL",
 }
+SELECTS |= {
+    "c5_bucketed_upsert": SELECTS["c10_next_run"],
+    "c10_stream_state": SELECTS["c10_stream_ingest"],
+    "g4_incremental_statistics": SELECTS["g4_status_statistics"],
+    "g5_incremental_summary": SELECTS["g5_run_summary"],
+}
 
 ORACLE = {name: Q.with_steps(select) for name, select in SELECTS.items()}
