@@ -95,6 +95,19 @@ def s1_list_documents(spark, sf):
     return S.select_documents(forms(spark, sf).select("path"), "raw")
 
 
+@query
+def s1_list_folder(spark, sf):
+    """A file for every form at its path, every third one without a byte; what lies below raw/ is listed."""
+    folder = S.scratch_folder(spark, "scans")
+    files = forms(spark, sf).select(
+        "k", F.regexp_replace("path", r"[^/]*\z", "").alias("below"), F.substring_index("path", "/", -1).alias("name"),
+        F.when(F.col("k") % 3 > 0, F.lit("%PDF-1.7")).alias("raw_text"),
+    )
+    S.write_text_files(files.repartition(4 * spark.sparkContext.defaultParallelism, "k"), folder)
+    listed = S.list_documents(spark, f"{folder}/raw")
+    return listed.select(F.replace("path", F.lit(f"{folder}/")).alias("path"))
+
+
 @query
 def s2_read_ocr_text(spark, sf):
     """The texts of documents and forms are written as bytes, some of them invalid, and decoded after reading."""
@@ -109,23 +122,11 @@ def s2_read_ocr_text(spark, sf):
     return texts.select(S.document_name(F.col("text_name")).alias("file_name"), S.decode_text(F.col("content")).alias("raw_text"))
 
 
-@query
-def s2_read_text_files(spark, sf):
-    """One text file for each supplier's form, read back under the document's name."""
-    folder = S.scratch_folder(spark, "ocr")
-    texts = S.stored(forms(spark, sf).where("raw_text IS NOT NULL").select("k", "file_name", "raw_text"), "texts")
-    few = texts.join(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")), "k", "left_semi")
-    named = few.select("raw_text", F.regexp_replace("file_name", r"\.[A-Za-z]+\z", "").alias("name"))
-    named.write.partitionBy("name").text(folder)
-    files = spark.read.text(folder, wholetext=True)
-    return files.select(S.document_name(F.concat("name", F.lit(".txt"))).alias("file_name"), S.decode_text(F.col("value")).alias("raw_text"))
-
-
 @query
 def s2_read_ocr_files(spark, sf):
-    """A text file for every form that has a text, under the name of its document, in the form's own folder."""
+    """A text file for every form, empty where it has no text, under the name of its document, in the form's own folder."""
     folder = S.scratch_folder(spark, "ocr-files")
-    texts = forms(spark, sf).where("raw_text IS NOT NULL").select(
+    texts = forms(spark, sf).select(
         "k", F.regexp_replace("path", r"[^/]*\z", "").alias("below"), S.cached_text_name(F.col("file_name")).alias("name"), "raw_text"
     )
     S.write_text_files(texts.repartition(4 * spark.sparkContext.defaultParallelism, "k"), folder)

@@ -22,14 +22,10 @@ TRUTH_COLUMNS = ["file_name", "file_type", *K.CHECKED_FIELDS, "notes"]
 
 
 def list_documents(spark: SparkSession, root: str) -> DataFrame:
-    """PDF paths under a folder, in order; only paths are read, never file contents."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.[pP][dD][fF]")
-        .load(root)
-    )
-    return files.select("path").orderBy("path")
+    """PDF paths under a folder, in order, empty files too; only names are read, never file contents."""
+    from formsift.sources.files import list_files
+
+    return list_files(spark, root, ".pdf").select("path").orderBy("path")
 
 
 def select_documents(manifest: DataFrame, prefix: str) -> DataFrame:
@@ -54,18 +50,16 @@ def document_name(text_name: Column) -> Column:
 
 
 def read_ocr_texts(spark: SparkSession, root: str) -> DataFrame:
-    """One row per text file, (file_name, raw_text): the document's name, and the whole text as one value."""
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-    return files.select(
-        document_name(F.col("_metadata.file_name")).alias("file_name"), decode_text(F.col("value")).alias("raw_text")
+    """One row per file, (file_name, raw_text): the document's name, and the whole text as one value, '' if it is empty."""
+    from formsift.sources.files import read_files
+
+    return read_files(spark, root).select(
+        document_name(F.substring_index("path", "/", -1)).alias("file_name"), decode_text(F.col("content")).alias("raw_text")
     )
 
 
 def write_text_files(texts: DataFrame, root: str) -> None:
-    """One file for each row (below, name, raw_text) in the folder `below` of root, written by the row's task.
-
-    A text ends with a line break, so that no file is empty: Spark's readers pass over empty files.
-    """
+    """One file for each row (below, name, raw_text) in the folder `below` of root, written by the row's task."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(root)
@@ -77,7 +71,7 @@ def write_text_files(texts: DataFrame, root: str) -> None:
                     store.create_dir(folder, recursive=True)
                     made.add(folder)
                 with store.open_output_stream(f"{folder}/{name}", compression=None) as file:
-                    file.write(f"{text}\n".encode())
+                    file.write((text or "").encode())
             yield batch.select(["name"])
 
     rows = texts.select("below", "name", "raw_text").mapInArrow(write, "name string")

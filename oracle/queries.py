@@ -167,9 +167,7 @@ SELECTS = {
     "s2_read_ocr_text": "SELECT file_name, coalesce(raw_text, '') AS raw_text FROM forms"
     " UNION ALL SELECT 'doc_' || doc_id || '.pdf', coalesce(text, '') || CASE WHEN doc_id % 7 = 3 THEN chr(65533) ELSE '' END"
     " FROM documents",
-    "s2_read_text_files": "SELECT regexp_replace(file_name, '\\.[A-Za-z]+$', '') || '.pdf' AS file_name, raw_text || chr(10) AS raw_text"
-    " FROM forms WHERE raw_text IS NOT NULL AND k IN (SELECT s_suppkey FROM supplier)",
-    "s2_read_ocr_files": "SELECT file_name, raw_text || chr(10) AS raw_text FROM forms WHERE raw_text IS NOT NULL",
+    "s2_read_ocr_files": "SELECT file_name, coalesce(raw_text, '') AS raw_text FROM forms",
     "s3_read_results_csv": f"SELECT {PRIOR_TEXT} FROM latest_prior",
     "s4_read_truth_csv": "SELECT file_name, file_type, employee_name, employee_address, employee_ssn, notes FROM truth",
     "s5_write_results": f"SELECT {RESULT_SECONDS} FROM results",
@@ -325,6 +323,7 @@ FROM (SELECT *, state AS state_line, {Q.A2_CITY} AS city2, {Q.A2_STATE} AS state
     f" UNION ALL SELECT 'kinds', {Q.kind_cased('file_name')} AS file_type, status, count(*) FROM latest_prior GROUP BY ALL",
 }
 SELECTS |= {
+    "s1_list_folder": SELECTS["s1_list_documents"],
     "c5_bucketed_upsert": SELECTS["c10_next_run"],
     "c10_stream_state": SELECTS["c10_stream_ingest"],
     "g4_incremental_statistics": SELECTS["g4_status_statistics"],

@@ -6,7 +6,7 @@ from formsift import constants as K
 from formsift.operators import report as R, runs
 from formsift.plans.catalog import QUERIES
 from formsift.plans.documents import next_run, process_documents
-from formsift.sources import tables as S
+from formsift.sources import files, tables as S
 from formsift.sources.forms import forms
 from formsift.streaming import ingest as I
 
@@ -36,9 +36,36 @@ def test_text_files_of_all_forms_are_read_by_the_operator(spark, small, monkeypa
     monkeypatch.setattr(S, "read_ocr_texts", reader)
     found = QUERIES["s2_read_ocr_files"](spark, small)
     assert len(read) == 1
-    wanted = forms(spark, small).where("raw_text IS NOT NULL")
-    assert {r.file_name for r in found.collect()} == {r.file_name for r in wanted.collect()}
-    assert len(read[0].inputFiles()) == wanted.count() > spark.read.parquet(f"{small}/supplier.parquet").count()
+    wanted = {r.file_name: r.raw_text or "" for r in forms(spark, small).collect()}
+    assert {r.file_name: r.raw_text for r in found.collect()} == wanted and "" in wanted.values()
+    assert read[0].count() == len(wanted) > spark.read.parquet(f"{small}/supplier.parquet").count()
+
+
+def test_empty_files_are_listed_and_read(spark, tmp_path):
+    for name, text in {"a.txt": b"", "deep/er/b.txt": b"x\n", "deep/c.txt": b"\xff", "deep/er/d.PDF": b"", "e.pdf": b"", "_f.pdf": b"1"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
+        (tmp_path / name).write_bytes(text)
+    (tmp_path / "nothing").mkdir()
+    listed = [r.path.removeprefix(f"{tmp_path}/") for r in S.list_documents(spark, str(tmp_path)).collect()]
+    assert listed == ["_f.pdf", "deep/er/d.PDF", "e.pdf"]
+    read = {r.file_name: r.raw_text for r in S.read_ocr_texts(spark, f"file://{tmp_path}").collect()}
+    assert read == {"a.pdf": "", "b.pdf": "x\n", "c.pdf": "\ufffd", "d.PDF": "", "e.pdf": "", "_f.pdf": "1"}
+    assert S.read_ocr_texts(spark, str(tmp_path / "nothing")).collect() == []
+
+
+def test_small_files_are_packed_by_bytes_and_listed_by_folders(spark, tmp_path):
+    for i in range(300):
+        folder = tmp_path / f"{i % 70:02d}"
+        folder.mkdir(exist_ok=True)
+        (folder / f"{i}.txt").write_text("text" * (i % 5))
+    reader = files.FolderReader(str(tmp_path), ".txt")
+    parts = reader.partitions()
+    assert len(parts) == 71 and sum(p.deep for p in parts) == 70
+    assert sorted(p for part in parts for p, _ in reader.read(part)) == sorted(map(str, tmp_path.rglob("*.txt")))
+    read = files.read_files(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() == 1  # 300 files of no size are a task's work
+    assert files.read_files(spark, str(tmp_path), pack_bytes=1 << 20).rdd.getNumPartitions() == 19
+    assert {r.path: len(r.content) for r in read.collect()} == {str(tmp_path / f"{i % 70:02d}" / f"{i}.txt"): 4 * (i % 5) for i in range(300)}
 
 
 def test_results_csv_with_mark_quotes_and_repeats(spark, tmp_path):
