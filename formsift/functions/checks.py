@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 from formsift import constants as K
 from formsift.functions import lines as L, text as T
 
+#: Two to four words, judged from the left without going back.
+NAME_SHAPE = rf"^{K.SPACE}*+{K.NON_SPACE}++(?:{K.SPACE}++{K.NON_SPACE}++){{1,3}}+{K.SPACE}*+\z"
 VALID_WORD = r"^(?=.*[a-z])[A-Za-z][A-Za-z.'-]*\z"
 STATE_ZIP = rf"{K.WORD_BEGIN}({K.STATE_CODES}){K.WORD_END}{K.SPACE}+({K.ZIP_PLAIN})"
 
@@ -16,6 +18,11 @@ def has_company_term(name: Column) -> Column:
     return L.is_company_like(name, K.VALID_COMPANY_WORDS)
 
 
+def has_name_shape(value: Column) -> Column:
+    """What every valid name (V2) has, on a value as it is: two to four words. Spares the others the cleaning by T2."""
+    return F.coalesce(value.rlike(NAME_SHAPE), F.lit(False))
+
+
 def is_valid_name(name: Column) -> Column:
     """V2, for a name cleaned by T2.
 

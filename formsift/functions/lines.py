@@ -73,6 +73,18 @@ def is_label(line: Column) -> Column:
     return F.lower(line).rlike(LABEL)
 
 
+def is_label_in_lower(low: Column) -> Column:
+    """L12 for a line in lower case that is worked out already, as a column: plain searches need no pattern.
+
+    A keyword that holds another one is found by that.
+    """
+    shortest = [w for w in K.LABEL_KEYWORDS if not any(v in w and v != w for v in K.LABEL_KEYWORDS)]
+    found = low.isin(K.IGNORED_WORDS)
+    for word in shortest:
+        found = found | low.contains(word)
+    return found
+
+
 def is_title_word(word: Column) -> Column:
     """Letters with . ' -, first one upper, not all upper; outer dots and blanks are ignored."""
     return word.rlike(rf"^[. ]*{K.TITLE_WORD}[. ]*\z")

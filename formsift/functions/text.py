@@ -8,7 +8,8 @@ from pyspark.sql import Column, functions as F
 
 from formsift import constants as K
 
-SPACE_RUN = f"{K.SPACE}{{2,}}|[{K.SPACE_SET.replace('x20', 'x1f')}]"
+#: White space other than the blank.
+ODD_SPACE = K.SPACE_CHARS.replace(" ", "")
 
 
 def strip(value: Column) -> Column:
@@ -17,8 +18,11 @@ def strip(value: Column) -> Column:
 
 
 def single_blanks(value: Column) -> Column:
-    """White-space runs become one blank, ends stripped."""
-    return F.btrim(F.regexp_replace(value, SPACE_RUN, " "))
+    """White-space runs become one blank, ends stripped.
+
+    Characters are replaced first, so that the pattern has to find runs of one plain character only.
+    """
+    return F.btrim(F.regexp_replace(F.translate(value, ODD_SPACE, " " * len(ODD_SPACE)), "  +", " "))
 
 
 def squeeze(value: Column) -> Column:

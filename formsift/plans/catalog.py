@@ -444,6 +444,12 @@ def lines_where(predicate: Callable[[Column], Column]) -> Query:
 QUERIES.update({name: lines_where(predicate) for name, predicate in L.LINE_PREDICATES.items()})
 
 
+@query
+def l12_label_line(spark, sf):
+    lowered = computed(all_lines(spark, sf), {"low": F.lower("line")})
+    return lowered.filter(L.is_label_in_lower(F.col("low"))).drop("low")
+
+
 # --- address assembly ------------------------------------------------------------------------------
 
 
@@ -665,7 +671,8 @@ def v1_company_term(spark, sf):
 
 @query
 def v2_valid_name(spark, sf):
-    named = computed(all_lines(spark, sf), {"name": T.squeeze_or_null_word(F.col("line"))})
+    shaped = all_lines(spark, sf).filter(V.has_name_shape(F.col("line")))
+    named = computed(shaped, {"name": T.squeeze_or_null_word(F.col("line"))})
     return named.filter(V.is_valid_name(F.col("name")))
 
 

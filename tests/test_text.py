@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from formsift.functions import text as T
+from formsift import constants as K
+from formsift.functions import checks as V, lines as L, text as T
 
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0      　"
 TEXTS = [None, "", "   ", "a", " a  b ", "\ta  b\x1f", "None", "nan", "not_verifiable", "NULL ",
@@ -96,3 +97,22 @@ def test_counts(spark):
     rows = df.select(T.count_text(F.col("t"), F.col("n")).alias("literal"), T.count_word(F.col("t"), F.col("n")).alias("word")).collect()
     assert [r.literal for r in rows] == [3, 2, 0, 0, 2]
     assert [rows[0].word, rows[1].word, rows[4].word] == [2, 0, 2]
+
+
+def test_shape_of_names_is_what_valid_names_have(spark):
+    gaps = ["", " ", "  ", "\t", "  ", " ", "\n", "\x1f"]
+    values = [f"{a}James{b}Ox{c}{d}" for a in gaps for b in gaps for c in gaps for d in ("", "Q.", "Lee B. C", "null")] + ["", None, "a b c d e"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    own = df.select("v", V.has_name_shape(F.col("v")).alias("shape"), V.is_valid_name(T.squeeze_or_null_word(F.col("v"))).alias("valid")).collect()
+    assert all(r.shape == (r.v is not None and 2 <= len(r.v.split()) <= 4) for r in own)
+    assert any(r.valid for r in own) and all(r.shape for r in own if r.valid)
+    squeezed = df.select("v", T.squeeze(F.col("v")).alias("s")).collect()
+    assert all(r.s == (" ".join((r.v or "").split()) or None) for r in squeezed)
+
+
+def test_labels_in_lower_case_are_the_same(spark):
+    words = [*K.IGNORED_WORDS[:9], *K.LABEL_KEYWORDS, "Kirsten", "Crowther", "plain", "state of", ""]
+    df = spark.createDataFrame([(f"{a}{w.title()}{b}",) for w in words for a in ("", "x ") for b in ("", "s", " 1")], "line string")
+    low = df.withColumn("low", F.lower("line"))
+    assert low.filter(L.is_label(F.col("line")) != L.is_label_in_lower(F.col("low"))).count() == 0
+    assert 0 < low.filter(L.is_label_in_lower(F.col("low"))).count() < low.count()
