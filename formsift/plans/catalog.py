@@ -186,6 +186,23 @@ def s8_load_table(spark, sf):
     return seconds(S.load_table(S.read_results_csv(spark, path), "formsift_results", S.scratch_folder(spark, "table")))
 
 
+@query
+def s8_load_with_rejects(spark, sf):
+    """Some rows have a confidence that is no number or a time that is none; they go aside with the reason."""
+    path = S.scratch_folder(spark, "csv")
+    key = F.regexp_extract("file_name", "([0-9]{12})", 1).cast("bigint")
+    rows = S.as_text(latest_prior(spark, sf).select(K.RESULT_COLUMNS)).withColumns({
+        "name_confidence": F.when(key % 11 == 3, "high").otherwise(F.col("name_confidence")),
+        "processed_at": F.when(key % 13 == 4, "yesterday").otherwise(F.col("processed_at")),
+    })
+    S.write_csv(rows, path)
+    loaded, rejects, _ = S.load_with_rejects(
+        S.read_results_csv(spark, path), "formsift_checked_results", S.scratch_folder(spark, "table")
+    )
+    kept = loaded.select("file_name", F.lit("").alias("problem"), F.lit("").alias("value"), F.lit("").alias("reason"))
+    return kept.unionByName(rejects.select("file_name", F.inline("problems")))
+
+
 @query
 def s9_append_results(spark, sf):
     path = S.scratch_folder(spark, "appended")

@@ -8,7 +8,8 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from formsift import constants as K
 from formsift.operators import report as R, runs
@@ -201,6 +202,45 @@ def load_table(rows: DataFrame, table: str, path: str) -> DataFrame:
     return rows.sparkSession.table(table)
 
 
+def cast_problems(rows: DataFrame) -> Column:
+    """For text rows: the columns whose value is there but cannot be cast, with the value and the type it should have."""
+    bad = [
+        F.when(
+            F.nullif(F.col(c), F.lit("")).isNotNull() & F.nullif(F.col(c), F.lit("")).try_cast(kind).isNull(),
+            F.struct(F.lit(c).alias("problem"), F.col(c).alias("value"), F.lit(f"not a {kind}").alias("reason")),
+        )
+        for c, kind in RESULT_TYPES.items() if c in rows.columns
+    ]
+    return F.filter(F.array(*bad), lambda p: p.isNotNull())
+
+
+def load_with_rejects(rows: DataFrame, table: str, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """S8 with a quarantine: (table, rejects, counts); text rows replace a table, those that fail a cast go aside.
+
+    One pass writes both, as two partitions of one folder, and counts rows and rejects on the way. A reject keeps what
+    could be cast and has in `problems` each column that could not, with its value and the reason. Blanks are NULL, no
+    problem.
+    """
+    spark = rows.sparkSession
+    seen = Observation()
+    out = rows.select(
+        *[F.nullif(F.col(c), F.lit("")).try_cast(RESULT_TYPES.get(c, "string")).alias(c) for c in rows.columns],
+        cast_problems(rows).alias("problems"),
+    )
+    out = out.withColumn("rejected", F.size("problems") > 0)
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("rejects"))
+    out.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    columns = [f for f in out.schema.fields if f.name in rows.columns]
+    for kept in ("false", "true"):  # a part without rows is an empty folder
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/rejected={kept}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    spark.sql(f"CREATE TABLE {table} ({names}) USING parquet LOCATION '{path}/rejected=false'")
+    whole = StructType([f for f in out.schema.fields if f.name != "rejected"])
+    return spark.table(table), spark.read.schema(whole).parquet(f"{path}/rejected=true"), seen.get
+
+
 def append_results(rows: DataFrame, path: str) -> None:
     """Appends a batch of results in the columns and types of the warehouse table; absent ones are NULL."""
     rows.select(

@@ -179,6 +179,10 @@ SELECTS = {
     f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, total::DOUBLE::VARCHAR FROM ({distribution('latest_prior')})"
     f" UNION ALL SELECT 'status_statistics', file_type || '/' || status, ratio::VARCHAR FROM ({ratios('latest_prior')})",
     "s8_load_table": f"SELECT {RESULT_SECONDS} FROM latest_prior",
+    "s8_load_with_rejects": "SELECT * FROM (WITH p AS (SELECT file_name, regexp_extract(file_name, '([0-9]{12})', 1)::BIGINT AS n FROM latest_prior)"
+    " SELECT file_name, '' AS problem, '' AS value, '' AS reason FROM p WHERE n % 11 <> 3 AND n % 13 <> 4"
+    " UNION ALL SELECT file_name, 'name_confidence', 'high', 'not a double' FROM p WHERE n % 11 = 3"
+    " UNION ALL SELECT file_name, 'processed_at', 'yesterday', 'not a timestamp' FROM p WHERE n % 13 = 4)",
     "s9_append_results": f"SELECT file_name, path AS gcs_uri, {FIELDS}, {VERDICT}, epoch(processed_at)::BIGINT AS processed_at, raw_text"
     " FROM prior LEFT JOIN (SELECT file_name, raw_text FROM forms) USING (file_name)",
     "s10_already_processed": "SELECT file_name, path FROM forms f WHERE EXISTS (SELECT 1 FROM latest_prior p WHERE p.file_name = f.file_name)",

@@ -163,3 +163,21 @@ def test_of_equal_base_names_the_later_path_stays(spark, tmp_path, batches):
         state.ingest_latest(spark, str(tmp_path / "one"), docs.schema, store, str(tmp_path / "c2"))
     wanted = "000-33-4444" if batches == 1 else "000-11-2222"
     assert {r.file_name: r.employee_ssn for r in store.read().collect()} == {"x.pdf": wanted, "y.pdf": None}
+
+
+def test_load_puts_rows_that_fail_a_cast_aside(spark, tmp_path):
+    text = "file_name,processed_at,name_confidence,status\na.pdf,2024-01-02 03:04:05,0.95,OK\nb.pdf,soon,0.9,OK\nc.pdf,,x,OK\nd.pdf,never,1e,\ne.pdf,,,\n"
+    (tmp_path / "r.csv").write_text(text)
+    rows = S.read_results_csv(spark, str(tmp_path / "r.csv"))
+    loaded, rejects, counts = S.load_with_rejects(rows, "checked_rows", str(tmp_path / "t"))
+    assert counts == {"rows": 5, "rejects": 3} and loaded.columns == K.RESULT_COLUMNS
+    assert {(r.file_name, r.name_confidence) for r in loaded.collect()} == {("a.pdf", 0.95), ("e.pdf", None)}
+    found = {r.file_name: [(p.problem, p.value, p.reason) for p in r.problems] for r in rejects.collect()}
+    assert found == {
+        "b.pdf": [("processed_at", "soon", "not a timestamp")],
+        "c.pdf": [("name_confidence", "x", "not a double")],
+        "d.pdf": [("processed_at", "never", "not a timestamp"), ("name_confidence", "1e", "not a double")],
+    }
+    good = rows.where("file_name = 'a.pdf'")
+    loaded, rejects, counts = S.load_with_rejects(good, "checked_rows", str(tmp_path / "t"))
+    assert loaded.count() == 1 and rejects.count() == 0 and counts["rejects"] == 0
