@@ -20,7 +20,9 @@ from formsift.llm import base
 
 # Kinds of HTML elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe template svg math select object canvas audio video xmp noembed".split())
+RAW = set("script style textarea title noscript iframe template svg math select object canvas audio video xmp noembed button".split())
+#: Of these, what is left open takes the rest of the page with it; of the others only the tag itself is left out.
+TO_THE_END = {"script", "style", "textarea", "title"}
 BLOCKS = set(
     "html body address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table tbody td tfoot th thead "
@@ -68,6 +70,7 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
+_BODY = re.compile(r"<body[\s/>]", re.I)
 
 
 @dataclass
@@ -131,8 +134,9 @@ def opened(tag: str, raw: str, parent: Element | None) -> Element:
     path = f"{parent.path}>{step}" if parent else step
     role = _names(own.get("role", ""))
     names = _names(own.get("class", ""))
-    marks = _marks(names, True) | _marks(role, True)
-    if tag not in RUNNING:  # ids of headings and paragraphs are made of their words
+    # of headings and paragraphs only a whole name tells: notice-period and share-price are what they are about
+    marks = _marks(names, tag not in RUNNING) | _marks(role, tag not in RUNNING)
+    if tag not in RUNNING:  # their ids are made of their words
         marks |= _marks(_names(own.get("id", "")), False)
     main = tag in {"article", "main"} or ["main"] in role or own.get("itemprop") == "articleBody"
     header = tag == "header" or bool(marks & HEADER)
@@ -201,11 +205,12 @@ def settle(blocks: list[Block]) -> None:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order, with the element that each stands in."""
+    """The blocks of a page in order, with the element that each stands in. A page without a body tag is one body."""
     root = Element("", None, "", False, False, False)
-    stack = [root]
+    stack = [root] if _BODY.search(page) else [root, opened("body", "", None)]
     blocks: list[Block] = []
-    now = Block(root)
+    now = Block(stack[-1])
+    unclosed: set[str] = set()  # elements that nothing from here on closes
     links = 0  # open links
     at = 0
 
@@ -243,9 +248,14 @@ def blocks_of(page: str) -> list[Block]:
                         break
             continue
         if tag in RAW:
-            if not raw.endswith("/"):
+            if not raw.endswith("/") and tag not in unclosed:
                 closing = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = closing.end() if closing else len(page)
+                if closing:
+                    at = closing.end()
+                elif tag in TO_THE_END:
+                    at = len(page)
+                else:
+                    unclosed.add(tag)
             continue
         if tag == "br":
             write("\n")

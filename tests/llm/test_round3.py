@@ -14,6 +14,7 @@ from formsift.llm.centroids import centroid_clusters
 from formsift.llm.exact_dedup import drop_exact_duplicates
 from formsift.llm.hard_negatives import hard_negatives
 from formsift.llm.line_dedup import LineRuns, dedup_lines, line_keys
+from formsift.llm.html_main import main_text
 from formsift.llm.pii import KINDS, PiiModel, redact
 from formsift.llm.queries import op12_hard_negatives, op13_centroids
 from formsift.llm.wordbpe import Remembered
@@ -310,3 +311,37 @@ def test_remembered_words_are_bounded_by_bytes():
         begin, size = known.places(keys)
         assert [known.pool[b : b + n].tolist() for b, n in zip(begin, size, strict=True)] == [[k] * (k % 4) for k in keys.tolist()]
         assert len(known.keys) < 200 and (np.diff(known.keys.astype(np.int64)) > 0).all()
+
+
+# pages that lost text
+
+LONG = "This is a sentence of the article that says something at length, and it goes on. " * 3
+
+
+@pytest.mark.parametrize("cell", ["<table><tr><td>one cell of figures, and some more of them</td></tr></table>", "<blockquote>a quote of somebody who is well known here</blockquote>"])
+@pytest.mark.parametrize("top", ["", "<html>", "<head><title>x</title></head>"])
+def test_pages_without_a_body_keep_their_article(top, cell):
+    text = main_text(f"{top}<title>x</title><h1>The heading</h1><p>{LONG}</p><p>{LONG}</p>{cell}", None)
+    assert text.startswith("The heading") and text.count("at length") == 6
+
+
+def test_names_of_running_text_count_as_a_whole_only():
+    names = ["notice-period", "share-price", "ad-hoc", "login-guide", "menu-item-text"]
+    inner = "".join(f'<h2 class="{n}">About {n}</h2><p class="{n}">{LONG}</p>' for n in names)
+    text = main_text(f'<body><article><h1>T</h1>{inner}<p class="advert">buy this now</p></article></body>', None)
+    assert all(f"About {n}" in text for n in names) and text.count("at length") == 15 and "buy" not in text
+
+
+def test_buttons_go_without_a_trace():
+    text = main_text(f"<body><article><p>Before <button class=x>Subscribe now</button> after it. {LONG}</p><p>{LONG}</p></article></body>", None)
+    assert text.startswith("Before after it. This is") and "Subscribe" not in text
+
+
+@pytest.mark.parametrize("tag", ["video", "object", "select", "canvas", "svg", "iframe", "button"])
+def test_elements_left_open_take_nothing_with_them(tag):
+    text = main_text(f"<body><article><p>{LONG}</p><{tag} x=1><p>{LONG}</p><{tag}><p>last one</p></article></body>", None)
+    assert text.count("at length") == 6 and text.endswith("last one")
+
+
+def test_an_open_script_takes_the_rest():
+    assert "x = 1" not in main_text(f"<body><p>{LONG}</p><script>x = 1; <p>no</p>", None)
