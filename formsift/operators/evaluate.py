@@ -43,32 +43,23 @@ def unpivot_fields(joined: DataFrame) -> DataFrame:
     return joined.select("file_name", "file_type", F.inline(fields), "status", "review_reason")
 
 
-def with_known(checks: DataFrame, zip_position: str = "first") -> DataFrame:
-    """Adds `_known`: the outcome where equality, state, ZIP or lengths decide it, else NULL."""
+def compared_values(zip_position: str) -> tuple[Column, Column, Column, Column]:
+    """What decides a field row: field, both values without blanks around, and whether state and ZIP agree."""
     expected, extracted = T.strip(F.col("expected_value")), T.strip(F.col("extracted_value"))
     same_place = (C.state_for_compare(expected) == C.state_for_compare(extracted)) & (
         C.zip_for_compare(expected, zip_position) == C.zip_for_compare(extracted, zip_position)
     )
-    return checks.withColumn(
-        "_known", C.outcome_without_similarity(F.col("field_name"), expected, extracted, same_place)
-    )
+    return F.col("field_name"), expected, extracted, same_place
 
 
 def undecided(checks: DataFrame, zip_position: str = "first") -> DataFrame:
     """The field rows whose outcome takes the similarity."""
-    return with_known(checks, zip_position).filter(F.col("_known").isNull()).drop("_known")
+    return checks.filter(C.outcome_without_similarity(*compared_values(zip_position)).isNull())
 
 
 def with_outcome(checks: DataFrame, zip_position: str = "first") -> DataFrame:
-    """E5: adds `result`. The similarity is asked for only where nothing cheaper decides."""
-    expected, extracted = T.strip(F.col("expected_value")), T.strip(F.col("extracted_value"))
-    checks = with_known(checks, zip_position)
-    undecided = F.col("_known").isNull()
-    ratio = C.similarity(
-        F.when(undecided, T.alnum_for_compare(expected)), F.when(undecided, T.alnum_for_compare(extracted))
-    )
-    result = F.coalesce(F.col("_known"), F.when(ratio >= K.SIMILARITY, C.PASS).otherwise(C.FAIL))
-    return checks.withColumn("result", result).drop("_known")
+    """E5: adds `result`."""
+    return checks.withColumn("result", C.outcome(*compared_values(zip_position)))
 
 
 def field_checks(truth: DataFrame, results: DataFrame, zip_position: str = "first") -> DataFrame:

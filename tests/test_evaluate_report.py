@@ -140,3 +140,30 @@ def test_repeated_results_of_a_file_give_one_row(spark):
     results = spark.createDataFrame([(1, "a.pdf", "James Fox", "", "", "FAILED", ""), (2, "a.pdf", "James Cox", "", "", "AUTO_APPROVED", "")], columns)
     rows = E.field_checks(truth, results).collect()
     assert len(rows) == 3 and {r.status for r in rows} == {"AUTO_APPROVED"}
+
+
+def test_similarity_stays_in_the_jvm_and_its_bounds_hold(spark):
+    random.seed(11)
+    letters = ["ab", "abcde 12", "abcdefghijklmnop 0123456789", "aéß😀b"]
+    pairs = [tuple("".join(random.choices(random.choice(letters), k=random.randint(0, 40))) for _ in range(2)) for _ in range(300)]
+    for size in (199, 200, 201, 450):  # characters that are popular begin no piece, but lengthen one
+        base_text = "".join(random.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=size))
+        pairs += [("".join(c for c in base_text if random.random() > 0.1), base_text), (base_text, "xyz" + base_text[5:] + "qq")]
+        pairs += [("a" * size + base_text, base_text + "a" * size), ("b" + base_text, "c" * size + base_text[::-1])]
+    pairs += [("same", "same"), ("", "abc"), ("ab", "ba")]
+    df = spark.createDataFrame([*pairs, (None, "a"), ("a", None), (None, None)], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    ratios = df.select("a", "b", C.similarity(a, b).alias("r"), C.shared_bound(a, b).alias("m"), C.similarity_bound(a, b).alias("n"))
+    assert "Python" not in ratios._jdf.queryExecution().toString()
+    for row in ratios.collect():
+        if row.a is None or row.b is None:
+            assert row.r is None
+        else:
+            assert row.r == SequenceMatcher(None, row.a, row.b).ratio(), (row.a, row.b)
+            assert row.r <= row.m + 1e-12 <= row.n + 2e-12
+
+
+def test_outcome_needs_no_python(spark):
+    df = spark.createDataFrame([("employee_address", "a", "b")], "field_name string, expected_value string, extracted_value string")
+    plan = E.with_outcome(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
