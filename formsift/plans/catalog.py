@@ -817,7 +817,7 @@ def e5_field_outcome(spark, sf):
 
 @query
 def e6_similarity(spark, sf):
-    """Ratio of each pair that nothing cheaper decides. Plain SQL has no such function: no oracle."""
+    """Ratio of each pair that nothing cheaper decides."""
     rows = E.unpivot_fields(E.join_truth(truth(spark, sf), results(spark, sf, COMPARED)))
     want, have = T.alnum_for_compare(F.col("expected_value")), T.alnum_for_compare(F.col("extracted_value"))
     pairs = E.undecided(rows).select("file_name", "field_name", want.alias("want"), have.alias("have"))

@@ -128,6 +128,11 @@ SELECT t.file_name,
        WHEN v = 14 THEN concat(street, ' ', city, ' ', state, ' ',
                                substr(zip, 1, 9), CASE WHEN substr(zip, 10, 1) = '0' THEN '1' ELSE '0' END)
        WHEN v = 15 THEN concat(street, ', ', city, ', ', state, ' ', substr(zip, 1, 5), '-813')
+       WHEN k % 19 = 4 THEN concat(street, ' No 7, ', city, ', ', state, ' ', zip)
+       WHEN k % 19 = 5 THEN concat(substr(street, 1, length(street) - 2), ', ', city, ', ', state, ' ', zip)
+       WHEN k % 19 = 6 THEN concat(street, ' Rear, Unit 8, ', city, ', ', state, ' ', zip)
+       WHEN k % 19 = 8 THEN concat(city, ', ', street, ', ', state, ' ', zip)
+       WHEN k % 19 = 7 THEN concat(substr(street, 1, 4), 's', substr(street, 6), ', ', substr(city, 2), ', ', state, ' ', zip)
        ELSE concat(street, ', ', city, ', ', state, ' ', zip) END AS employee_address,
   CASE WHEN k % 37 = 0 THEN 'NOT_VERIFIABLE' ELSE person_id END AS employee_ssn,
   CASE WHEN k % 23 = 0 THEN 'address cut off' ELSE '' END AS notes,

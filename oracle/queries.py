@@ -300,6 +300,8 @@ FROM (SELECT *, state AS state_line, {Q.A2_CITY} AS city2, {Q.A2_STATE} AS state
     "e3_state_for_compare": f"SELECT * FROM (SELECT source, id, line_no, line, {Q.state_for_compare('line')} AS state FROM all_lines) WHERE state <> ''",
     "e4_zip_for_compare": f"SELECT k, copy_no, {Q.zip_for_compare('employee_address')} AS zip FROM truth",
     "e5_field_outcome": "SELECT * FROM checks",
+    "e6_similarity": "SELECT c.file_name, c.field_name, c.a AS want, c.b AS have, r.ratio"
+    " FROM compared c JOIN ratios r ON c.a = r.a AND c.b = r.b WHERE c.known IS NULL",
     "e7_failed_fields": "SELECT * FROM checks WHERE result = 'Fail'",
     "e8_accuracy": f"SELECT {ACC['accuracy']} AS accuracy, {ACC['clean_accuracy']} AS clean_accuracy,"
     f" {ACC['noisy_accuracy']} AS noisy_accuracy FROM accuracy",
