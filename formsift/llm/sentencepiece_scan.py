@@ -38,6 +38,9 @@ NO_PIECE = 0xFFFF
 LONG_RUN = 64
 
 State = tuple[str, int]  # a piece and the place of its end
+Edge = tuple[str, float]  # a symbol at an end of a piece and the rank of the merge that ends it
+INF = float("inf")
+NOT_WHOLE: tuple = ()
 
 
 class Made(dict):
@@ -49,9 +52,7 @@ class Made(dict):
         self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
+        value = self.older[key] if key in self.older else self.make(key)
         if len(self) >= self.bound // 2:
             self.older = dict(self)
             self.clear()
@@ -94,21 +95,68 @@ class Pieces:
                     ranks[piece] = -own.get_score(i)
         self.longest = max(map(len, self.ids))
         self.together = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        #: Every ending of a piece, with the piece's id where it is a whole one.
-        self.codes = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), -1) | self.ids
+        #: Every beginning of a piece, with the piece's id where it is a whole one.
+        self.starts = dict.fromkeys((p[:i] for p in self.ids for i in range(1, len(p))), -1) | self.ids
         self.pieces = {i: p for p, i in self.ids.items()}
         self.raw_ids = {i: i.to_bytes(4, "little") for i in self.pieces}
         self.follows = Made(self.follow)
         self.words = re.compile(self.word_pattern())
         self.ranks = Ranks(ranks)
         self.fits = Made(self.fit)
-        self.whole = Made(lambda piece: merged([*piece], self.ranks)[1] == [piece])
+        self.edges = Made(self.both_edges)
+        self.whole = Made(lambda piece: self.edges[piece] is not NOT_WHOLE)
         self.known = Made(self.ids_of_run, 1_000_000)
 
+    def both_edges(self, piece: str) -> tuple[list[Edge], list[Edge]] | None:
+        """What stands at a piece's left and right end while it is merged, each with the rank of the merge that ends it.
+
+        None if a merge makes a pair of lower rank than its own: ranks then do not tell when a merge happens.
+        """
+        symbols, ranks = [*piece], self.ranks.ranks
+        left, right, last = [], [], -INF
+        while len(symbols) > 1:
+            found = [(ranks.get(a + b, INF), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False))]
+            rank, i = min(found)
+            if rank == INF:
+                return NOT_WHOLE
+            if rank < last:
+                return None if merged(symbols, self.ranks)[1] == [piece] else NOT_WHOLE
+            if i == 0:
+                left.append((symbols[0], rank))
+            if i == len(symbols) - 2:
+                right.append((symbols[-1], rank))
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            last = rank
+        return [*left, (piece, INF)], [*right, (piece, INF)]
+
     def fit(self, pair: tuple[str, str]) -> bool:
-        """Whether merging two neighbouring pieces' text gives these pieces; the first may be empty."""
-        symbols = [*pair[0], *pair[1]]
-        return merged(symbols, self.ranks)[1] == [p for p in pair if p]
+        """Whether merging two neighbouring pieces' text gives these pieces; the first may be empty.
+
+        Only what stands on both sides of the seam can merge across it. Both sides change in order of rank, and a pair
+        across the seam merges if its rank comes before the merge that ends either; of equal ranks the left one does.
+        """
+        if not pair[0]:
+            return self.whole[pair[1]]
+        before, own = self.edges[pair[0]], self.edges[pair[1]]
+        if before is NOT_WHOLE or own is NOT_WHOLE:
+            return False
+        if before is None or own is None:
+            return self.fit_by_merging(pair)
+        ranks, right, left = self.ranks.ranks, iter(before[1]), iter(own[0])
+        (a, a_ends), (b, b_ends) = next(right), next(left)
+        while True:
+            rank = ranks.get(a + b)
+            if rank is not None and rank < a_ends and rank <= b_ends:
+                return False
+            if a_ends <= b_ends:
+                if a_ends == INF:
+                    return True
+                a, a_ends = next(right)
+            else:
+                b, b_ends = next(left)
+
+    def fit_by_merging(self, pair: tuple[str, str]) -> bool:
+        return merged([*pair[0], *pair[1]], self.ranks)[1] == [p for p in pair if p]
 
     def word_pattern(self) -> str:
         """Spaces with what follows them up to the next space; letters end before a sign that no piece has after one."""
@@ -169,31 +217,38 @@ class Pieces:
     def ids_of_run(self, run: str) -> bytes:
         """Ids of a run between forced boundaries.
 
-        From the one state at its begin, a single piece ends at each place; the longest is tried first. Pieces are
-        known by their ids here; a character that is no piece fits beside everything that is whole.
+        From the one state at its begin, at most one piece ends at each place, so a place that led nowhere is not tried
+        again. The longest step is tried first. Pieces are known by their ids here; a character that is no piece fits
+        beside everything that is whole.
         """
-        codes, follows = self.codes, self.follows
-        last, sizes = [NO_PIECE], [0]
-        for end in range(1, len(run) + 1):
-            code = codes.get(run[end - 1], NO_PIECE)
-            found = [code if code >= 0 else NO_PIECE]
-            size, begin = [1], end - 2
-            while begin >= 0 and (code := codes.get(run[begin:end])) is not None:
+        starts, follows, n = self.starts, self.follows, len(run)
+        path, ends, tried, at = [NO_PIECE], [0], set(), 0
+        while at < n:
+            found, end = [], at + 1
+            code = starts.get(run[at], -1)
+            found.append((NO_PIECE if code < 0 else code, end))
+            while end < n and (code := starts.get(run[at : end + 1])) is not None:
+                end += 1
                 if code >= 0:
-                    found.append(code)
-                    size.append(end - begin)
-                begin -= 1
-            for code, n in zip(reversed(found), reversed(size)):  # noqa: B905
-                if code == NO_PIECE or follows[last[end - n] << 16 | code]:
-                    last.append(code)
-                    sizes.append(n)
+                    found.append((code, end))
+            before = path[-1] << 16
+            while found:
+                code, end = found.pop()
+                if end not in tried and (code == NO_PIECE or follows[before | code]):
+                    path.append(code)
+                    ends.append(end)
+                    tried.add(end)
+                    at = end
                     break
-        out, at = [], len(run)
-        while at:
-            code, n = last[at], sizes[at]
-            out.append(self.raw_ids[code] if code != NO_PIECE else self.piece_ids(run[at - n : at]))
-            at -= n
-        return b"".join(reversed(out))
+            else:
+                path.pop()
+                ends.pop()
+                at = ends[-1]
+        if NO_PIECE not in path[1:]:
+            return b"".join(map(self.raw_ids.__getitem__, path[1:]))
+        return b"".join(
+            self.raw_ids[code] if code != NO_PIECE else self.piece_ids(run[end - 1]) for code, end in zip(path[1:], ends[1:], strict=True)
+        )
 
     def follow(self, pair: int) -> bool:
         before, own = pair >> 16, pair & 0xFFFF
