@@ -6,9 +6,9 @@ weight 0 where that holds and minus infinity where not: one path of weight 0 is
 transfer matrices is the composition of relations between boundary states.
 
 A boundary state at a cut is the piece that ends at or spans it, with the place of its end. A giant text is split into
-chunks; each chunk yields the relation between the states at its two cuts, relations are combined in order, first
-forwards, then backwards from the one state at the text's end, and every chunk is traced on its own between its two
-states. Where no piece of the vocabulary holds two neighbouring characters, the boundary is forced; between forced
+chunks; each chunk yields the relation between the states at its two cuts, neighbouring relations are composed two by
+two in rounds of joins, the states at all cuts follow on the way back, and every chunk is traced on its own between its
+two states. Where no piece of the vocabulary holds two neighbouring characters, the boundary is forced; between forced
 boundaries a text consists of few distinct runs, which a worker remembers.
 """
 
@@ -31,7 +31,7 @@ from formsift.llm.wordbpe import merged
 SPACE = "▁"
 #: Characters of a chunk, and from how many on a text is split into chunks.
 CHUNK = 16_384
-GIANT = 65_536
+GIANT = 2 * CHUNK
 #: Stands for a character that is no piece; no model has so many pieces.
 NO_PIECE = 0xFFFF
 #: Longer runs between forced boundaries are not remembered.
@@ -394,23 +394,38 @@ def pieces_of(path: str) -> Pieces:
     return base.held(("pieces", path), lambda: Pieces(path))
 
 
-def combine(relations: list[list[tuple[State, State]]]) -> list[tuple[State, State]]:
-    """The state at both cuts of every chunk on the one path that goes through all of them.
+def chosen_states(relations: DataFrame, chunks: int) -> DataFrame:
+    """row, chunk, entry, leave: the states at both cuts of every chunk on the one path through each text.
 
-    Products from the left keep what the text's begin reaches; the way back from its end then picks one state a cut.
+    relations holds the pairs of states (entry, leave) of each chunk, and the text's last chunk. Neighbours are
+    composed two by two, in as many rounds as it takes to halve the longest text's chunks to one: the max-plus product
+    of two relations is their join on the state at the cut between them. Then the way back, level by level: a chosen
+    pair tells the state in its middle, as no two paths lead between the same two states.
     """
-    reached = {a for a, _ in relations[0]}
-    through = []
-    for relation in relations:
-        through.append([(a, b) for a, b in relation if a in reached])
-        reached = {(piece, end) for _, (piece, end) in through[-1]}
-    chosen: list[tuple[State, State]] = []
-    leave = None
-    for relation in reversed(through):
-        a, b = next((a, b) for a, b in relation if leave is None or b == leave)
-        chosen.append((a, b))
-        leave = a
-    return chosen[::-1]
+    levels: list[DataFrame] = []
+    now = relations
+    while chunks > 1:
+        left = now.where("chunk % 2 = 0").withColumnRenamed("leave", "middle")
+        right = now.where("chunk % 2 = 1").select(
+            "row", (F.col("chunk") - 1).alias("chunk"), F.col("entry").alias("middle"), "leave"
+        )
+        both = left.join(right, ["row", "chunk", "middle"])
+        alone = left.where("chunk = last").withColumnsRenamed({"middle": "leave"}).withColumn("middle", F.lit(None).cast("string"))
+        composed = both.unionByName(alone).withColumns({"chunk": F.expr("chunk div 2"), "last": F.expr("last div 2")})
+        levels.append(base.staged(composed, "composed"))
+        now = levels[-1].drop("middle")
+        chunks = (chunks + 1) // 2
+    chosen = now.select("row", "chunk", "entry", "leave")
+    for level in reversed(levels):
+        halves = F.expr(
+            "IF(middle IS NULL, array(struct(2 * chunk AS chunk, entry, leave)), array("
+            "struct(2 * chunk AS chunk, entry, middle AS leave), struct(2 * chunk + 1 AS chunk, middle AS entry, leave)))"
+        )
+        chosen = level.join(chosen, ["row", "chunk", "entry", "leave"], "left_semi").select("row", F.inline(halves))
+    chosen = base.staged(chosen, "states")
+    for level in levels:
+        base.discard(level)
+    return chosen
 
 
 def sentencepiece_encode(
@@ -458,23 +473,21 @@ def sentencepiece_encode(
     def related(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
         for batch in batches:
-            own = [
-                json.dumps(pieces.transfer(r["before"], body(r["chunk"], r["text"]), r["after"])) for r in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(own, pa.string())], ["row", "chunk", "relation"])
-
-    def chosen(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("chunk")
-        relations = [[(tuple(a), tuple(b)) for a, b in json.loads(r)] for r in rows["relation"].to_pylist()]
-        states = [json.dumps(s) for s in combine(relations)]
-        return pa.table({"row": rows["row"], "chunk": rows["chunk"], "states": pa.array(states, pa.string())})
+            for r in batch.to_pylist():
+                own = pieces.transfer(r["before"], body(r["chunk"], r["text"]), r["after"])
+                columns = [[r["row"]] * len(own), [r["chunk"]] * len(own)]
+                states = [[json.dumps(pair[side]) for pair in own] for side in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.int64()) for c in columns), *(pa.array(c, pa.string()) for c in states)],
+                    ["row", "chunk", "entry", "leave"],
+                )
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
         for batch in batches:
             ids = []
             for r in batch.to_pylist():
-                entry, leave = (tuple(s) for s in json.loads(r["states"]))
+                entry, leave = (tuple(json.loads(r[side])) for side in ("entry", "leave"))
                 ids.append(pieces.traced(r["before"], body(r["chunk"], r["text"]), r["after"], entry, leave))
             columns = [*(batch.column(c) for c in ("row", "doc_id", "chunk", "text")), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "chunk", "text", "ids"])
@@ -487,9 +500,12 @@ def sentencepiece_encode(
             "ids": pa.array([b"".join(rows["ids"].to_pylist())], pa.binary()),
         })
 
-    relations = chunks.mapInArrow(related, "row long, chunk long, relation string")
-    states = relations.groupBy("row").applyInArrow(chosen, "row long, chunk long, states string")
-    done = chunks.join(states, ["row", "chunk"]).select(*chunks.columns, "states")
+    lasts = chunks.groupBy("row").agg(F.max("chunk").alias("last"))
+    most = chunks.agg(F.coalesce(F.max("chunk"), F.lit(-1))).first()[0] + 1
+    relations = base.staged(chunks.mapInArrow(related, "row long, chunk long, entry string, leave string").join(lasts, "row"), "relations")
+    states = chosen_states(relations, most)
+    base.discard(relations)
+    done = chunks.join(states, ["row", "chunk"]).select(*chunks.columns, "entry", "leave")
     ids = done.mapInArrow(traced, "row long, doc_id long, chunk long, text string, ids binary")
     whole = "doc_id long, text string, ids binary"
     giants = ids.groupBy("row").applyInArrow(joined, whole)  # one text, as it came in one row

@@ -10,7 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from formsift.llm.packing import best_filling, pack, packing_plan, token_pieces
-from formsift.llm.sentencepiece_scan import Decoder, Pieces, combine, sentencepiece_decode, sentencepiece_encode, written
+from formsift.llm.sentencepiece_scan import Decoder, Pieces, chosen_states, sentencepiece_decode, sentencepiece_encode, written
 from formsift.llm.token_counts import token_counts
 from formsift.llm.wordbpe import WordBpe
 from tests.llm.conftest import prose, table
@@ -126,16 +126,37 @@ def test_scan_is_the_librarys_encoding(processor):
 
 
 @pytest.mark.parametrize("size", [5, 16, 37])
-def test_chunks_join_to_the_same_ids(processor, size):
-    model = Pieces(MODEL)
-    around = model.longest + 1
-    for text in [*some_texts(60), "the" * 100, "▁" * 40, prose(4, 100), "x" * 200]:
-        whole = written(text)
-        chunks = [(whole[max(0, a - around) : a], whole[a : a + size], whole[a + size : a + size + around]) for a in range(0, len(whole), size)]
-        if chunks:
-            states = combine([model.transfer(*c) for c in chunks])
-            joined = b"".join(model.traced(*c, *s) for c, s in zip(chunks, states, strict=True))
-            assert joined == np.array(processor.encode(text), dtype="<u4").tobytes(), text
+def test_chunks_join_to_the_same_ids(spark, processor, size):
+    texts = [*some_texts(60), "the" * 100, "▁" * 40, prose(4, 100), "x" * 200, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sentencepiece_encode(docs, MODEL, giant=1, chunk=size).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert bytes(row["ids"]) == np.array(processor.encode(texts[row["doc_id"]]), dtype="<u4").tobytes(), row["text"]
+
+
+def test_relations_composed_in_pairs_give_the_one_path(spark):
+    rng, rows, wanted = random.Random(3), [], set()
+    for text, chunks in enumerate([1, 2, 3, 4, 5, 8, 13]):
+        path = [f"s{rng.randrange(4)}" for _ in range(chunks + 1)]
+        for chunk in range(chunks):  # other pairs enter by states that nothing leads to: one path only goes through
+            pairs = {(path[chunk], path[chunk + 1])} | {(f"n{chunk}", f"s{i}") for i in range(4)}
+            rows += [(text, chunk, chunks - 1, a, b) for a, b in pairs if chunk or a == path[0]]
+            wanted.add((text, chunk, path[chunk], path[chunk + 1]))
+    relations = spark.createDataFrame(rows, "row long, chunk long, last long, entry string, leave string")
+    found = chosen_states(relations, 13).select("row", "chunk", "entry", "leave").collect()
+    assert len(found) == len(wanted) and {tuple(r) for r in found} == wanted
+
+
+def test_neighbours_fit_as_merging_says():
+    model, rng = Pieces(MODEL), random.Random(5)
+    pieces = list(model.ids)
+    for _ in range(20_000):
+        whole = rng.choice(pieces)
+        at = rng.randrange(len(whole) + 1)
+        for pair in ((rng.choice(pieces), rng.choice(pieces)), (whole[:at], whole[at:])):
+            if pair[1] in model.ids and (not pair[0] or pair[0] in model.ids):
+                assert model.fit(pair) == model.fit_by_merging(pair), pair
 
 
 def test_encode_and_decode_odd_rows(odd, odd_rows, processor):
