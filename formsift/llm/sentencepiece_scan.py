@@ -105,7 +105,7 @@ class Pieces:
         self.fits = Made(self.fit)
         self.edges = Made(self.both_edges)
         self.whole = Made(lambda piece: self.edges[piece] is not NOT_WHOLE)
-        self.known = Made(self.ids_of_run, 1_000_000)
+        self.known = Made(self.ids_of_run, 500_000)
 
     def both_edges(self, piece: str) -> tuple[list[Edge], list[Edge]] | None:
         """What stands at a piece's left and right end while it is merged, each with the rank of the merge that ends it.
