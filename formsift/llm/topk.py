@@ -23,6 +23,8 @@ SHARD_ROWS = 4096
 BLOCK_QUERIES = 256
 LEAF_ROWS = 64
 LOWEST = np.iinfo(np.int64).min
+#: Products and their differences stay within 64 bits below this.
+MOST_SQUARE = 2.0**61
 
 
 @dataclass
@@ -119,7 +121,8 @@ def exact_topk(
     Components are floor(scale * x); the score is their inner product; of equal scores the smaller key comes first.
     Rows with a null key, a null or empty vector, or a component that is null or not finite take no part; only vectors
     of the same length meet. Rows with the query's own key are no results of it. Repeated rows are queries, and
-    results, as often as they occur. An empty table, or one without queries, gives an empty result.
+    results, as often as they occur. An empty table, or one without queries, gives an empty result. Components so large
+    that a product could leave 64 bits are a ValueError: no row is left out for them.
     """
     whole = f"`{vector}`"
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.expr(f"transform({whole}, x -> cast(x AS double))").alias("v"))
@@ -129,7 +132,14 @@ def exact_topk(
     rows = rows.select("id", F.expr(f"transform(v, x -> floor({scale} * x))").alias("v"), F.size("v").alias("dim"))
     rows = base.staged(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     asked = rows.where(F.col("id") % every == 0)
-    shards, blocks = -(-rows.count() // SHARD_ROWS), -(-asked.count() // BLOCK_QUERIES)
+    # of any two vectors, and of a vector and a box's corner, the product is within sqrt(dim) times the largest square
+    square = F.expr("aggregate(v, 0d, (a, x) -> a + double(x) * x) * sqrt(dim)")
+    n, n_asked, largest = rows.agg(
+        F.count(F.lit(1)), F.count_if(F.col("id") % every == 0), F.coalesce(F.max(square), F.lit(0.0))
+    ).first()
+    if largest >= MOST_SQUARE:
+        raise ValueError(f"scaled components are too large for products of 64 bits: squares reach {largest:.3g}")
+    shards, blocks = -(-n // SHARD_ROWS), -(-n_asked // BLOCK_QUERIES)
     if not blocks:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
