@@ -1,7 +1,7 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 Every page scores its containers by the running text of their blocks and votes for the generalised tag-class paths of
-the best ones; votes are added up per host in Spark. A host's winning paths are that of most votes and all that lead for
+all of them; votes are added up per host in Spark. A host's winning paths are that of most votes and all that lead for
 LEADS pages or more, one for each of its templates; each page is extracted again along that which it ranks first.
 """
 
@@ -11,6 +11,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -57,8 +58,8 @@ SIBLINGS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
 
-#: Paths that a page votes for at most, and pages that a path must lead for to win beside the one of most votes.
-MOST, LEADS = 5, 2
+#: Pages that a path must lead for to win beside the one of most votes.
+LEADS = 2
 #: Characters from which on a paragraph is running text; a block of no such kind needs four times as many.
 RUNNING_CHARS = 25
 
@@ -375,46 +376,66 @@ def best_path(blocks: list[Block], scores: dict[str, float]) -> str:
 
 
 def votes(page: str) -> list[tuple[str, float]]:
-    """The page's best paths, each with its share of the best score; a container around the best takes its place."""
+    """The page's paths, best first, each with its share of the best score; a container around the best takes its place."""
     return ranked(blocks_of(page))
 
 
-def ranked(blocks: list[Block], most: int = MOST) -> list[tuple[str, float]]:
+def ranked(blocks: list[Block]) -> list[tuple[str, float]]:
+    """Every path of a container with text; those whose text has no score come last and vote with 0."""
     scores = container_scores(blocks)
+    holding: set[str] = set()
+    for block in blocks:
+        if kept(block) and block.text():
+            e = block.element
+            while e is not None and e.tag:
+                if e.tag in CONTAINERS:
+                    holding.add(e.path)
+                e = e.parent
+    rest = [(p, 0.0) for p in sorted(holding - scores.keys())]
     if not scores:
-        return []
+        return rest
     top = best_path(blocks, scores)
     best = max(scores.values())
     others = sorted(((-n, p) for p, n in scores.items() if p != top))
     # what lies within the container that is taken has no more votes than that had by itself
-    return [(top, 1.0), *((p, min(-n, scores[top]) / best) for n, p in others)][:most]
+    return [(top, 1.0), *((p, min(-n, scores[top]) / best) for n, p in others), *rest]
 
 
-def text_below(blocks: list[Block], path: str) -> str:
-    texts = []
+def below(blocks: list[Block], paths: list[str]) -> tuple[list[str], list[list[int]]]:
+    """The texts that are kept, in page order, and for each path the places of those that lie below it."""
+    texts: list[str] = []
+    places: dict[str, list[int]] = {p: [] for p in paths}
     for block in blocks:
+        if not kept(block) or not (text := block.text()):
+            continue
+        around = set()
         e = block.element
-        while e is not None and e.path != path:
+        while e is not None:
+            around.add(e.path)
             e = e.parent
-        if e is not None and kept(block) and (text := block.text()):
-            texts.append(text)
-    return "\n\n".join(texts)
+        for path in around & places.keys():
+            places[path].append(len(texts))
+        texts.append(text)
+    return texts, [places[p] for p in paths]
+
+
+def own_or_all(own: list[tuple[str, float]], texts: list[str], places: list[list[int]]) -> list[int]:
+    """Where a page has nothing along the paths of its host: its own best one, or all of it where no container scores."""
+    return places[0] if own and own[0][1] > 0 else list(range(len(texts)))
 
 
 def main_text(page: str, path: str | None) -> str:
     """The text along the host's path, or along the page's own best one where the page has nothing there."""
     blocks = blocks_of(page)
-    return text_or_own(blocks, path, ranked(blocks))
+    own = ranked(blocks)
+    texts, places = below(blocks, [p for p, _ in own])
+    along = dict(zip((p for p, _ in own), places, strict=True)).get(path) or own_or_all(own, texts, places)
+    return "\n\n".join(texts[i] for i in along)
 
 
-def text_or_own(blocks: list[Block], path: str | None, own: list[tuple[str, float]]) -> str:
-    text = text_below(blocks, path) if path is not None else ""
-    if not text:
-        if own:
-            text = text_below(blocks, own[0][0])
-        else:  # no container at all: bare text
-            text = "\n\n".join(t for b in blocks if kept(b) and (t := b.text()))
-    return text
+def kind_of(paths: list[str]) -> str:
+    """128 bits that stand for a ranking."""
+    return blake2b("\n".join(paths).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def host_of(url: Column) -> Column:
@@ -436,54 +457,62 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch):
-                sums: dict[tuple[str, str], list[int]] = {}
+                sums: dict[tuple[str, str], tuple[list[str], list[int]]] = {}
                 for host, page in zip(part.column("host").to_pylist(), part.column("text").to_pylist(), strict=True):
                     if own := votes(page):
-                        added = sums.setdefault((host, "\n".join(path for path, _ in own)), [0] * (MOST + 1))
+                        paths = [path for path, _ in own]
+                        _, added = sums.setdefault((host, kind_of(paths)), (paths, [0] * (len(own) + 1)))
                         added[0] += 1
                         for i, (_, share) in enumerate(own, 1):
                             added[i] += round(share * 1_000_000)  # whole numbers: the order of rows does not show
-                columns = [pa.array([h for h, _ in sums], pa.string()), pa.array([r for _, r in sums], pa.string())]
-                columns += [pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(MOST + 1)]
-                yield pa.RecordBatch.from_arrays(columns, ["host", "ranks", "pages", *voted])
-
-    voted = [f"votes{i}" for i in range(MOST)]
-    kinds = f"host string, ranks string, pages long, {', '.join(f'{v} long' for v in voted)}"
-    # pages of a host that rank the same paths alike are one row
-    cast = rows.select("host", "text").mapInArrow(vote, kinds).groupBy("host", "ranks").agg(*(F.sum(c).alias(c) for c in ("pages", *voted)))
+                columns = [pa.array([h for h, _ in sums], pa.string()), pa.array([k for _, k in sums], pa.string())]
+                columns += [pa.array([p for p, _ in sums.values()], pa.list_(pa.string()))]
+                columns += [pa.array([v[0] for _, v in sums.values()], pa.int64())]
+                columns += [pa.array([v[1:] for _, v in sums.values()], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["host", "kind", "paths", "pages", "votes"])
+
+    # pages of a host that rank the same paths alike are one row of each slice
+    cast = rows.select("host", "text").mapInArrow(vote, "host string, kind string, paths array<string>, pages long, votes array<long>")
     cast = base.staged(cast, "host-ranks")
-    paths = cast.select("host", "ranks", "pages", F.posexplode(F.split("ranks", "\n")).alias("place", "path"), F.array(*voted).alias("votes"))
+    paths = cast.select("host", "kind", "pages", "votes", F.posexplode("paths").alias("place", "path"))
     added = paths.groupBy("host", "path").agg(
-        F.sum(F.expr("votes[place]")).alias("votes"), F.sum(F.when(F.col("place") == 0, F.col("pages")).otherwise(0)).alias("leads")
+        F.sum(F.expr("votes[place]")).alias("votes"), F.sum(F.when(F.expr("place = 0 and votes[0] > 0"), F.col("pages")).otherwise(0)).alias("leads")
     )
     added = base.staged(added, "host-votes")
     # of equal votes the first path by name
-    first = added.groupBy("host").agg(F.min(F.struct(-F.col("votes"), "path")).alias("best")).select("host", F.col("best.path").alias("path"))
+    first = added.where("votes > 0").groupBy("host").agg(F.min(F.struct(-F.col("votes"), "path")).alias("best")).select("host", F.col("best.path").alias("path"))
     first = base.staged(first, "host-paths")
     winners = added.where(F.col("leads") >= LEADS).select("host", "path").unionByName(first).distinct()
-    places = paths.join(winners, ["host", "path"]).groupBy("host", "ranks").agg(F.min("place").alias("place"))
-    ruled = rows.join(first, "host", "left").select("page_id", "url", "host", "text", "path")
-    kind = dict(rows.dtypes)["page_id"]
+    places = paths.join(winners, ["host", "path"]).groupBy("host", "kind").agg(F.min("place").alias("place"))
+    key_type = dict(rows.dtypes)["page_id"]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in base.slices(batch):
-                ranks, texts, others = [], [], []
-                for page, path in zip(part.column("text").to_pylist(), part.column("path").to_pylist(), strict=True):
+                kinds, texts, spans, others = [], [], [], []
+                for page in part.column("text").to_pylist():
                     blocks = blocks_of(page)
                     own = ranked(blocks)
-                    ranks.append("\n".join(p for p, _ in own))
-                    texts.append([text_below(blocks, p) for p, _ in own])
-                    others.append(text_or_own(blocks, path, own))
+                    around = [p for p, _ in own]
+                    kept_texts, along = below(blocks, around)
+                    kinds.append(kind_of(around))
+                    texts.append(kept_texts)
+                    spans.append(along)
+                    others.append(own_or_all(own, kept_texts, along))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(c) for c in ("page_id", "url", "host")), pa.array(ranks, pa.string()),
-                        pa.array(texts, pa.list_(pa.string())), pa.array(others, pa.string()),
+                        *(part.column(c) for c in ("page_id", "url", "host")), pa.array(kinds, pa.string()),
+                        pa.array(texts, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+                        pa.array(others, pa.list_(pa.int32())),
                     ],
-                    ["page_id", "url", "host", "ranks", "texts", "other"],
+                    ["page_id", "url", "host", "kind", "texts", "spans", "other"],
                 )
 
-    found = ruled.mapInArrow(extract, f"page_id {kind}, url string, host string, ranks string, texts array<string>, other string")
-    found = found.join(base.staged(places, "host-places"), ["host", "ranks"], "left")
-    found = found.select("page_id", "url", F.coalesce(F.expr("texts[place]"), F.col("other")).alias("text"))
+    found = rows.mapInArrow(
+        extract,
+        f"page_id {key_type}, url string, host string, kind string, texts array<string>, spans array<array<int>>, other array<int>",
+    )
+    found = found.join(base.staged(places, "host-places"), ["host", "kind"], "left")
+    along = F.coalesce(F.when(F.size(F.expr("spans[place]")) > 0, F.expr("spans[place]")), F.col("other"))
+    found = found.select("page_id", "url", F.array_join(F.transform(along, lambda i: F.get("texts", i)), "\n\n").alias("text"))
     return found.select("*", F.length("text").cast("long").alias("n_chars"))
