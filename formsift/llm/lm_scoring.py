@@ -7,7 +7,8 @@ from its hash, so each block is built by one task. Single tokens are counted exa
 
 Filter and token counts grow with the corpus. They are broadcast to the workers in passes of PASS_BYTES at most: each
 pass covers a share of the blocks and a range of the token hashes and fills in what it knows about every token of
-every text. However large the corpus, only the number of passes grows, not what a worker holds.
+every text. Pairs are counted once, into stored blocks that the passes take their shares from. However large the corpus,
+the number of passes grows, and with it how often texts are looked up, but not what a worker holds.
 """
 
 from __future__ import annotations
@@ -140,36 +141,42 @@ def counted(texts: DataFrame, values, group) -> DataFrame:
 
 
 #: Token counts are dealt out by the leading bits of the hash, so a group is a range of hashes.
-WORD_GROUP_BITS = 7
+WORD_GROUP_BITS = 10
+#: Distinct tokens of a range that make one row.
+ROW_WORDS = 1 << 18
+#: Bytes of a distinct token in a lookup: hash and count.
+WORD_BYTES = 16
 
 
 def word_counts(train: DataFrame) -> DataFrame:
-    """(group, words, counts, distinct, total): every training token once, as sorted hashes of a range."""
+    """(least, words, counts, distinct, total): every training token once, as sorted hashes of a range from least on.
+
+    A range of many tokens gives several rows of ROW_WORDS.
+    """
 
     def add_up(rows: pa.Table) -> pa.Table:
         words, counts = unblobbed(rows)
+        parts = [slice(i, i + ROW_WORDS) for i in range(0, len(words), ROW_WORDS)]
         return pa.table({
-            "group": rows["group"].slice(0, 1),
-            "words": pa.array([words.tobytes()], pa.binary()),
-            "counts": pa.array([counts.astype(np.uint32).tobytes()], pa.binary()),
-            "distinct": pa.array([len(words)], pa.int64()),
-            "total": pa.array([int(counts.sum())], pa.int64()),
+            # in the order of the hashes, as signed numbers
+            "least": pa.array([int(words[p][0]) - (1 << 63) for p in parts], pa.int64()),
+            "words": pa.array([words[p].tobytes() for p in parts], pa.binary()),
+            "counts": pa.array([counts[p].astype(np.uint64).tobytes() for p in parts], pa.binary()),
+            "distinct": pa.array([len(words[p]) for p in parts], pa.int64()),
+            "total": pa.array([int(counts[p].sum()) for p in parts], pa.int64()),
         })
 
     parts = counted(train, lambda hashes, at: hashes, lambda words: words >> U64(64 - WORD_GROUP_BITS))
-    return parts.groupBy("group").applyInArrow(add_up, "group long, words binary, counts binary, distinct long, total long")
+    return parts.groupBy("group").applyInArrow(add_up, "least long, words binary, counts binary, distinct long, total long")
+
 
+#: Blocks that one task fills at once, at most.
+GROUP_BLOCKS = 64
 
-def filter_blocks(train: DataFrame, blocks: int, first: int, last: int) -> DataFrame:
-    """(block, bits) of the filter's blocks from first up to last."""
-    each = max(1, -(-(last - first) // 128))
 
-    def of_pass(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        pairs = pair_hashes(hashes, at)
-        if last - first == blocks:
-            return pairs
-        block = block_of(pairs, blocks)
-        return pairs[(block >= first) & (block < last)]
+def filter_blocks(train: DataFrame, blocks: int) -> DataFrame:
+    """(block, bits) of the filter's blocks, from one reading of the texts."""
+    each = min(GROUP_BLOCKS, -(-blocks // 128))
 
     def fill(rows: pa.Table) -> pa.Table:
         pairs, counts = unblobbed(rows)
@@ -184,7 +191,7 @@ def filter_blocks(train: DataFrame, blocks: int, first: int, last: int) -> DataF
         packed = np.packbits(bits, axis=1)
         return pa.table({"block": pa.array(own), "bits": pa.array([b.tobytes() for b in packed], pa.binary())})
 
-    parts = counted(train, of_pass, lambda pairs: (block_of(pairs, blocks) - first) // each)
+    parts = counted(train, pair_hashes, lambda pairs: block_of(pairs, blocks) // each)
     return parts.groupBy("group").applyInArrow(fill, "block long, bits binary")
 
 
@@ -212,9 +219,9 @@ class Lookup:
 
     def count(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
-            return np.zeros(len(words), dtype=np.uint32)
+            return np.zeros(len(words), dtype=U64)
         at = np.searchsorted(self.words, words).clip(max=len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], 0).astype(np.uint32)
+        return np.where(self.words[at] == words, self.counts[at], U64(0))
 
     def level(self, pairs: np.ndarray) -> np.ndarray:
         row = block_of(pairs, self.blocks) - self.first
@@ -232,7 +239,7 @@ class Lookup:
 
 #: Bytes of text that are looked up at once, beside the lookup itself.
 LOOKUP_SLICE = 1 << 20
-FOUND = np.dtype([("count", "<u4"), ("level", "u1")])
+FOUND = np.dtype([("count", "<u8"), ("level", "u1")])
 
 
 def looked_up(part: pa.RecordBatch, lookup: Lookup) -> tuple[np.ndarray, np.ndarray]:
@@ -277,11 +284,14 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: i
     words = base.staged(word_counts(train), "word-counts")
     n, v = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     blocks = max(1, -(-n * BITS_PER_TOKEN // BLOCK_BITS))
-    passes = max(1, -(-(blocks * BLOCK_BITS // 8 + 12 * v) // pass_bytes))
+    stored = base.staged(filter_blocks(train, blocks), "blocks")
+    passes = max(1, -(-(blocks * BLOCK_BITS // 8 + WORD_BYTES * v) // pass_bytes))
     known = texts.withColumn("found", F.lit(b""))
     for i in range(passes - 1):
-        known = base.staged(filled(known, spark.sparkContext.broadcast(lookup_of_pass(train, words, blocks, i, passes))), "found")
-    lookup = spark.sparkContext.broadcast(lookup_of_pass(train, words, blocks, passes - 1, passes))
+        lookup = spark.sparkContext.broadcast(lookup_of_pass(stored, words, blocks, i, passes))
+        known = base.staged(filled(known, lookup), "found")
+        lookup.destroy()
+    lookup = spark.sparkContext.broadcast(lookup_of_pass(stored, words, blocks, passes - 1, passes))
     floor = np.log10(n + added * (v + 1)) if n else 0.0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,17 +321,20 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: i
     )
 
 
-def lookup_of_pass(train: DataFrame, words: DataFrame, blocks: int, i: int, passes: int) -> Lookup:
-    """Gathers a share of what is counted, about pass_bytes of lm_scores; the driver holds one share at a time."""
-    groups = 1 << WORD_GROUP_BITS
-    own = words.where(F.col("group").between(groups * i // passes, groups * (i + 1) // passes - 1))
-    rows = sorted(own.select("group", "words", "counts").collect())
+def lookup_of_pass(stored: DataFrame, words: DataFrame, blocks: int, i: int, passes: int) -> Lookup:
+    """Gathers a share of what is counted, about pass_bytes of lm_scores; the driver holds one share at a time.
+
+    A share of the tokens is a range of their hashes, which are spread evenly.
+    """
+    low, high = ((1 << 64) * j // passes - (1 << 63) for j in (i, i + 1))
+    own = words.where(F.col("least").between(low, high - 1))
+    rows = sorted(own.select("least", "words", "counts").collect())
     hashes = np.frombuffer(b"".join(r.words for r in rows), dtype=U64)
-    counts = np.frombuffer(b"".join(r.counts for r in rows), dtype=np.uint32)
+    counts = np.frombuffer(b"".join(r.counts for r in rows), dtype=U64)
     del rows
     first, last = blocks * i // passes, blocks * (i + 1) // passes
     bits = np.zeros((last - first, BLOCK_BITS // 8), dtype=np.uint8)
     if last > first:
-        for r in base.staged(filter_blocks(train, blocks, first, last), "blocks").toLocalIterator():
+        for r in stored.where(F.col("block").between(first, last - 1)).toLocalIterator():
             bits[r.block - first] = np.frombuffer(r.bits, dtype=np.uint8)
     return Lookup(hashes, counts, blocks, first, bits)

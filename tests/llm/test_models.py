@@ -99,6 +99,25 @@ def test_scores_are_those_of_brute_force(spark, pass_bytes, monkeypatch):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0)
 
 
+def test_counts_beyond_32_bits_are_kept():
+    words = np.array([3, 9], dtype=np.uint64)
+    lookup = lm_scoring.Lookup(words, np.array([5, 2**40 + 1], dtype=np.uint64), 1, 0, np.zeros((0, 1), np.uint8))
+    assert lookup.count(np.array([9, 4, 3], dtype=np.uint64)).tolist() == [2**40 + 1, 0, 5]
+    assert lm_scoring.FOUND["count"].itemsize == 8
+
+
+def test_pairs_are_counted_once_however_many_passes(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(lm_scoring, "GROUP_BLOCKS", 1)
+    monkeypatch.setattr(lm_scoring, "ROW_WORDS", 7)
+    whole = lm_scoring.filter_blocks
+    monkeypatch.setattr(lm_scoring, "filter_blocks", lambda *a: read.append(1) or whole(*a))
+    docs = spark.createDataFrame([(i, prose(i, 40)) for i in range(60)], "doc_id long, text string")
+    monkeypatch.setattr(lm_scoring, "BITS_PER_TOKEN", 1200)
+    many = {r["doc_id"]: r for r in table(lm_scores(docs, pass_bytes=70_000))}
+    assert read == [1] and many == {r["doc_id"]: r for r in table(lm_scores(docs))}
+
+
 def test_language_model_of_odd_rows(odd, empty):
     rows = table(lm_scores(odd))
     assert len(rows) == odd.count() and all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in rows)
@@ -360,6 +379,15 @@ def test_topk_is_that_of_brute_force(spark, monkeypatch):
     assert exact_topk(df.limit(0)).count() == 0 and exact_topk(df, every=1_000_003).where("query_id <> 0").count() == 0
 
 
+def test_topk_refuses_products_beyond_64_bits(spark):
+    large = spark.createDataFrame([(0, [1e18, 1.0]), (1, [-1e18, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        exact_topk(large)
+    rows = [(0, [1e5, -1e5]), (1, [-1e5, 1e5]), (2, [1e5, 1e5])]
+    found = table(exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=2))
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == brute_topk(rows, 10, 2)
+
+
 def test_tree_search_leaves_nodes_out_but_no_result():
     rng = np.random.default_rng(2)
     rows = rng.integers(-50, 50, (3000, 3))
