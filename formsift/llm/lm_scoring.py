@@ -314,7 +314,10 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: i
                     ["doc_id", "n_tokens", "n_known", "base_score", "score"],
                 )
 
+    # stored, so that the broadcast can be given back now
     sums = known.mapInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    sums = base.staged(sums, "scores")
+    lookup.destroy()
     return sums.select(
         "doc_id", base.held_out(F.col("doc_id"), parts).alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), "base_score", "score",
