@@ -10,6 +10,8 @@ from formsift.functions import text as T, windows as W
 STATE_TOKEN = rf"(?:^|{K.SPACE})(?:{K.STATE_CODES})(?:{K.SPACE}|\z)"
 IGNORED = T.one_of(K.IGNORED_WORDS)
 LABEL = rf"^{IGNORED}\z|" + T.one_of(K.LABEL_KEYWORDS)
+NAME_SHAPE = r"^[A-Za-z][A-Za-z .'-]*\z"
+SINGLE_NAME = rf"^\.*{K.TITLE_WORD}\z"
 IGNORED_TOKEN = rf"(?:^|{K.SPACE})\.*{IGNORED}\.*(?:{K.SPACE}|\z)"
 
 
@@ -99,7 +101,7 @@ def is_possible_name(line: Column) -> Column:
 
     A line of that shape holds no digit, so number, ZIP and street are ruled out already.
     """
-    return line.rlike(r"^[A-Za-z][A-Za-z .'-]*\z") & ~is_label(line) & ~is_code(line) & ~is_state(line)
+    return line.rlike(NAME_SHAPE) & ~is_label(line) & ~is_code(line) & ~is_state(line)
 
 
 def is_single_name(line: Column) -> Column:
@@ -108,7 +110,7 @@ def is_single_name(line: Column) -> Column:
     A title-case word starts with a letter and has a lower-case one, so it is no number, code, state,
     ZIP or street, has two letters, and is not all upper.
     """
-    return line.rlike(rf"^\.*{K.TITLE_WORD}\z") & ~is_label(line)
+    return line.rlike(SINGLE_NAME) & ~is_label(line)
 
 
 def is_full_name(line: Column) -> Column:

@@ -10,6 +10,7 @@ from formsift import constants as K
 from formsift.functions import address as A, checks as V, compare as C, lines as L, names as N
 from formsift.functions import text as T, windows as W
 from formsift.operators import evaluate as E, extract as X, report as R, runs, validate as VA
+from formsift.operators.flags import flag_counts, with_flags
 from formsift.operators.stages import computed
 from formsift.plans.documents import next_run, process_documents, run_batch
 from formsift.sources import tables as S
@@ -467,6 +468,16 @@ def l12_label_line(spark, sf):
     return lowered.filter(L.is_label_in_lower(F.col("low"))).drop("low")
 
 
+@query
+def l1_16_line_flags(spark, sf):
+    return with_flags(all_lines(spark, sf)).select("source", "id", "line_no", "flags")
+
+
+@query
+def l1_16_flag_counts(spark, sf):
+    return flag_counts(with_flags(all_lines(spark, sf)), ["source"])
+
+
 # --- address assembly ------------------------------------------------------------------------------
 
 

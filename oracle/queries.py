@@ -33,6 +33,31 @@ def lines_where(condition: str) -> str:
     return f"SELECT source, id, line_no, line FROM all_lines WHERE {condition}"
 
 
+LINE_CONDITIONS = {
+    "l1_number_line": Q.number("line"),
+    "l2_code_line": Q.code("line"),
+    "l3_state_line": Q.state("line"),
+    "l4_contains_state": Q.has_state("line"),
+    "l5_zip_line": Q.zip_line("line"),
+    "l6_contains_zip": Q.has_zip("line"),
+    "l7_has_address_word": Q.address_word("line"),
+    "l8_company_like": Q.company("line"),
+    "l9_street_line": Q.street("line"),
+    "l10_city_state_zip_line": f"{Q.has_state('line')} AND {Q.has_zip('line')}",
+    "l11_ignored_word": Q.ignored("line"),
+    "l12_label_line": Q.label("line"),
+    "l13_title_case_word": Q.title("line"),
+    "l14_possible_name_line": Q.possible_name("line"),
+    "l15_single_name_part": Q.single_name(Q.single("line")),
+    "l16_full_name_line": Q.full_name(Q.single("line")),
+}
+#: Bit i - 1 for predicate i.
+FLAGS = " + ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, c in enumerate(LINE_CONDITIONS.values()))
+FLAG_COUNTS = " UNION ALL ".join(
+    f"SELECT source, '{name}' AS predicate, count(*) FILTER (WHERE {c}) AS n_lines FROM all_lines GROUP BY source"
+    for name, c in LINE_CONDITIONS.items()
+)
+
 LISTED = "(SELECT path FROM forms WHERE starts_with(path, 'raw/') AND lower(path) LIKE '%.pdf')"
 DONE = "(SELECT file_name FROM latest_prior WHERE status IS DISTINCT FROM 'FAILED')"
 PENDING = (
@@ -217,22 +242,9 @@ SELECTS = {
     "t13_street_key": on_form_lines(Q.street_key("line")),
     "t14_percent_text": f"SELECT o_custkey, {Q.percent_text(Q.share("count_if(o_orderstatus = 'F')", 'count(*)'))} AS value"
     " FROM orders GROUP BY o_custkey",
-    "l1_number_line": lines_where(Q.number("line")),
-    "l2_code_line": lines_where(Q.code("line")),
-    "l3_state_line": lines_where(Q.state("line")),
-    "l4_contains_state": lines_where(Q.has_state("line")),
-    "l5_zip_line": lines_where(Q.zip_line("line")),
-    "l6_contains_zip": lines_where(Q.has_zip("line")),
-    "l7_has_address_word": lines_where(Q.address_word("line")),
-    "l8_company_like": lines_where(Q.company("line")),
-    "l9_street_line": lines_where(Q.street("line")),
-    "l10_city_state_zip_line": lines_where(f"{Q.has_state('line')} AND {Q.has_zip('line')}"),
-    "l11_ignored_word": lines_where(Q.ignored("line")),
-    "l12_label_line": lines_where(Q.label("line")),
-    "l13_title_case_word": lines_where(Q.title("line")),
-    "l14_possible_name_line": lines_where(Q.possible_name("line")),
-    "l15_single_name_part": lines_where(Q.single_name(Q.single("line"))),
-    "l16_full_name_line": lines_where(Q.full_name(Q.single("line"))),
+    **{name: lines_where(condition) for name, condition in LINE_CONDITIONS.items()},
+    "l1_16_line_flags": f"SELECT source, id, line_no, CAST({FLAGS} AS INTEGER) AS flags FROM all_lines",
+    "l1_16_flag_counts": FLAG_COUNTS,
     "a1_city_state_zip": f"SELECT id AS k, line_no, {Q.A1_CITY} AS city, {Q.A1_STATE} AS state, {Q.zip_in('line')} AS zip"
     f" FROM form_lines WHERE {Q.has_zip('line')}",
     "a2_city_state": f"SELECT id AS k, line_no, {Q.A2_CITY} AS city, {Q.A2_STATE} AS state"

@@ -2,7 +2,10 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from formsift.functions import lines as L, text as T
+from formsift.operators.flags import BITS, flag_counts, has_flag, with_flags
 from tests.test_text import apply
 
 CASES = {
@@ -41,3 +44,31 @@ def test_facts_agree_with_predicates(spark):
     for field, name in same.items():
         assert [f[field] for f in facts] == apply(spark, lines, L.LINE_PREDICATES[name]), field
     assert [f["zip"] is not None for f in facts] == apply(spark, lines, L.contains_zip)
+
+
+def test_bits_agree_with_predicates(spark):
+    lines = sorted({line.strip() for hits, misses in CASES.values() for line in hits + misses} - {""})
+    lines += ["\u0661\u0662", "James\u00a0Cox", "James \tCox", "12 Elm St NY 12345", "\u0661 Elm St", "Cut \u2003 Here"]
+    df = spark.createDataFrame([(v,) for v in lines], "line string")
+    found = {r.line: r for r in with_flags(df).select("line", *(has_flag(F.col("flags"), p).alias(p) for p in BITS)).collect()}
+    wanted = df.select("line", *(predicate(F.col("line")).alias(name) for name, predicate in L.LINE_PREDICATES.items()))
+    assert list(BITS) == list(L.LINE_PREDICATES) and len(found) == len(lines)
+    for r in wanted.collect():
+        assert found[r.line] == r, r.line
+
+
+def test_flags_keep_columns_and_take_nulls(spark):
+    df = spark.createDataFrame([("12", 1, True), (None, 2, False)], "line string, low int, is_label boolean")
+    flagged = with_flags(df)
+    assert flagged.columns == ["line", "low", "is_label", "flags"]
+    assert [tuple(r) for r in flagged.orderBy("low").collect()] == [("12", 1, True, BITS["l1_number_line"] + BITS["l2_code_line"]), (None, 2, False, 0)]
+    assert with_flags(df.limit(0)).count() == 0
+    counts = {r.predicate: r.n_lines for r in flag_counts(flagged, ["is_label"]).where("is_label").collect()}
+    assert counts == {name: int(name[:3] in ("l1_", "l2_")) for name in BITS}
+
+
+def test_flags_are_one_scan_without_shuffle_or_python(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    lines = documents.select("doc_id", F.posexplode(T.split_lines(F.col("text"))).alias("line_no", "line"))
+    plan = with_flags(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and plan.count("FileScan") == 1
