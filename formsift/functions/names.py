@@ -58,6 +58,86 @@ def evidence(name: Column, low_text: Column) -> Column:
     return F.when(low.contains(" "), counted).otherwise(0)
 
 
+#: Names up to which each is searched for by itself; an index of the text pays from then on. The counts are the same.
+FEW_NAMES = 8
+PLAIN_WORD = "[a-z0-9_]+"
+#: Letters, digits and marks beyond ASCII: where words end beside them is left to the search.
+ODD_LETTER = r"[\p{L}\p{Nd}\p{Mn}&&[^\x00-\x7f]]"
+
+
+def word_index(low_text: Column, wanted: Column) -> Column:
+    """Map from each wanted key that occurs to its count: words, and pairs of neighbours with one blank between.
+
+    Words and pairs of the text are sorted once. Runs of equal ones are counted by where they begin, and are met with
+    the wanted keys by sorting both together, so that the cost does not multiply text and keys.
+    """
+    # a piece keeps the blank where exactly one stands before the next word
+    pieces = F.regexp_extract_all(low_text, F.lit(f"{PLAIN_WORD}(?: (?={PLAIN_WORD}))?"), 0)
+
+    def keys(pieces: Column) -> Column:
+        pairs = F.transform(
+            pieces, lambda p, i: F.when(p.endswith(" "), F.concat(p, F.rtrim(F.get(pieces, i + 1))))
+        )
+        return F.concat(F.transform(pieces, lambda p: F.rtrim(p)), F.filter(pairs, lambda p: p.isNotNull()))
+
+    def counted(ordered: Column) -> Column:
+        begins = F.filter(
+            F.transform(ordered, lambda k, i: F.when((i == 0) | (k != F.get(ordered, i - 1)), i)), lambda i: i.isNotNull()
+        )
+        return W.let(begins, lambda b: F.transform(
+            b,
+            lambda at, j: F.struct(
+                F.get(ordered, at).alias("key"),
+                F.lit(False).alias("asked"),
+                (F.coalesce(F.get(b, j + 1), F.size(ordered)) - at).alias("n"),
+            ),
+        ))
+
+    def met(both: Column) -> Column:
+        def answer(k: Column, i: Column) -> Column:
+            before = F.get(both, i - 1)
+            return F.when(
+                k["asked"] & (i > 0) & ~before["asked"] & (before["key"] == k["key"]),
+                F.struct(k["key"].alias("key"), before["n"].alias("n")),
+            )
+
+        return F.map_from_entries(F.filter(F.transform(both, answer), lambda e: e.isNotNull()))
+
+    asked = F.transform(
+        F.array_distinct(wanted), lambda k: F.struct(k.alias("key"), F.lit(True).alias("asked"), F.lit(0).alias("n"))
+    )
+    all_keys = W.let(pieces, lambda p: F.sort_array(keys(p)))
+    return W.let(F.sort_array(F.concat(W.let(all_keys, counted), asked)), met)
+
+
+def evidence_of_all(names: Column, low_text: Column, few: int = FEW_NAMES) -> Column:
+    """N4 for an array of different names: map from name to evidence.
+
+    More than `few` names share an index of the text; names that are not two plain words, and texts with letters beyond
+    ASCII, are searched name by name.
+    """
+
+    def by(one: Column) -> Column:
+        return F.map_from_entries(F.transform(names, lambda name: F.struct(name.alias("name"), one(name).alias("n"))))
+
+    def outer(low: Column) -> tuple[Column, Column]:
+        return F.substring_index(low, " ", 1), F.substring_index(low, " ", -1)
+
+    def looked_up(counts: Column, name: Column) -> Column:
+        low = F.lower(name)
+        first, last = outer(low)
+        found, left, right = (F.coalesce(F.try_element_at(counts, key), F.lit(0)) for key in (low, first, last))
+        # matches of one word twice may overlap
+        plain = low.rlike(rf"^{PLAIN_WORD} {PLAIN_WORD}\z") & (first != last)
+        shared = W.let(found, lambda n: F.when(n > 0, n).otherwise(F.least(left, right)))
+        return F.when(plain, shared).otherwise(evidence(name, low_text))
+
+    wanted = F.flatten(F.transform(names, lambda name: F.array(F.lower(name), *outer(F.lower(name)))))
+    indexed = W.let(word_index(low_text, wanted), lambda counts: by(lambda name: looked_up(counts, name)))
+    alone = (F.size(names) <= few) | low_text.rlike(ODD_LETTER)
+    return F.when(alone, by(lambda name: evidence(name, low_text))).otherwise(indexed)
+
+
 def score(
     name: Column, address: Column, employee: Column, employer: Column, repeats: Column, person: Column
 ) -> Column:

@@ -196,11 +196,9 @@ def candidates(facts: Column, low_text: Column, person: Column | None = None) ->
     )
 
     def counted(rows: Column) -> Column:
-        """Map from name to evidence: the text is searched once per different name."""
+        """Map from name to evidence: once per different name."""
         names = F.array_distinct(F.transform(rows, lambda s: s["name"]))
-        return F.map_from_entries(
-            F.transform(names, lambda name: F.struct(name.alias("name"), N.evidence(name, low_text).alias("n")))
-        )
+        return W.let(names, lambda distinct: N.evidence_of_all(distinct, low_text))
 
     def with_context(entry: Column, evidence: Column) -> Column:
         index = entry["index"]
