@@ -72,6 +72,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 _HELD: list[tuple[object, object]] = []
 
 

@@ -9,9 +9,10 @@ state; where a digest has been hit again, whole texts are compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,8 +52,7 @@ def located(docs: DataFrame, key: str, text: str) -> DataFrame:
             return with_place(docs, key, text)
     except AnalysisException:
         pass
-    narrow = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return with_place(base.staged(narrow, "located"), "doc_id", "text")
+    return with_place(base.staged(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), "located"), key, text)
 
 
 def dedup_state(keyed: DataFrame, state_path: str, checkpoint: str) -> StreamingQuery:
@@ -98,21 +98,32 @@ def exact_duplicates(
     """
     spark = docs.sparkSession
     rows = located(docs, key, text)
-    normal = base.ascii_lower(F.col("text"))
-    keyed = base.staged(rows.select("doc_id", "file", "place", digest(normal).alias("digest")), "digests")
+    keyed = base.staged(digests(rows, digest), "digests")
     source = keyed.inputFiles()
     if not source:
         return spark.createDataFrame([], RESULT)
     folder = base.shared_folder(spark, "dedup")
     stream = spark.readStream.schema(keyed.schema).parquet(source[0].rsplit("/", 1)[0])
     dedup_state(stream, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
-    # a digest may be in several batches; state only grows, so its largest row is its last one
-    changed = spark.read.parquet(f"{folder}/state")
+    return judged(rows, keyed, last_state(spark, f"{folder}/state"), digest)
+
+
+def digests(rows: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    return rows.select("doc_id", "file", "place", digest(base.ascii_lower(F.col("text"))).alias("digest"))
+
+
+def last_state(spark: SparkSession, path: str) -> DataFrame:
+    """(digest, best, n). A digest may be in several batches; state only grows, so its largest row is its last one."""
+    changed = spark.read.parquet(path)
     batches = changed.select("batch").distinct().count()
-    state = changed.drop("batch") if batches < 2 else changed.groupBy("digest").agg(
+    return changed.drop("batch") if batches < 2 else changed.groupBy("digest").agg(
         F.max("best").alias("best"), F.max("n").alias("n")
     )
 
+
+def judged(rows: DataFrame, keyed: DataFrame, state: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """The result for keyed rows by the state of their digests; rows has the whole texts of all that share a digest."""
+    normal = base.ascii_lower(F.col("text"))
     # whole texts of digests that were hit again: equal digests must mean equal texts
     prefix = F.substring("digest", 1, PREFIX)
     hit = state.where("n > 1").select(prefix.alias("prefix")).distinct()
@@ -132,7 +143,8 @@ def exact_duplicates(
             F.max(F.struct("doc_id", "file", "place")).alias("best"), F.count(F.lit(1)).alias("n")
         )
         alone = keyed.join(clash, "digest", "left_anti").join(state, "digest")
-        apart = of_text.join(own, ["digest", "normal"]).select(alone.columns)
+        mine = of_text.join(keyed.select("file", "place"), ["file", "place"], "left_semi")
+        apart = mine.join(own, ["digest", "normal"]).select(alone.columns)
         grouped = alone.unionByName(apart)
     here = F.struct("doc_id", "file", "place")
     return grouped.select(
@@ -141,6 +153,50 @@ def exact_duplicates(
     )
 
 
+def further_duplicates(
+    docs: DataFrame, state: str, batch: str, key: str = "doc_id", text: str = "text",
+    digest: Callable[[Column], Column] = sha256,
+) -> DataFrame:
+    """exact_duplicates for a further table, against every table that the folder `state` has seen, and adds it there.
+
+    keep_id and group_size tell of all tables so far: a copy that comes later with a larger id stays in place of the
+    one before, which a later call for its table says too. The folder holds the stream's checkpoint with its state,
+    the digests and their locators, and outlives sessions. `batch` names the table: one that was interrupted is given
+    again under its name and counts once. Texts of earlier tables are read again where a digest is hit, by their
+    locators, so their files (Parquet, with the same name for `text`) have to stay. Nulls, ties, repeated rows and empty
+    tables are as in exact_duplicates. Calls on one folder follow each other; they do not run side by side.
+    """
+    spark = docs.sparkSession
+    own = f"{state}/digests/{batch}"
+    if not base.exists(spark, f"{own}/_SUCCESS"):
+        digests(located(docs, key, text), digest).write.mode("overwrite").parquet(own)
+    schema = "doc_id long, file string, place long, digest string"
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{state}/digests")
+    dedup_state(stream, f"{state}/state", f"{state}/checkpoint").awaitTermination()
+    if not base.exists(spark, f"{state}/state"):
+        return spark.createDataFrame([], RESULT)
+    keyed = spark.read.schema(schema).parquet(own)
+    seen = last_state(spark, f"{state}/state")
+    every = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{state}/digests")
+    # the digests of this table that have more than one row, and the files where all their rows lie
+    hit = seen.where("n > 1").join(keyed.select("digest").distinct(), "digest", "left_semi").select("digest")
+    known = base.staged(every.join(hit, "digest", "left_semi").select("doc_id", "file", "place"), "hits")
+    # locators are encoded as addresses, paths are not
+    files = [unquote(r.file) for r in known.select("file").distinct().collect()]
+    if not files:
+        return judged(no_rows(spark), keyed, seen, digest)
+    there = spark.read.parquet(*files).select(
+        F.col(f"`{text}`").cast("string").alias("text"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
+    )
+    rows = known.join(there, ["file", "place"]).select("doc_id", "text", "file", "place")
+    return judged(rows, keyed, seen, digest)
+
+
+def no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "doc_id long, text string, file string, place long")
+
+
 RESULT = "doc_id long, keep_id long, group_size long, kept boolean, digest string, file string, place long"
 
 

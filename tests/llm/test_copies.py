@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from formsift.llm.components import components, forest
-from formsift.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
+from formsift.llm import exact_dedup
+from formsift.llm.exact_dedup import drop_exact_duplicates, exact_duplicates, further_duplicates
 from formsift.llm.ngram_join import bands, bound, ngram_components, one_of_each_group
 from tests.llm.conftest import prose, table
 
@@ -131,3 +132,57 @@ def test_components_of_chains_stars_and_loops(spark):
     found = {r["node"]: r["component"] for r in table(components(spark.createDataFrame(edges, "a long, b long").repartition(7)))}
     assert all(found[i] == 1 for i in range(1, 61)) and all(found[200 + i] == 100 for i in range(50)) and found[500] == 499
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# state that outlives the call
+
+
+def told(df):
+    return {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in table(df)}
+
+
+def test_further_tables_meet_the_state_of_those_before(spark, tmp_path, monkeypatch):
+    state = str(tmp_path / "state")
+    tmp_path = tmp_path / "a folder"
+
+    def rows(pairs, name):
+        spark.createDataFrame(pairs, "doc_id long, body string").repartition(2).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    first = rows([(1, "Aa"), (2, "aa"), (3, "b"), (4, None)], "one")
+    second = rows([(5, "AA"), (6, "c"), (7, ""), (0, "B")], "two")
+    third = spark.createDataFrame([(8, "c"), (9, "d")], "doc_id long, body string")  # from no file
+
+    def call(df, batch, session=spark):
+        return told(further_duplicates(df, state, batch, text="body"))
+
+    assert call(first, "one") == {(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 1, True)}
+    # interrupted after its digests were written: given again, it counts once
+    run = exact_dedup.dedup_state
+    monkeypatch.setattr(exact_dedup, "dedup_state", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        call(second, "two")
+    monkeypatch.setattr(exact_dedup, "dedup_state", run)
+    wanted = {(5, 5, 3, True), (6, 6, 1, True), (7, 7, 2, True), (0, 3, 2, False)}
+    assert call(second, "two") == wanted and call(second, "two") == wanted
+    # another session takes up the same folder
+    again = spark.newSession().read.parquet(str(tmp_path / "one"))
+    assert call(again, "one") == {(1, 5, 3, False), (2, 5, 3, False), (3, 3, 2, True), (4, 7, 2, False)}
+    assert call(third, "three") == {(8, 8, 2, True), (9, 9, 1, True)}
+    assert call(first.limit(0), "none") == set()
+
+
+def test_further_tables_with_a_digest_shared_by_other_texts(spark, tmp_path):
+    def weak(text):
+        return F.concat(F.lit("digest"), F.length(text).cast("string"))
+
+    def call(pairs, batch):
+        df = spark.createDataFrame(pairs, "doc_id long, text string")
+        return told(further_duplicates(df, str(tmp_path / "s"), batch, digest=weak))
+
+    assert call([(1, "ab"), (2, "cd"), (3, "xyz")], "1") == {(1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, True)}
+    assert call([(4, "CD"), (5, "ef"), (6, "xyz")], "2") == {(4, 4, 2, True), (5, 5, 1, True), (6, 6, 2, True)}
+
+
+def test_an_empty_table_first(spark, empty, tmp_path):
+    assert further_duplicates(empty, str(tmp_path / "s"), "0").count() == 0
