@@ -11,6 +11,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from functools import cached_property
+
 import numpy as np
 
 from formsift.llm.base import held
@@ -151,6 +153,7 @@ class WordBpe:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.path = path
         own = Tokenizer.from_file(path)
         self.own = own
         self.normalise = own.normalizer.normalize_str
@@ -159,7 +162,6 @@ class WordBpe:
             whole = json.load(file)
         model = whole["model"]
         self.end = model["end_of_word_suffix"]
-        self.ranks = {(a, b): (i, a + b) for i, (a, b) in enumerate(map(tuple, model["merges"]))}
         # the last symbol of every word ends in the mark of a word's end
         self.last = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
         self.last[[i for symbol, i in model["vocab"].items() if symbol.endswith(self.end)]] = True
@@ -170,6 +172,13 @@ class WordBpe:
         self.counts = Remembered()
         self.known = Remembered()
 
+    @cached_property
+    def ranks(self) -> dict[tuple[str, str], tuple[int, str]]:
+        """Rank and result of each pair that merges; only counting needs them."""
+        with open(self.path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        return {(a, b): (i, a + b) for i, (a, b) in enumerate(map(tuple, merges))}
+
     def merged_count(self, symbols: str) -> int:
         """Tokens of a word given as byte symbols: its initial symbols minus the merges; no ids are made."""
         initial = [*symbols[:-1], symbols[-1] + self.end]
