@@ -7,8 +7,9 @@ from formsift.operators import report as R, runs
 from formsift.plans.catalog import QUERIES
 from formsift.plans.documents import next_run, process_documents
 from formsift.sources import files, tables as S
-from formsift.sources.forms import forms
-from formsift.streaming import ingest as I
+from formsift.sources.forms import forms, forms_of
+from formsift.sources.store import ResultStore
+from formsift.streaming import ingest as I, state
 
 
 def test_list_documents(spark, tmp_path):
@@ -268,3 +269,43 @@ def test_stream_takes_many_files_at_once_and_null_keys(spark, small, tmp_path, m
     assert rows == customers.count() + 1 and nulls == 1
     wanted = process_documents(forms(spark, str(tmp_path)))
     assert {r.file_name for r in found} == {r.file_name for r in wanted.select("file_name").collect()}
+
+
+def test_streams_deal_documents_of_one_file_over_all_cores(spark, small, tmp_path, monkeypatch):
+    """A file that is one split, with one name over and over, keeps more than one task busy in both streams and in `retry`."""
+    docs = forms(spark, small).filter("k BETWEEN 1 AND 60").select(
+        "path", "file_name", "raw_text", "error", "processed_at", F.lit(0.0).alias("processing_time_seconds")
+    )
+    docs.coalesce(1).write.parquet(str(tmp_path / "in"))
+    one_name = docs.withColumn("path", F.concat(F.lit("raw/x/"), "file_name")).withColumn("file_name", F.lit("form_clean_one.pdf"))
+
+    def seen(df, own=process_documents, **kept):
+        own_task = F.spark_partition_id().cast("double")
+        return own(df.withColumn("processing_time_seconds", own_task), **kept)
+
+    for module in (I, state):
+        monkeypatch.setattr(module, "process_documents", seen)
+
+    def parts(results):
+        return results.select("processing_time_seconds").distinct().count()
+
+    log = str(tmp_path / "log")
+    I.ingest(spark, str(tmp_path / "in"), docs.schema, log, str(tmp_path / "c1"))
+    assert I.current_results(spark, log).count() == 60 and parts(I.current_results(spark, log)) > 4
+    again = str(tmp_path / "again")
+    I.retry(spark, spark.read.parquet(str(tmp_path / "in")), again)
+    assert parts(spark.read.parquet(again)) > 4
+    store = ResultStore.create(spark, str(tmp_path / "store"), 4)
+    state.ingest_latest(spark, str(tmp_path / "in"), docs.schema, store, str(tmp_path / "c2"))
+    assert store.read().count() == 60 and parts(store.read()) > 4
+    one_name.coalesce(1).write.parquet(str(tmp_path / "same"))
+    same = str(tmp_path / "same-log")
+    I.ingest(spark, str(tmp_path / "same"), docs.schema, same, str(tmp_path / "c3"))
+    assert parts(spark.read.parquet(same)) > 4 and I.current_results(spark, same).count() == 1
+
+
+def test_forms_of_a_batch_are_built_from_keys_dealt_out(spark, small):
+    one = spark.read.parquet(f"{small}/customer.parquet").coalesce(1)
+    built = forms_of(one, small, "a_batch")
+    assert sorted(built.select("k", "raw_text").collect()) == sorted(forms(spark, small).select("k", "raw_text").collect())
+    assert "RepartitionByExpression [c_custkey" in plan_of(built)
