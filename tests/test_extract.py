@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from formsift import constants as K
 from formsift.operators import extract as X
 from formsift.plans.documents import process_documents
 from formsift.sources.forms import forms
@@ -112,3 +113,13 @@ def test_filter_on_results_does_not_copy_the_chain(spark, small, tmp_path):
     df = process_documents(spark.read.parquet(path)).filter("status = 'NEEDS_REVIEW' AND employee_name IS NULL")
     assert df._jdf.queryExecution().optimizedPlan().toString().count("split(coalesce(") == 1
     assert df.count() > 0
+
+
+def test_text_of_a_failed_document_is_not_searched(spark, small):
+    """A failed document's fields are NULL whatever its text holds; before, its text was searched and the outcome dropped."""
+    docs = forms(spark, small).select("file_name", "raw_text", "error", "processed_at", "processing_time_seconds")
+    away = docs.withColumn("error", F.concat(F.lit("away "), "file_name"))
+    unreadable = away.withColumn("raw_text", F.raise_error(F.concat(F.lit("searched "), F.col("file_name"))).cast("string"))
+    rows = process_documents(unreadable).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, process_documents(away).collect()))
+    assert {r.status for r in rows} == {K.FAILED} and {r.employee_name for r in rows} == {None} and len(rows) == docs.count()

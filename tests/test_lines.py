@@ -4,6 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from formsift import constants as K
 from formsift.functions import lines as L, text as T
 from formsift.operators.flags import BITS, flag_counts, has_flag, with_flags
 from tests.test_text import apply
@@ -72,3 +73,23 @@ def test_flags_are_one_scan_without_shuffle_or_python(spark, small):
     lines = documents.select("doc_id", F.posexplode(T.split_lines(F.col("text"))).alias("line_no", "line"))
     plan = with_flags(lines)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and plan.count("FileScan") == 1
+
+
+def test_fact_searches_agree_with_the_plain_patterns(spark):
+    words = [*K.LABEL_KEYWORDS, *(w[:-1] for w in K.LABEL_KEYWORDS), *(f"x{w.title()}y" for w in K.LABEL_KEYWORDS), *K.IGNORED_WORDS,
+             *(f"my {w}" for w in K.IGNORED_WORDS), *K.EMPLOYER_STOPS, "Employee's  first name", "employ ee", "LAST NAME", "w", "sa", ""]
+    states = ["NY", "NYC", "NY NY", "NY,", "xNY", "x NY", "\U0001f600NY", "\U0001f600 NY", "NÝ", "XX NY", "XXNY", "ny", "A NY 1", "NY  12345", "Né WY"]
+    zips = ["12345", "1234", "x 12345-6789", "١٢٣٤٥", "12 345", "123456", "a  b 12345"]
+    lines = [w for w in [*words, *states, *zips] if w]
+    facts = apply(spark, lines, L.line_facts)
+    squeezed = apply(spark, lines, T.single_blanks)
+    assert [f["line"] for f in facts] == squeezed
+    assert [f["label"] for f in facts] == apply(spark, lines, L.is_label)
+    assert [f["has_state"] for f in facts] == apply(spark, squeezed, L.contains_state)
+    assert [f["zip"] for f in facts] == apply(spark, squeezed, lambda v: T.first_group(K.ZIP, v))
+    assert [f["employee"] for f in facts] == apply(spark, lines, lambda v: T.any_phrase(F.lower(v), ["employee", K.LAST_NAME_LABEL]))
+    assert [f["employer_stop"] for f in facts] == apply(spark, lines, lambda v: T.any_phrase(v, K.EMPLOYER_STOPS))
+    assert any(f["has_state"] for f in facts) and any(f["zip"] for f in facts) and any(f["employer_stop"] for f in facts)
+    assert apply(spark, words, lambda v: F.lower(v).rlike(T.phrase_search(K.LABEL_KEYWORDS))) == apply(
+        spark, words, lambda v: T.any_phrase(F.lower(v), K.LABEL_KEYWORDS)
+    )
