@@ -16,18 +16,22 @@ as in their shingles. Most chance meetings end there. Sets that remain, and all
 put into one cluster, and within a cluster
 all pairs are settled exactly, rare shingles first. Equal sets are one class from the start. Hot signatures are stars
 within each task before they are shuffled. A cluster beyond the bound of one task is first cut anew by the rarest
-shingles of its sets; what is still beyond it is compared block by block in many tasks.
+shingles of its sets, counted exactly among all sets of such clusters. What is still beyond it is written once and
+settled in waves: a wave of bounded size is broadcast and the sets of its clusters stream past. Sets that a sample of
+their cluster shows to be of one component take no wave among each other, so a large family of copies takes few.
 """
 
 from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,8 +100,8 @@ COMMON_MOST = 1 << 20
 WINDOW, OFTEN, COMMON = 2_000_000, 3, 30
 
 
-def level_slot(shingles: np.ndarray) -> np.ndarray:
-    return (mix(shingles) % U64(LEVEL_SLOTS)).astype(np.int64)
+def level_slot(shingles: np.ndarray, slots: int = LEVEL_SLOTS) -> np.ndarray:
+    return (mix(shingles) % U64(slots)).astype(np.int64)
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -132,18 +136,23 @@ def common_levels(texts: DataFrame, size: int) -> np.ndarray:
 
     parts = texts.select("text").mapInArrow(windows, "shingle long, n long")
     found = base.staged(parts.groupBy("shingle").agg(F.sum("n").alias("n")), "common")
+    return tabled(found, LEVEL_SLOTS, COMMON_MOST, lambda shingles: level_slot(shingles.view(U64)))
+
+
+def tabled(found: DataFrame, slots: int, most: int, slot_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The table of levels of (shingle, n): of the most frequent shingles, `most` of them at most."""
     step = F.least(F.floor(4 * F.log2("n")), F.lit(255))
     steps = {r.step: r.n for r in found.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    least, room = None, COMMON_MOST
+    least, room = None, most
     for own in sorted(steps, reverse=True):
         room -= steps[own]
         if room < 0:
             break
         least = own
-    levels = np.zeros(LEVEL_SLOTS, dtype=np.uint8)
+    levels = np.zeros(slots, dtype=np.uint8)
     if least is not None:
         rows = found.where(step >= least).toArrow()
-        np.maximum.at(levels, level_slot(rows["shingle"].to_numpy().view(U64)), level_of(rows["n"].to_numpy()))
+        np.maximum.at(levels, slot_of(rows["shingle"].to_numpy()), level_of(rows["n"].to_numpy()))
     return levels
 
 
@@ -342,37 +351,95 @@ def rarest(sets: np.ndarray, at: np.ndarray, percent: int, levels: np.ndarray) -
     """The rarest shingles of each set, as many as two similar sets must share one of, and the number of the set."""
     sizes = np.diff(at)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((sets, levels[level_slot(sets)], owner))
+    order = np.lexsort((sets, levels[level_slot(sets, len(levels))], owner))
     place = np.arange(len(sets)) - np.repeat(at[:-1], sizes)
     taken = place < np.repeat(sizes - -(-percent * sizes // 100) + 1, sizes)
     return sets[order][taken], owner[taken]
 
 
+#: The table of levels of large clusters: its bytes and the shingles that it has at most.
+RECUT_SLOTS, RECUT_MOST = 1 << 23, 1 << 21
+#: Bytes of a shingle that travel to be counted; which shingles agree in them decides about the work only.
+COUNT_BYTES = 5
+
+
+def counted_levels(rows: DataFrame, own_sets, total: int) -> np.ndarray:
+    """The table of levels of the shingles that more than FEW of these sets have, each counted over all of them.
+
+    A window knows nothing of shingles that are rare in it and yet common among many sets, and these chain clusters.
+    own_sets gives (shingles, begins) for a slice of rows; total is the number of shingles.
+    """
+    groups, mask = max(64, total // GROUP_SIGNATURES), U64((1 << 8 * COUNT_BYTES) - 1)
+
+    @base.tidy
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.held(None)
+        gathered, n = [], 0
+        for batch in batches:
+            for part in base.slices(batch, most=SLICE):
+                gathered.append(own_sets(part)[0])
+                n += len(gathered[-1])
+                if n >= DEALT:
+                    yield dealt(np.concatenate(gathered))
+                    gathered, n = [], 0
+        if n:
+            yield dealt(np.concatenate(gathered))
+
+    def dealt(shingles: np.ndarray) -> pa.RecordBatch:
+        values = mix(shingles) & mask
+        group = (values % U64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        group, values = group[order], packed(values[order], COUNT_BYTES)
+        own, begin = np.unique(group, return_index=True)
+        ends = [*begin[1:], len(group)]
+        parts = [values[a:b].tobytes() for a, b in zip(begin, ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(parts, pa.binary())], ["group", "shingles"])
+
+    def count(rows: pa.Table) -> pa.Table:
+        found, n = np.unique(unpacked(b"".join(rows["shingles"].to_pylist()), COUNT_BYTES), return_counts=True)
+        return pa.table({"shingle": found[n > FEW].view(np.int64), "n": n[n > FEW]})
+
+    parts = rows.mapInArrow(deal, "group long, shingles binary")
+    found = base.staged(parts.groupBy("group").applyInArrow(count, "shingle long, n long"), "common")
+    return tabled(found, RECUT_SLOTS, RECUT_MOST, lambda values: values % RECUT_SLOTS)
+
+
 def recut(
-    members: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int, levels: np.ndarray
-) -> DataFrame:
-    """The members of large clusters, cut anew: sets meet where they share one of their rarest shingles.
+    members: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int
+) -> tuple[DataFrame, np.ndarray]:
+    """The members of large clusters, cut anew: sets meet where they share one of their rarest shingles. And the table of
+    levels that says which these are.
 
     Similar sets do, so no pair falls apart. Pairs that meet in few are held against the bound as before; sets that meet
     nothing are left out.
     """
-    table = texts.sparkSession.sparkContext.broadcast(levels)
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    rows = of_members(texts, members).select("text", "k1")
 
-    def prefixes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def own_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of the rows whose text is the member's own."""
         sets, at = shingle_sets(part.column("text"), size)
         same = set_keys(sets, at)[0] == part.column("k1").to_numpy(zero_copy_only=False)
+        sizes = np.diff(at)
+        return sets[np.repeat(same, sizes)], np.concatenate([[0], np.cumsum(sizes[same])])
+
+    levels = counted_levels(rows, own_sets, total)
+    table = texts.sparkSession.sparkContext.broadcast(levels)
+
+    def prefixes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        sets, at = own_sets(part)
         own, row = rarest(sets, at, percent, table.value)
-        keys = (set_keys(sets, at)[0] & KEY_MASK)[row]
-        return own[same[row]], keys[same[row]]
+        return own, (set_keys(sets, at)[0] & KEY_MASK)[row]
 
-    rows = of_members(texts, members).select("text", "k1")
     edges = met_by_signature(rows, prefixes, max(64, int(total * (100 - percent) / 100) // GROUP_SIGNATURES))
-    edges = possible(base.staged(edges, "meetings"), classes, percent)
+    edges = base.staged(edges, "meetings")
+    table.destroy()
+    edges = possible(edges, classes, percent)
     named = base.staged(components(edges), "recut")
-    return members.drop("cluster").join(named, F.col("k1").bitwiseAND(KEY_MASK) == named["node"]).select(
+    cut = members.drop("cluster").join(named, F.col("k1").bitwiseAND(KEY_MASK) == named["node"]).select(
         members["node"], "k1", "n_shingles", F.col("component").alias("cluster")
     )
+    return cut, levels
 
 
 def of_members(texts: DataFrame, members: DataFrame) -> DataFrame:
@@ -487,46 +554,172 @@ def linked(nodes: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent
     return links
 
 
-def verified(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between class nodes: all pairs within a cluster are settled exactly.
-
-    members: (node, k1, n_shingles, cluster). A cluster of more than BLOCK_SHINGLES is cut into blocks, and every pair
-    of blocks is a group of its own.
-    """
-    sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("long").alias("blocks"))
-    dealt = members.join(sizes, "cluster").select("node", "k1", "cluster", "blocks")
-    rows = of_members(texts, dealt)
+def sets_of(texts: DataFrame, members: DataFrame, size: int, percent: int, table: Broadcast | None = None) -> DataFrame:
+    """(node, cluster, shingles, rare) of the members (node, k1, cluster): the sets as bytes, with a table of levels their
+    rarest shingles as well."""
 
     @base.tidy
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.held(None)
         for batch in batches:
             for part in base.slices(batch, most=SLICE):
                 sets, at = shingle_sets(part.column("text"), size)
                 same = np.flatnonzero(set_keys(sets, at)[0] == part.column("k1").to_numpy(zero_copy_only=False))
                 own = [sets[at[i] : at[i + 1]].tobytes() for i in same.tolist()]
+                rare = [b""] * len(own)
+                if table:
+                    found, row = rarest(sets, at, percent, table.value)
+                    begin = np.searchsorted(row, np.arange(len(at)))
+                    rare = [found[begin[i] : begin[i + 1]].tobytes() for i in same.tolist()]
                 kept = part.take(pa.array(same))
-                yield pa.RecordBatch.from_arrays(
-                    [kept.column("node"), kept.column("cluster"), kept.column("blocks"), pa.array(own, pa.binary())],
-                    ["node", "cluster", "blocks", "shingles"],
-                )
+                columns = [kept.column("node"), kept.column("cluster"), pa.array(own, pa.binary()), pa.array(rare, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "cluster", "shingles", "rare"])
+
+    rows = of_members(texts, members.select("node", "k1", "cluster")).select("node", "k1", "cluster", "text")
+    return rows.mapInArrow(as_sets, "node long, cluster long, shingles binary, rare binary")
+
+
+class Sets:
+    """Rows (node, cluster, shingles, rare) as arrays."""
+
+    def __init__(self, rows: pa.Table | pa.RecordBatch):
+        self.nodes, self.clusters = (np.asarray(rows.column(c)) for c in ("node", "cluster"))
+        self.sets = [np.frombuffer(b, dtype=U64) for b in rows.column("shingles").to_pylist()]
+        rare = [np.frombuffer(b, dtype=U64) for b in rows.column("rare").to_pylist()]
+        self.rare = np.concatenate([np.empty(0, U64), *rare])
+        self.row = np.repeat(np.arange(len(rare)), [len(r) for r in rare])
+
+    def within(self, percent: int) -> dict[int, list[tuple[int, int]]]:
+        """By cluster, links that join these sets as all links between them do."""
+        out = {}
+        for cluster in np.unique(self.clusters).tolist():
+            own = np.flatnonzero(self.clusters == cluster)
+            out[cluster] = linked(self.nodes[own], np.zeros(len(own)), [self.sets[i] for i in own.tolist()], percent, False)
+        return out
+
+    def across(self, other: Sets, percent: int) -> dict[int, list[tuple[int, int]]]:
+        """By cluster, links that join these sets and others as all links between the two do. Only sets that share one of
+        their rarest shingles are compared."""
+        ours = np.unique(self.row[np.isin(self.rare, other.rare)])
+        theirs = np.unique(other.row[np.isin(other.rare, self.rare)])
+        out = {}
+        for cluster in np.intersect1d(self.clusters[ours], other.clusters[theirs]).tolist():
+            x, y = ours[self.clusters[ours] == cluster], theirs[other.clusters[theirs] == cluster]
+            both = [self.sets[i] for i in x.tolist()] + [other.sets[i] for i in y.tolist()]
+            nodes, sides = np.concatenate([self.nodes[x], other.nodes[y]]), np.repeat([0, 1], [len(x), len(y)])
+            out[cluster] = linked(nodes, sides, both, percent, True)
+        return out
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of sets with about `most` bytes of shingles each."""
+    gathered, n = [], 0
+    for batch in batches:
+        for part in base.slices(batch, "shingles", most):
+            own = pc.sum(pc.binary_length(part.column("shingles"))).as_py() or 0
+            if gathered and n + own > most:
+                yield pa.concat_batches(gathered)
+                gathered, n = [], 0
+            gathered.append(part)
+            n += own
+    if gathered:
+        yield pa.concat_batches(gathered)
+
+
+def flat(links: dict[int, list[tuple[int, int]]]) -> pa.RecordBatch:
+    pairs = [pair for own in links.values() for pair in own]
+    return pa.RecordBatch.from_arrays([pa.array([pair[i] for pair in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def in_waves(members: DataFrame, texts: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """Links (a, b) between members (node, k1, cluster, total) of large clusters; total is the cluster's shingles.
+
+    Every set is written once. All are held against a sample of their cluster, which is broadcast; what is then known to
+    be of the sample's largest component needs no comparison among itself. All other sets are broadcast in waves, about
+    BLOCK_SHINGLES at a time, and those that were not in an earlier wave stream past.
+    """
+    context = texts.sparkSession.sparkContext
+    table = context.broadcast(levels)
+    folder = base.shared_folder(texts.sparkSession, "links")
 
-    sets = rows.select("node", "k1", "cluster", "blocks", "text").mapInArrow(
-        as_sets, "node long, cluster long, blocks long, shingles binary"
-    )
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    placed = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = placed.select(
-        "node", "cluster", "block", "shingles",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-    )
+    def sent(sets: DataFrame) -> Broadcast:
+        return context.broadcast((base.fresh(), sets.select("node", "cluster", "shingles", "rare").toArrow()))
+
+    def received(wave: Broadcast, make: Callable[[Sets], object]) -> object:
+        return base.held(wave.value[0], lambda: make(Sets(wave.value[1])))
+
+    clusters = members.select("cluster").distinct().count()
+    taken = F.pmod(F.xxhash64("node"), F.ceil(F.col("total") * clusters / BLOCK_SHINGLES)) == 0
+    sample = sent(sets_of(texts, members.where(taken), size, percent, table))
+
+    def families(own: Sets) -> tuple[Sets, dict[int, list[tuple[int, int]]], dict[int, int]]:
+        links, leads = own.within(percent), {}
+        for cluster, pairs in links.items():
+            roots = forest(iter(pairs))
+            named, n = np.unique([roots.get(x, x) for x in own.nodes[own.clusters == cluster].tolist()], return_counts=True)
+            leads[cluster] = int(named[n.argmax()])
+        return own, links, leads
+
+    @base.tidy
+    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, inner, leads = received(sample, families)
+        for part in in_parts(batches, 8 * BLOCK_SHINGLES):
+            rows = Sets(part)
+            links = rows.across(own, percent)
+            lead = np.zeros(part.num_rows, dtype=bool)
+            for cluster, pairs in links.items():
+                roots = forest(iter(pairs + inner[cluster]))
+                first = roots.get(leads[cluster], leads[cluster])
+                which = np.flatnonzero(rows.clusters == cluster)
+                lead[which] = [roots.get(x, x) == first for x in rows.nodes[which].tolist()]
+            found = flat(links)
+            along = [pa.array([found.column(c).to_pylist()] + [[]] * (part.num_rows - 1), pa.list_(pa.int64())) for c in ("a", "b")]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lead), *along], [*part.schema.names, "lead", "a", "b"])
+
+    every = sets_of(texts, members, size, percent, table)
+    kind = "node long, cluster long, shingles binary, rare binary, lead boolean, a array<long>, b array<long>"
+    sets = base.staged(every.mapInArrow(led, kind), "sets")
+    sample.destroy()
+    table.destroy()
+    sets.where(F.size("a") > 0).select(F.inline(F.arrays_zip("a", "b"))).write.parquet(folder)
+
+    left = sets.where("NOT lead").agg(F.coalesce(F.sum(F.length("shingles")), F.lit(0))).first()[0]
+    waves = -(-left // (8 * BLOCK_SHINGLES))
+    turn = F.pmod(F.xxhash64(F.lit(1), F.col("node")), F.lit(waves))
+    for k in range(waves):
+        wave = sent(sets.where(~F.col("lead") & (turn == k)))
+
+        @base.tidy
+        def met(batches: Iterator[pa.RecordBatch], wave: Broadcast = wave) -> Iterator[pa.RecordBatch]:
+            own = received(wave, lambda own: own)
+            for part in in_parts(batches, 8 * BLOCK_SHINGLES):
+                yield flat(Sets(part).across(own, percent))
+
+        others = sets.where(F.col("lead") | (turn >= k)).select("node", "cluster", "shingles", "rare")
+        others.mapInArrow(met, "a long, b long").write.mode("append").parquet(folder)
+        wave.destroy()
+    base.discard(sets)
+    return texts.sparkSession.read.schema("a long, b long").parquet(folder)
+
+
+def verified(members: DataFrame, texts: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """Links (a, b) between class nodes: all pairs within a cluster are settled exactly.
+
+    members: (node, k1, n_shingles, cluster). A cluster of at most BLOCK_SHINGLES is a group, larger ones go in waves;
+    levels decides which sets are compared, never about the links found.
+    """
+    sizes = members.groupBy("cluster").agg(F.sum("n_shingles").alias("total"))
+    small = members.join(sizes.where(F.col("total") <= BLOCK_SHINGLES), "cluster")
+    large = base.staged(members.join(sizes.where(F.col("total") > BLOCK_SHINGLES), "cluster"), "large")
 
-    def settle(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        across = key[1].as_py() != key[2].as_py()
+    def settle(rows: pa.Table) -> pa.Table:
         own = [np.frombuffer(b, dtype=U64) for b in rows["shingles"].to_pylist()]
-        links = linked(rows["node"].to_numpy(), rows["block"].to_numpy(), own, percent, across)
+        links = linked(rows["node"].to_numpy(), np.zeros(len(own)), own, percent, False)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return placed.groupBy("cluster", "low", "high").applyInArrow(settle, "a long, b long")
+    links = sets_of(texts, small, size, percent).select("node", "cluster", "shingles")
+    links = links.groupBy("cluster").applyInArrow(settle, "a long, b long")
+    return links if large.isEmpty() else links.unionByName(in_waves(large, texts, size, percent, levels))
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -560,8 +753,9 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, key: str
     large = base.staged(members.join(sizes.where(F.col("total") > BLOCK_SHINGLES), "cluster").select(*members.columns), "large")
     if not large.isEmpty():
         small = members.join(sizes.where(F.col("total") <= BLOCK_SHINGLES), "cluster").select(*members.columns)
-        members = base.staged(small.unionByName(recut(large, classes, with_id, size, percent, levels)), "members")
-    links = verified(members, with_id, size, percent)
+        cut, levels = recut(large, classes, with_id, size, percent)
+        members = base.staged(small.unionByName(cut), "members")
+    links = verified(members, with_id, size, percent, levels)
     labels = base.staged(components(links), "labels")
     named = classes.join(labels, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     return rows.join(named, ["k1", "k2"], "left").select(
